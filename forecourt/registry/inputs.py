@@ -165,7 +165,10 @@ def response_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(F.col("price_text") == "None", 500).otherwise(200).alias("status_code"),
             F.explode(pages).alias("response"),
         )
-        requests.select("*", "response.*").drop("response").write.parquet(path)
+        # Small row groups: parsing a document costs far more than reading it.
+        requests.select("*", "response.*").drop("response").write.option(
+            "parquet.block.size", 8 * 1024 * 1024
+        ).parquet(path)
 
     return spark.read.parquet(_once(spark, sf_dir, "responses", write))
 

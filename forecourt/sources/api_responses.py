@@ -33,9 +33,14 @@ def with_listings(responses: DataFrame) -> DataFrame:
 
 
 def explode_listings(parsed: DataFrame) -> DataFrame:
-    """One row per listing that has a tracking context."""
+    """One row per listing that has a tracking context.
+
+    The outer form is used for its plan: for a plain explode the optimizer adds
+    a filter on the array, which parses every document again. The row it gives
+    for an empty page has no tracking context.
+    """
     return (
-        parsed.withColumn("listing", F.explode("listings"))
+        parsed.withColumn("listing", F.explode_outer("listings"))
         .drop("listings")
         .where(F.col("listing.trackingContext").isNotNull())
     )
