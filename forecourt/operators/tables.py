@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -68,10 +69,18 @@ def replace_rows(df: DataFrame, table: str) -> None:
     fit_columns(df, types).write.mode("overwrite").insertInto(table)
 
 
-def table_materialize(df: DataFrame, table: str) -> DataFrame:
-    """Full rebuild of a table; the frame must not read the table itself."""
-    df.write.mode("overwrite").format("parquet").saveAsTable(table)
-    return df.sparkSession.table(table)
+def table_materialize(df: DataFrame, table: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Full rebuild of a table; the frame must not read the table itself.
+
+    With partition columns the rows are rebalanced on them first. That gives
+    each folder files of a good size, and splits a folder that holds most rows.
+    """
+    rows = df.hint("rebalance", *partition_by) if partition_by else df
+    writer = rows.write.mode("overwrite").format("parquet")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.saveAsTable(table)
+    return df.sparkSession.table(table).select(*df.columns)
 
 
 def view_materialize(df: DataFrame, name: str) -> DataFrame:

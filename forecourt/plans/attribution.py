@@ -27,7 +27,7 @@ from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.plans.pricing import FEATURES, predict_prices
+from forecourt.plans.pricing import FEATURES, model_rows, predict_prices
 from forecourt.session import scratch_path
 
 MAX_BROADCAST_CELLS = 1_000_000
@@ -91,8 +91,9 @@ def value_columns() -> list[str]:
     return ["base_value", *[f"shap_{name}" for name in FEATURES]]
 
 
-def _explainer(boxes: LeafBoxes, points: list[str]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+def _explainer(boxes: LeafBoxes) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """A mapInPandas function that adds base value and contributions to each row."""
+    features = list(FEATURES)
     value, low, high, share = boxes.value, boxes.low, boxes.high, boxes.share
     names, step = value_columns(), _BATCH_POINTS
     count = low.shape[1]
@@ -115,7 +116,7 @@ def _explainer(boxes: LeafBoxes, points: list[str]) -> Callable[[Iterator[pd.Dat
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            x = batch[points].to_numpy(dtype=float)
+            x = batch[features].to_numpy(dtype=float)
             parts = [contributions(x[i : i + step]) for i in range(0, len(x), step)]
             if parts:
                 yield batch.assign(**dict(zip(names, np.vstack(parts).T)))
@@ -123,12 +124,12 @@ def _explainer(boxes: LeafBoxes, points: list[str]) -> Callable[[Iterator[pd.Dat
     return explain
 
 
-def _with_values(df: DataFrame, boxes: LeafBoxes, points: list[str]) -> DataFrame:
+def _with_values(df: DataFrame, boxes: LeafBoxes) -> DataFrame:
     schema = ", ".join(
         [f"`{field.name}` {field.dataType.simpleString()}" for field in df.schema]
         + [f"`{name}` double" for name in value_columns()]
     )
-    return df.mapInPandas(_explainer(boxes, points), schema)
+    return df.mapInPandas(_explainer(boxes), schema)
 
 
 def _cell_name(name: str) -> str:
@@ -151,11 +152,11 @@ def with_cells(rows: DataFrame, cuts: dict[str, list[float]]) -> DataFrame:
     return rows
 
 
-def _representatives(cells: DataFrame, cuts: dict[str, list[float]]) -> DataFrame:
-    """Add a point inside each cell: the cell's upper threshold, or infinity in the last one."""
+def _inner_points(cells: DataFrame, cuts: dict[str, list[float]]) -> DataFrame:
+    """Add a point inside each cell: per feature its upper threshold, or infinity in the last one."""
     for name, thresholds in cuts.items():
         uppers = F.array(F.lit(inf), *[F.lit(t) for t in reversed(thresholds)])
-        cells = cells.withColumn(f"_at_{name}", F.element_at(uppers, (F.col(_cell_name(name)) + 1).cast("int")))
+        cells = cells.withColumn(name, F.element_at(uppers, (F.col(_cell_name(name)) + 1).cast("int")))
     return cells
 
 
@@ -164,20 +165,20 @@ def shap_contributions(
 ) -> DataFrame:
     """Prediction, base value and one contribution per feature for every complete row.
 
-    The table of cells is broadcast, behind a check of the number of cells the
-    model allows. A model with more cells is evaluated row by row instead.
+    Both are computed once per occupied cell. The table of cells is broadcast,
+    behind a check of the number of cells the model allows. A model with more
+    cells is evaluated row by row instead.
     """
     spark = rows.sparkSession
     boxes = leaf_boxes(spark, model)
-    predicted = predict_prices(model, rows)
     cuts = {name: boxes.thresholds(i) for i, name in enumerate(FEATURES)}
-    if prod(len(t) + 1 for t in cuts.values()) > max_cells:
-        at = {f"_at_{name}": F.col(name).cast("double") for name in FEATURES}
-        return _with_values(predicted.withColumns(at), boxes, list(at)).drop(*at)
+    if prod(len(thresholds) + 1 for thresholds in cuts.values()) > max_cells:
+        return _with_values(predict_prices(model, rows), boxes)
 
     keys = [_cell_name(name) for name in FEATURES]
-    placed = with_cells(predicted, cuts)
+    placed = with_cells(model_rows(rows), cuts)
+    # A few numbers per cell, but costly ones: spread them over all cores.
     occupied = placed.select(*keys).distinct().repartition(spark.sparkContext.defaultParallelism)
-    points = [f"_at_{name}" for name in FEATURES]
-    explained = _with_values(_representatives(occupied, cuts), boxes, points).drop(*points)
+    points = predict_prices(model, _inner_points(occupied, cuts), labelled=False)
+    explained = _with_values(points, boxes).drop(*FEATURES)
     return placed.join(F.broadcast(explained), keys).drop(*keys)

@@ -67,10 +67,13 @@ def enrich(
     )
 
 
+def brand_literal(listings: DataFrame, brand: str) -> DataFrame:
+    """Staging view over a feed that carries one brand only, named by a constant."""
+    return stage_csv(listings.withColumn("brand", F.lit(brand)))
+
+
 def brand_feed_facts(inserts: DataFrame, brand: str) -> DataFrame:
-    """Facts of a feed that carries one brand only, named by a constant."""
-    staged = stage_csv(inserts.withColumn("brand", F.lit(brand)))
-    return enrich(staged, rules.price_per_mile_null)
+    return enrich(brand_literal(inserts, brand), rules.price_per_mile_null)
 
 
 def api_feed_facts(inserts: DataFrame) -> DataFrame:

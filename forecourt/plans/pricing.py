@@ -29,9 +29,9 @@ def train_test_split(df: DataFrame, key: str = "id") -> tuple[DataFrame, DataFra
     return df.where(side == "train"), df.where(side == "test")
 
 
-def model_rows(facts: DataFrame) -> DataFrame:
-    """Rows whose features and price are all known; the trees take no NULLs."""
-    return facts.dropna(subset=[*FEATURES, "price"])
+def model_rows(facts: DataFrame, labelled: bool = True) -> DataFrame:
+    """Rows whose features, and price if ``labelled``, are all known; the trees take no NULLs."""
+    return facts.dropna(subset=[*FEATURES, "price"] if labelled else list(FEATURES))
 
 
 def skipped_rows(facts: DataFrame) -> DataFrame:
@@ -84,8 +84,8 @@ def train_price_model(
     return regressor.fit(_with_vector(groups).select(_VECTOR, "mean_price", "weight"))
 
 
-def predict_prices(model: GBTRegressionModel, df: DataFrame) -> DataFrame:
-    return model.transform(_with_vector(model_rows(df))).drop(_VECTOR)
+def predict_prices(model: GBTRegressionModel, df: DataFrame, labelled: bool = True) -> DataFrame:
+    return model.transform(_with_vector(model_rows(df, labelled))).drop(_VECTOR)
 
 
 def regression_metrics(scored: DataFrame, label: str = "price", prediction: str = "predicted_price") -> DataFrame:

@@ -16,7 +16,8 @@ from forecourt.schemas import FACT, columns_of
 
 def build_layers(spark: SparkSession, staged: DataFrame, layers: Layers, top_view: str) -> None:
     """Staging view to fact table, impact mart and the devaluation view."""
-    facts = table_materialize(fit_columns(enrich(staged), columns_of(FACT)), f"{layers.silver}.fct_cars")
+    rows = fit_columns(enrich(staged), columns_of(FACT))
+    facts = table_materialize(rows, f"{layers.silver}.fct_cars", partition_by=["brand"])
     table_materialize(impact_summary(facts), f"{layers.gold}.mart_ulez_impact")
     view_materialize(diesel_devaluation_top(facts), top_view)
 

@@ -98,16 +98,13 @@ def fit_segments(
     if points.isEmpty():
         return None
     means, deviations = _moments(points, FEATURES)
-    vectors = _scaled_vectors(points, FEATURES, means, deviations).select("_features", "weight").persist()
+    vectors = _scaled_vectors(points, FEATURES, means, deviations).select("_features", "weight")
     kmeans = KMeans(
-        featuresCol="_features", predictionCol="cluster_id", weightCol="weight", k=k, maxIter=300
+        featuresCol="_features", predictionCol="cluster_id", weightCol="weight", k=k, maxIter=300, solver="block"
     )
     models = kmeans.fitMultiple(vectors, [{kmeans.seed: seed + i} for i in range(starts)])
-    try:
-        with ThreadPool(min(parallelism, starts)) as pool:
-            fitted = pool.map(lambda _: next(models), range(starts))
-    finally:
-        vectors.unpersist()
+    with ThreadPool(min(parallelism, starts)) as pool:
+        fitted = pool.map(lambda _: next(models), range(starts))
     best = min((model for _, model in sorted(fitted, key=lambda pair: pair[0])), key=_cost)
     return Segmenter(tuple(FEATURES), means, deviations, best, _cost(best))
 

@@ -229,7 +229,9 @@ ORACLES: dict[str, str] = {
         "transmission, 0 AS tax, CAST(0 AS DOUBLE) AS mpg FROM api_rows",
     ),
     "brand_literal": _with(
-        "csv_rows", "SELECT 'MERCEDES' AS brand, model, year, price, mileage FROM csv_rows"
+        "csv_rows",
+        "SELECT 'MERCEDES' AS brand, model, year, CAST(price AS BIGINT) AS price, transmission, mileage, "
+        "fuelType AS fuel_type, tax, mpg, engineSize AS engine_size FROM csv_rows",
     ),
     # projections, predicates, math
     "ulez_compliance": _with(

@@ -313,7 +313,7 @@ def rename_constants(spark, sf_dir):
 @query
 def brand_literal(spark, sf_dir):
     changes = inputs.brand_changes(listings(spark, sf_dir))
-    return changes.select(F.lit(CAR_BRAND).alias("brand"), "model", "year", "price", "mileage")
+    return fact_plans.brand_literal(changes, CAR_BRAND)
 
 
 # --- projections, predicates, math ------------------------------------------

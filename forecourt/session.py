@@ -8,8 +8,23 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_SHUFFLE_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def shuffle_partitions(shuffle_bytes: int) -> int:
+    """Partitions for the largest shuffle of a job, at about 256 MB each.
+
+    Adaptive execution merges partitions that turn out small, but it only splits
+    those of skewed joins, so the number has to be set for the largest shuffle.
+    """
+    return max(200, -(-shuffle_bytes // _SHUFFLE_PARTITION_BYTES))
+
+
 def build_session(app_name: str = "forecourt", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the library's results rely on (ANSI, UTC, AQE)."""
+    """A session with the settings the library's results rely on (ANSI, UTC, AQE).
+
+    Further settings are keywords with ``__`` for the dots.
+    """
     builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.ansi.enabled", "true")

@@ -69,6 +69,17 @@ def run_increment(stream: DataFrame, path: str, checkpoint: str) -> int:
     return rows_taken(query)
 
 
+def all_facts(spark: SparkSession, table: str, stream_path: str) -> DataFrame:
+    """Facts loaded by batch jobs and facts appended by a stream.
+
+    The stream's folder has a commit log of its own, which makes its appends
+    exactly-once and hides files others put there. So batch loads go to the
+    table, the stream to its folder, and readers take both.
+    """
+    streamed = spark.read.schema(FACT).parquet(stream_path)
+    return spark.table(table).select(*columns_of(FACT)).unionByName(streamed)
+
+
 def append_new_adverts(table: str, key: str = "id") -> Callable[[DataFrame, int], None]:
     """A foreachBatch sink that adds each advert once.
 
