@@ -1,0 +1,112 @@
+"""Edge cases of the column functions."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from forecourt.functions import rules, text
+
+
+def values(spark, ddl, rows, column):
+    return [row[0] for row in spark.createDataFrame(rows, ddl).coalesce(1).select(column).collect()]
+
+
+def test_compliance_is_never_null(spark):
+    cases = {
+        ("Petrol", 2006): True,
+        ("Petrol", 2005): False,
+        ("Petrol", None): False,
+        ("Diesel", 2015): True,
+        ("Diesel", 2014): False,
+        ("Diesel", None): False,
+        ("Hybrid", None): True,
+        ("Other", 1990): True,
+        ("Electric", 1990): True,
+        ("Unknown", 2020): False,
+        ("petrol", 2020): False,
+        (None, 2020): False,
+        (None, None): False,
+    }
+    got = values(spark, "f string, y int", list(cases), rules.ulez_compliance(F.col("f"), F.col("y")))
+    assert got == list(cases.values())
+
+
+def test_age_and_price_per_mile(spark):
+    rows = [(2020, 1000, 10), (None, 1000, 0), (2026, 1000, None), (2000, 1000, -10), (2000, None, 10)]
+    ddl = "y int, p bigint, m int"
+    assert values(spark, ddl, rows, rules.vehicle_age(F.col("y"))) == [5, None, -1, 25, 25]
+    assert values(spark, ddl, rows, rules.vehicle_age(F.col("y"), 2030))[0] == 10
+    zero = rules.price_per_mile_zero(F.col("p"), F.col("m"))
+    assert values(spark, ddl, rows, zero) == [100.0, 0.0, 0.0, 0.0, None]
+    null = rules.price_per_mile_null(F.col("p"), F.col("m"))
+    assert values(spark, ddl, rows, null) == [100.0, None, None, -100.0, None]
+
+
+def test_price_cleaners(spark):
+    rows = [("£12,500",), ("900",), ("12.5",), ("POA",), ("",), (None,)]
+    price = F.col("p")
+    assert values(spark, "p string", rows, text.price_clean_ingest(price)) == [
+        "12500", "900", "12.5", "POA", "", None,
+    ]
+    assert values(spark, "p string", rows, text.price_clean_try(price)) == [12500, 900, 13, None, None, None]
+    assert values(spark, "p string", [("12,500",), (None,)], text.price_clean_strict(price)) == [12500.0, None]
+
+
+def test_strict_price_fails_on_other_text(spark):
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        values(spark, "p string", [("£12000",)], text.price_clean_strict(F.col("p")))
+
+
+def test_brand_from_title(spark):
+    rows = [("bmw 3 Series",), ("Tesla",), ("",), (None,)]
+    assert values(spark, "t string", rows, text.brand_from_title(F.col("t"))) == ["BMW", "", "", None]
+
+
+def test_mileage_takes_the_last_number(spark):
+    def badges(*texts, kind="MILEAGE"):
+        return ([{"type": kind, "displayText": t} for t in texts],)
+
+    rows = [
+        badges("50,000 miles"),
+        badges("10 miles", "20 miles"),
+        badges("10 miles", "n/a"),
+        badges(),
+        badges(None),
+        badges("10 miles", None),
+        badges("5 miles", kind="YEAR"),
+        badges("12.5 miles"),
+        (None,),
+    ]
+    got = values(
+        spark,
+        "b array<struct<type: string, displayText: string>>",
+        rows,
+        text.mileage_from_badges(F.col("b")),
+    )
+    assert got == [50000, 20, 10, 0, 0, 0, 0, 0, 0]
+
+
+def test_fuel_transmission_engine(spark):
+    rows = [
+        ("", "2.0 320d M Sport Auto 4dr", "Great Diesel Car"),
+        ("", "Petrol Hybrid", None),
+        (None, "Hybrid Electric", None),
+        ("", None, None),
+        ("Diesel", "Petrol", None),
+        ("", "12.0 x", "AUTO petrol"),
+        ("", "no size", "Automatic Electric"),
+    ]
+    ddl = "f string, s string, a string"
+    fuel, subtitle, attention = F.col("f"), F.col("s"), F.col("a")
+    assert values(spark, ddl, rows, text.fuel_from_text(fuel, subtitle, attention)) == [
+        "Diesel", "Petrol", "Hybrid", "Unknown", "Diesel", "Unknown", "Electric",
+    ]
+    assert values(spark, ddl, rows, text.transmission_from_text(subtitle, attention)) == [
+        "Automatic", "Manual", "Manual", "Manual", "Manual", "Manual", "Automatic",
+    ]
+    assert values(spark, ddl, rows, text.engine_size_regex(subtitle)) == [2.0, 0.0, 0.0, 0.0, 0.0, 2.0, 0.0]
+
+
+def test_report_text(spark):
+    rows = [(12345.0,), (None,)]
+    assert values(spark, "x double", rows, text.pounds(F.col("x"))) == ["£12,345", None]
+    assert values(spark, "x double", [(-22.4,)], text.percent_text(F.col("x"))) == ["-22.4%"]
