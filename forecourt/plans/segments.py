@@ -19,6 +19,7 @@ from forecourt.schemas import CLUSTER_MART
 from forecourt.session import stage
 
 FEATURES = ("price", "mileage", "year")
+_MANY_POINTS = 1000
 FEATURE_COLUMNS = [
     "brand", "model", "year", "price", "mileage", "fuel_type", "engine_size", "is_ulez_compliant",
 ]
@@ -100,7 +101,14 @@ def fit_segments(
     means, deviations = _moments(points, FEATURES)
     vectors = _scaled_vectors(points, FEATURES, means, deviations).select("_features", "weight")
     kmeans = KMeans(
-        featuresCol="_features", predictionCol="cluster_id", weightCol="weight", k=k, maxIter=300, solver="block"
+        featuresCol="_features",
+        predictionCol="cluster_id",
+        weightCol="weight",
+        k=k,
+        maxIter=300,
+        initSteps=5,
+        # The block solver is the fast one, but it needs k starting centres, so not for a handful of points.
+        solver="block" if points.count() >= _MANY_POINTS else "row",
     )
     models = kmeans.fitMultiple(vectors, [{kmeans.seed: seed + i} for i in range(starts)])
     with ThreadPool(min(parallelism, starts)) as pool:
