@@ -10,7 +10,7 @@ With four features there are sixteen sets, so the values are exact.
 A tree compares features with thresholds only. The thresholds of a model cut
 the feature space into cells, and every listing of a cell has the same values.
 So the work per listing is to find its cell; the values are computed once per
-occupied cell, and the number of cells is bound by the model, not by the data.
+cell, and the number of cells is bound by the model, not by the data.
 """
 
 from __future__ import annotations
@@ -31,7 +31,7 @@ from forecourt.plans.pricing import FEATURES, model_rows, predict_prices
 from forecourt.session import scratch_path
 
 MAX_BROADCAST_CELLS = 1_000_000
-_BATCH_POINTS = 256  # bounds a task's memory to points * leaves
+_BATCH_POINTS = 128  # bounds a task's memory to points * leaves
 
 
 @dataclass(frozen=True)
@@ -97,17 +97,34 @@ def _explainer(boxes: LeafBoxes) -> Callable[[Iterator[pd.DataFrame]], Iterator[
     value, low, high, share = boxes.value, boxes.low, boxes.high, boxes.share
     names, step = value_columns(), _BATCH_POINTS
     count = low.shape[1]
-    sets = [frozenset(s) for size in range(count + 1) for s in combinations(range(count), size)]
+    halves = (range(count // 2), range(count // 2, count))
     chance = [factorial(n) * factorial(count - n - 1) / factorial(count) for n in range(count)]
 
+    def subsets(of: range) -> list[frozenset]:
+        return [frozenset(s) for size in range(len(of) + 1) for s in combinations(of, size)]
+
+    sets = [a | b for a in subsets(halves[0]) for b in subsets(halves[1])]
+
+    def products(inside: list[np.ndarray], half: range) -> dict[frozenset, np.ndarray]:
+        """Per subset of half the features, their factors multiplied: points by leaves."""
+        found = {frozenset(): np.ones((1, len(value)))}
+        for f in half:
+            found = {
+                chosen | extra: known * factor
+                for chosen, known in found.items()
+                for extra, factor in ((frozenset(), share[:, f]), (frozenset([f]), inside[f]))
+            }
+        return found
+
     def contributions(x: np.ndarray) -> np.ndarray:
         inside = [(x[:, f, None] > low[:, f]) & (x[:, f, None] <= high[:, f]) for f in range(count)]
-        worth = {}
-        for chosen in sets:
-            term = np.broadcast_to(value, (len(x), len(value))).copy()
-            for f in range(count):
-                term *= inside[f] if f in chosen else share[:, f]
-            worth[chosen] = term.sum(axis=1)
+        first, second = (products(inside, half) for half in halves)
+        weighted = {chosen: product * value for chosen, product in first.items()}
+        worth = {
+            a | b: np.broadcast_to(np.einsum("nl,nl->n", *np.broadcast_arrays(left, right)), len(x))
+            for a, left in weighted.items()
+            for b, right in second.items()
+        }
         gains = [
             sum(chance[len(s)] * (worth[s | {f}] - worth[s]) for s in sets if f not in s)
             for f in range(count)
@@ -132,32 +149,37 @@ def _with_values(df: DataFrame, boxes: LeafBoxes) -> DataFrame:
     return df.mapInPandas(_explainer(boxes), schema)
 
 
-def _cell_name(name: str) -> str:
-    return f"_cell_{name}"
-
-
-def with_cells(rows: DataFrame, cuts: dict[str, list[float]]) -> DataFrame:
-    """Add per feature the number of thresholds at or above the value."""
+def cell_of(rows: DataFrame, cuts: dict[str, list[float]]) -> DataFrame:
+    """Add ``_cell``: the numbers of thresholds at or above each value, as digits of one number."""
+    cell, size = F.lit(0).cast("bigint"), 1
     for name, thresholds in cuts.items():
-        if not thresholds:
-            rows = rows.withColumn(_cell_name(name), F.lit(0.0))
-            continue
-        bucketizer = Bucketizer(
-            splits=[-inf, *[-t for t in reversed(thresholds)], inf],
-            inputCol="_negated",
-            outputCol=_cell_name(name),
-        )
-        negated = rows.withColumn("_negated", -F.col(name).cast("double"))
-        rows = bucketizer.transform(negated).drop("_negated")
-    return rows
-
-
-def _inner_points(cells: DataFrame, cuts: dict[str, list[float]]) -> DataFrame:
-    """Add a point inside each cell: per feature its upper threshold, or infinity in the last one."""
+        if thresholds:
+            place = Bucketizer(
+                splits=[-inf, *[-t for t in reversed(thresholds)], inf],
+                inputCol="_negated",
+                outputCol=f"_place_{name}",
+            )
+            rows = place.transform(rows.withColumn("_negated", -F.col(name).cast("double")))
+            cell = cell + F.col(f"_place_{name}").cast("bigint") * size
+            size *= len(thresholds) + 1
+    return rows.withColumn("_cell", cell).drop("_negated", *[f"_place_{name}" for name in cuts])
+
+
+def cell_points(spark: SparkSession, cuts: dict[str, list[float]], cells: int) -> DataFrame:
+    """Every cell of the model and a point inside it.
+
+    The point is, per feature, the cell's upper threshold, or infinity in the
+    last cell. The work per cell is large, so the cells are spread over all cores.
+    """
+    number = F.col("_cell")
+    points = {}
     for name, thresholds in cuts.items():
         uppers = F.array(F.lit(inf), *[F.lit(t) for t in reversed(thresholds)])
-        cells = cells.withColumn(name, F.element_at(uppers, (F.col(_cell_name(name)) + 1).cast("int")))
-    return cells
+        width = len(thresholds) + 1
+        points[name] = F.element_at(uppers, (number % width + 1).cast("int"))
+        number = F.floor(number / width)
+    grid = spark.range(0, cells, 1, spark.sparkContext.defaultParallelism)
+    return grid.withColumnRenamed("id", "_cell").withColumns(points)
 
 
 def shap_contributions(
@@ -165,20 +187,16 @@ def shap_contributions(
 ) -> DataFrame:
     """Prediction, base value and one contribution per feature for every complete row.
 
-    Both are computed once per occupied cell. The table of cells is broadcast,
-    behind a check of the number of cells the model allows. A model with more
-    cells is evaluated row by row instead.
+    Both are computed once per cell, and the table of cells is broadcast, behind
+    a check of the number of cells the model has. A model with more cells is
+    evaluated row by row instead.
     """
-    spark = rows.sparkSession
-    boxes = leaf_boxes(spark, model)
+    boxes = leaf_boxes(rows.sparkSession, model)
     cuts = {name: boxes.thresholds(i) for i, name in enumerate(FEATURES)}
-    if prod(len(thresholds) + 1 for thresholds in cuts.values()) > max_cells:
+    cells = prod(len(thresholds) + 1 for thresholds in cuts.values())
+    if cells > max_cells:
         return _with_values(predict_prices(model, rows), boxes)
 
-    keys = [_cell_name(name) for name in FEATURES]
-    placed = with_cells(model_rows(rows), cuts)
-    # A few numbers per cell, but costly ones: spread them over all cores.
-    occupied = placed.select(*keys).distinct().repartition(spark.sparkContext.defaultParallelism)
-    points = predict_prices(model, _inner_points(occupied, cuts), labelled=False)
+    points = predict_prices(model, cell_points(rows.sparkSession, cuts, cells), labelled=False)
     explained = _with_values(points, boxes).drop(*FEATURES)
-    return placed.join(F.broadcast(explained), keys).drop(*keys)
+    return cell_of(model_rows(rows), cuts).join(F.broadcast(explained), "_cell").drop("_cell")
