@@ -61,7 +61,7 @@ def csv_folder(spark: SparkSession, sf_dir: str) -> str:
         line = F.explode(F.when(unpriced, F.array(good, *bad)).otherwise(F.array(good)))
         lines = renamed.select("brand", line.alias(",".join(names)))
         # A separator and quote that no line holds: each line is one field, its name the header.
-        lines.write.partitionBy("brand").option("header", True).option("sep", "\u0001").option(
+        lines.hint("rebalance", "brand").write.partitionBy("brand").option("header", True).option("sep", "\u0001").option(
             "quote", "\u0002"
         ).csv(path)
         _name_folders_by_brand(spark, path)
@@ -208,7 +208,8 @@ def brand_changes(view: DataFrame) -> DataFrame:
 
 
 def listings_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The listings view over the line-item file as a stream."""
+    """The listings view over the line-item table, one file or many, as a stream."""
     schema = read_table(spark, sf_dir, "lineitem").schema
-    stream = read_parquet_stream(spark, sf_dir, schema, glob="lineitem.parquet")
+    # A pattern, since a file stream takes a single file only by pattern.
+    stream = read_parquet_stream(spark, f"{sf_dir}/lineitem.parquet*", schema)
     return shape_listings(stream, read_table(spark, sf_dir, "part"))

@@ -16,6 +16,9 @@ from forecourt.operators.keyed import listing_dedup
 from forecourt.operators.shape import filter_inserts, fit_columns
 from forecourt.plans.facts import api_feed_facts, brand_feed_facts
 from forecourt.schemas import FACT, columns_of
+from forecourt.session import stage
+
+MAX_BROADCAST_ADVERTS = 1_000_000
 
 
 def read_parquet_stream(
@@ -85,14 +88,19 @@ def append_new_adverts(table: str, key: str = "id") -> Callable[[DataFrame, int]
 
     The batch is reduced to its newest row per advert and joined against the
     adverts already in the table, so a batch that is replayed after a failure
-    adds nothing.
+    adds nothing. The table is first cut down to the batch's adverts; a batch
+    of few adverts is broadcast for that, and then the table is only scanned.
     """
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        fresh = listing_dedup(batch, key)
         target = batch.sparkSession.table(table)
+        fresh = stage(listing_dedup(batch, key), "batch")
+        adverts = fresh.select(F.col(key).alias("_fresh"))
+        if fresh.count() <= MAX_BROADCAST_ADVERTS:
+            adverts = F.broadcast(adverts)
         known = target.select(F.col(key).alias("_known"))
-        new = fresh.join(known, F.col(key) == F.col("_known"), "left_anti")
+        seen = known.join(adverts, F.col("_known").eqNullSafe(F.col("_fresh")), "left_semi").distinct()
+        new = fresh.join(seen, F.col(key).eqNullSafe(F.col("_known")), "left_anti")
         new.select(*target.columns).write.insertInto(table)
 
     return add

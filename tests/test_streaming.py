@@ -4,10 +4,12 @@ import datetime
 from pathlib import Path
 
 import pytest
+from conftest import SF_DIR
 from test_operators import api_row
 from test_sources import GOOD, HEADER
 
 from forecourt.operators import tables
+from forecourt.registry.inputs import listings_stream
 from forecourt.schemas import API_LISTING, CSV_LISTING, FACT, columns_of
 from forecourt.session import scratch_path
 from forecourt.sources.csv_listings import read_csv_listings
@@ -88,11 +90,13 @@ def silver(spark):
     return tables.create_layers(spark, root, prefix=f"s_{root.split('/')[-2][:8]}_").silver
 
 
-def test_adverts_are_added_once_even_if_a_batch_is_replayed(spark, new_dir, silver):
+@pytest.mark.parametrize("few", [0, feed.MAX_BROADCAST_ADVERTS])
+def test_adverts_are_added_once_even_if_a_batch_is_replayed(spark, new_dir, silver, monkeypatch, few):
+    monkeypatch.setattr(feed, "MAX_BROADCAST_ADVERTS", few)
     table = f"{silver}.adverts"
     tables.create_if_absent(spark, table, API_LISTING)
     late = datetime.datetime(2024, 6, 1)
-    first = [api_row("1"), api_row("1", price="5", search_timestamp=late), api_row("2")]
+    first = [api_row("1"), api_row("1", price="5", search_timestamp=late), api_row("2"), api_row(None)]
     spark.createDataFrame(first, API_LISTING).write.parquet(f"{new_dir}/in")
     stream = feed.read_parquet_stream(spark, f"{new_dir}/in", API_LISTING)
     feed.run_dedup_increment(stream, table, f"{new_dir}/cp")
@@ -101,7 +105,7 @@ def test_adverts_are_added_once_even_if_a_batch_is_replayed(spark, new_dir, silv
     spark.createDataFrame(again, API_LISTING).write.mode("append").parquet(f"{new_dir}/in")
     feed.run_dedup_increment(stream, table, f"{new_dir}/cp")
     rows = {r.id: r.price for r in spark.table(table).collect()}
-    assert spark.table(table).count() == 3 and rows["1"] == "5"
+    assert spark.table(table).count() == 4 and set(rows) == {"1", "2", "3", None} and rows["1"] == "5"
 
 
 def test_batch_loaded_and_streamed_facts_are_read_together(spark, new_dir, silver):
@@ -112,3 +116,13 @@ def test_batch_loaded_and_streamed_facts_are_read_together(spark, new_dir, silve
     stream = feed.api_cdc_facts(feed.read_parquet_stream(spark, f"{new_dir}/changes", CHANGES))
     feed.run_increment(stream, f"{new_dir}/facts", f"{new_dir}/cp")
     assert sorted(r.model for r in feed.all_facts(spark, table, f"{new_dir}/facts").collect()) == ["NEW", "OLD"]
+
+
+def test_the_listings_stream_reads_one_file_or_many(spark, new_dir):
+    spark.read.parquet(f"{SF_DIR}/lineitem.parquet").repartition(3).write.parquet(f"{new_dir}/lineitem.parquet")
+    spark.read.parquet(f"{SF_DIR}/part.parquet").write.parquet(f"{new_dir}/part.parquet")
+    counts = [
+        feed.run_increment(listings_stream(spark, folder), scratch_path(spark, "out"), scratch_path(spark, "cp"))
+        for folder in (SF_DIR, new_dir)
+    ]
+    assert counts[0] == counts[1] > 0
