@@ -37,13 +37,18 @@ def create_layers(spark: SparkSession, root: str, prefix: str = "") -> Layers:
 
 
 def create_if_absent(
-    spark: SparkSession, table: str, ddl: str, defaults: dict[str, str] | None = None
+    spark: SparkSession,
+    table: str,
+    ddl: str,
+    defaults: dict[str, str] | None = None,
+    partition_by: Sequence[str] = (),
 ) -> None:
     columns = [
         f"`{name}` {type_name}" + (f" DEFAULT {defaults[name]}" if defaults and name in defaults else "")
         for name, type_name in columns_of(ddl).items()
     ]
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({', '.join(columns)}) USING parquet")
+    layout = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({', '.join(columns)}) USING parquet{layout}")
 
 
 def add_missing_columns(spark: SparkSession, table: str, ddl: str) -> list[str]:

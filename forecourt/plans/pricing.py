@@ -62,7 +62,7 @@ def _with_vector(df: DataFrame) -> DataFrame:
 
 
 def train_price_model(
-    train: DataFrame, rounds: int = 100, depth: int = 6, rate: float = 0.3, bins: int = 64, seed: int = 42
+    train: DataFrame, rounds: int = 100, depth: int = 6, rate: float = 0.3, bins: int = 256, seed: int = 42
 ) -> GBTRegressionModel:
     """Boosted regression trees on squared error."""
     scratch_root(train.sparkSession)

@@ -1,4 +1,4 @@
-"""One-shot jobs that rebuild whole layers."""
+"""One-shot jobs that load or rebuild tables of the layers."""
 
 from __future__ import annotations
 
@@ -6,12 +6,35 @@ from pyspark.sql import DataFrame, SparkSession
 
 from forecourt.operators.keyed import backfill_anti_join
 from forecourt.operators.shape import fit_columns
-from forecourt.operators.tables import Layers, insert_columns, table_materialize, view_materialize
+from forecourt.operators.tables import (
+    Layers,
+    bronze_append,
+    create_if_absent,
+    insert_columns,
+    table_materialize,
+    view_materialize,
+)
 from forecourt.plans.facts import api_feed_facts, enrich
 from forecourt.plans.marts import diesel_devaluation_top, impact_summary
 from forecourt.plans.quality import cluster_distribution
 from forecourt.plans.segments import cluster_mart
-from forecourt.schemas import FACT, columns_of
+from forecourt.schemas import API_LISTING, CSV_LISTING, FACT, columns_of
+from forecourt.sources.api_responses import bronze_rows, fetch_listings
+from forecourt.sources.csv_listings import read_csv_listings
+
+
+def load_csv(spark: SparkSession, path: str, table: str) -> None:
+    """Append the good rows of all CSV files below ``path`` to a bronze table partitioned by brand."""
+    create_if_absent(spark, table, f"{CSV_LISTING}, brand string", partition_by=["brand"])
+    rows = read_csv_listings(spark, path)
+    insert_columns(rows.hint("rebalance", "brand"), table)
+
+
+def ingest_responses(responses: DataFrame, table: str) -> None:
+    """Append the listings of all answered requests to the bronze API table."""
+    defaults = {"search_timestamp": "current_timestamp()"}
+    create_if_absent(responses.sparkSession, table, API_LISTING, defaults)
+    bronze_append(bronze_rows(fetch_listings(responses)), table)
 
 
 def build_layers(spark: SparkSession, staged: DataFrame, layers: Layers, top_view: str) -> None:

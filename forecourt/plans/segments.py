@@ -60,8 +60,9 @@ def weighted_points(features: DataFrame, columns: Sequence[str] = FEATURES) -> D
 
 @dataclass(frozen=True)
 class Segmenter:
-    """A fitted scaling and K-Means model."""
+    """A fitted scaling and K-Means model, and the weighted points it was fitted on."""
 
+    points: DataFrame
     columns: tuple[str, ...]
     means: tuple[float, ...]
     deviations: tuple[float, ...]
@@ -72,6 +73,10 @@ class Segmenter:
         vectors = _scaled_vectors(df, self.columns, self.means, self.deviations)
         return self.model.transform(vectors).drop("_features")
 
+    def profile(self) -> DataFrame:
+        """Mean price, mileage and year per cluster, without another read of the rows."""
+        return cluster_profile_means(self.transform(self.points), F.col("weight"))
+
 
 def _scaled_vectors(df, columns, means, deviations) -> DataFrame:
     scaled = {
@@ -114,7 +119,7 @@ def fit_segments(
     with ThreadPool(min(parallelism, starts)) as pool:
         fitted = pool.map(lambda _: next(models), range(starts))
     best = min((model for _, model in sorted(fitted, key=lambda pair: pair[0])), key=_cost)
-    return Segmenter(tuple(FEATURES), means, deviations, best, _cost(best))
+    return Segmenter(points, tuple(FEATURES), means, deviations, best, _cost(best))
 
 
 def _cost(model: KMeansModel) -> float:
@@ -129,13 +134,15 @@ def kmeans_segments(features: DataFrame, **options) -> DataFrame:
     return segmenter.transform(features)
 
 
-def cluster_profile_means(scored: DataFrame) -> DataFrame:
-    """Mean price, mileage and year per cluster."""
-    return scored.groupBy("cluster_id").agg(
-        F.avg("price").alias("avg_price"),
-        F.avg("mileage").alias("avg_mileage"),
-        F.avg("year").alias("avg_year"),
-    )
+def cluster_profile_means(scored: DataFrame, weight: Column | None = None) -> DataFrame:
+    """Mean price, mileage and year per cluster, of rows or of weighted points."""
+
+    def mean(name: str) -> Column:
+        if weight is None:
+            return F.avg(name)
+        return F.sum(F.col(name) * weight) / F.sum(weight)
+
+    return scored.groupBy("cluster_id").agg(*[mean(name).alias(f"avg_{name}") for name in FEATURES])
 
 
 def cluster_price_order(profile: DataFrame) -> DataFrame:
@@ -156,9 +163,13 @@ def segment_name(position: Column, compliant: Column) -> Column:
     )
 
 
-def cluster_business_names(scored: DataFrame) -> DataFrame:
-    """Add ``cluster_name`` from the cluster's price position and the row's compliance."""
-    order = cluster_price_order(cluster_profile_means(scored)).select("cluster_id", "price_position")
+def cluster_business_names(scored: DataFrame, profile: DataFrame | None = None) -> DataFrame:
+    """Add ``cluster_name`` from the cluster's price position and the row's compliance.
+
+    The clusters' means are taken from ``scored`` unless their profile is given.
+    """
+    profile = cluster_profile_means(scored) if profile is None else profile
+    order = cluster_price_order(profile).select("cluster_id", "price_position")
     named = scored.join(F.broadcast(order), "cluster_id", "left")
     name = segment_name(F.col("price_position"), F.col("is_ulez_compliant"))
     return named.withColumn("cluster_name", name).drop("price_position")
@@ -176,11 +187,15 @@ def sample_per_cluster(mart: DataFrame, rows: int = 3) -> DataFrame:
 
 
 def cluster_mart(spark: SparkSession, facts: DataFrame, table: str, **options) -> DataFrame | None:
-    """Extract, cluster, name and overwrite the mart; without usable rows the mart is left alone."""
+    """Extract, cluster, name and overwrite the mart; without usable rows the mart is left alone.
+
+    The facts are read twice: for the points of the fit, and to assign the rows.
+    """
     features = ml_feature_extract(facts)
     segmenter = fit_segments(features, **options)
     if segmenter is None:
         return None
     create_if_absent(spark, table, CLUSTER_MART)
-    replace_rows(cluster_business_names(segmenter.transform(features)), table)
+    named = cluster_business_names(segmenter.transform(features), segmenter.profile())
+    replace_rows(named, table)
     return spark.table(table)

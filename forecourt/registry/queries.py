@@ -96,7 +96,9 @@ def price_model(spark: SparkSession, sf_dir: str):
 
 @query
 def csv_bulk_load(spark, sf_dir):
-    return read_csv_listings(spark, inputs.csv_folder(spark, sf_dir))
+    table = f"{new_layers(spark).bronze}.csv_listings"
+    refresh.load_csv(spark, inputs.csv_folder(spark, sf_dir), table)
+    return spark.table(table)
 
 
 @query
@@ -131,8 +133,7 @@ def multi_request_union(spark, sf_dir):
 @query
 def bronze_append(spark, sf_dir):
     table = f"{new_layers(spark).bronze}.api_listings"
-    tables.create_if_absent(spark, table, API_LISTING, {"search_timestamp": "current_timestamp()"})
-    tables.bronze_append(bronze_feed(spark, sf_dir), table)
+    refresh.ingest_responses(inputs.response_documents(spark, sf_dir), table)
     stamped = spark.table(table).where(F.col("search_timestamp").isNotNull())
     return stamped.select(*NO_LOAD_TIME)
 

@@ -57,6 +57,15 @@ def test_segments_are_the_nearest_centres_and_the_best_start(features):
     assert total == pytest.approx(best, rel=1e-9) == pytest.approx(many.cost, rel=1e-6)
 
 
+def test_profile_of_points_is_that_of_the_rows(features):
+    fitted = segments.fit_segments(features, starts=1)
+    by_rows = segments.cluster_profile_means(fitted.transform(features)).orderBy("cluster_id").collect()
+    by_points = fitted.profile().orderBy("cluster_id").collect()
+    assert len(by_rows) == 3
+    for a, b in zip(by_rows, by_points):
+        assert tuple(a) == pytest.approx(tuple(b))
+
+
 def test_fewer_points_than_segments(spark):
     ddl = "brand string, price int, mileage int, year int, is_ulez_compliant boolean"
     frame = spark.createDataFrame([("a", 1, 1, 2000, True), ("b", 9, 9, 2000, False), ("b", 9, 9, 2000, None)], ddl)

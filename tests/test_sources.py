@@ -6,7 +6,10 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
+from forecourt.operators import tables
+from forecourt.plans import refresh
 from forecourt.schemas import API_REQUEST
+from forecourt.session import scratch_path
 from forecourt.sources import api_responses as api
 from forecourt.sources.csv_listings import read_csv_listings
 
@@ -112,3 +115,18 @@ def test_what_is_bad_does_not_depend_on_the_columns_read(spark, new_dir):
     assert len(frame.select("model").collect()) == 5
     assert frame.agg(F.count("price").alias("n")).first().n == 4
     assert frame.where(F.col("year") > 2000).count() == 5
+
+
+def test_loads_append_to_bronze_tables(spark, new_dir):
+    root = scratch_path(spark, "layers")
+    bronze = tables.create_layers(spark, root, prefix=f"b_{root.split('/')[-2][:8]}_").bronze
+    write_csv(new_dir)
+    for _ in range(2):
+        refresh.load_csv(spark, new_dir, f"{bronze}.csv_listings")
+    counts = dict(map(tuple, spark.table(f"{bronze}.csv_listings").groupBy("brand").count().collect()))
+    assert counts == {"AUDI": 4, "BMW": 4, "LAND ROVER": 2}
+
+    requests = [("Audi", "Petrol", 1, 200, body(LISTING)), ("Audi", "Petrol", 2, 500, body(LISTING))]
+    refresh.ingest_responses(spark.createDataFrame(requests, API_REQUEST), f"{bronze}.api_listings")
+    (row,) = spark.table(f"{bronze}.api_listings").collect()
+    assert (row.brand, row.price, row.fuelType) == ("Audi", "15000", "Petrol") and row.search_timestamp
