@@ -7,8 +7,7 @@ from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -37,15 +36,18 @@ def ml_feature_extract(facts: DataFrame, columns: Sequence[str] = FEATURE_COLUMN
     return filter_complete(facts.select(*columns), FEATURES)
 
 
+def _scaled(names: Sequence[str], means: Sequence[float], deviations: Sequence[float], prefix: str) -> dict:
+    """(x - mean) / deviation per column, 0 for a constant column."""
+    return {
+        f"{prefix}{name}": (F.col(name) - mean) / deviation if deviation else F.lit(0.0)
+        for name, mean, deviation in zip(names, means, deviations)
+    }
+
+
 def standard_scale(df: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
     """Add ``scaled_<column>``: (x - mean) / sample standard deviation, 0 for a constant column."""
-    assembled = VectorAssembler(inputCols=list(columns), outputCol="_raw").transform(df)
-    scaler = StandardScaler(inputCol="_raw", outputCol="_scaled", withMean=True, withStd=True)
-    scaled = scaler.fit(assembled).transform(assembled)
-    values = vector_to_array("_scaled")
-    return scaled.withColumns(
-        {f"scaled_{name}": values[i] for i, name in enumerate(columns)}
-    ).drop("_raw", "_scaled")
+    moments = df.agg(*[F.avg(c) for c in columns], *[F.stddev_samp(c) for c in columns]).first()
+    return df.withColumns(_scaled(columns, moments[: len(columns)], moments[len(columns) :], "scaled_"))
 
 
 def weighted_points(features: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
@@ -78,11 +80,10 @@ class Segmenter:
         return cluster_profile_means(self.transform(self.points), F.col("weight"))
 
 
-def _scaled_vectors(df, columns, means, deviations) -> DataFrame:
-    scaled = {
-        f"_scaled_{name}": (F.col(name) - mean) / deviation if deviation else F.lit(0.0)
-        for name, mean, deviation in zip(columns, means, deviations)
-    }
+def _scaled_vectors(
+    df: DataFrame, columns: Sequence[str], means: Sequence[float], deviations: Sequence[float]
+) -> DataFrame:
+    scaled = _scaled(columns, means, deviations, "_scaled_")
     assembler = VectorAssembler(inputCols=list(scaled), outputCol="_features")
     return assembler.transform(df.withColumns(scaled)).drop(*scaled)
 
@@ -97,9 +98,12 @@ def _moments(points: DataFrame, columns: Sequence[str]) -> tuple[tuple[float, ..
 
 
 def fit_segments(
-    features: DataFrame, k: int = 3, starts: int = 10, seed: int = 42, parallelism: int = 4
+    features: DataFrame, k: int = 3, starts: int = 10, seed: int = 42, parallelism: int = 10
 ) -> Segmenter | None:
-    """Best of several K-Means starts on the scaled features; None if there are no rows."""
+    """Best of several K-Means starts on the scaled features; None if there are no rows.
+
+    The starts run side by side, since the jobs of one are too small to fill a cluster.
+    """
     points = stage(weighted_points(features), "points")
     if points.isEmpty():
         return None
