@@ -9,6 +9,7 @@ from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from forecourt.operators.shape import all_known
 from forecourt.session import scratch_root, stage
 
 FEATURES = ("vehicle_age", "mileage", "engine_size", "is_ulez_compliant")
@@ -29,17 +30,19 @@ def train_test_split(df: DataFrame, key: str = "id") -> tuple[DataFrame, DataFra
     return df.where(side == "train"), df.where(side == "test")
 
 
+def _usable(labelled: bool) -> Column:
+    columns = [*FEATURES, "price"] if labelled else FEATURES
+    return all_known(columns) & ~F.isnan(F.col("engine_size").cast("double"))
+
+
 def model_rows(facts: DataFrame, labelled: bool = True) -> DataFrame:
     """Rows whose features, and price if ``labelled``, are all known; the trees take no NULLs."""
-    return facts.dropna(subset=[*FEATURES, "price"] if labelled else list(FEATURES))
+    return facts.where(_usable(labelled))
 
 
 def skipped_rows(facts: DataFrame) -> DataFrame:
     """How many rows ``model_rows`` leaves out."""
-    known = F.col("price").isNotNull()
-    for name in FEATURES:
-        known = known & F.col(name).isNotNull()
-    return facts.agg(F.count_if(~known).alias("skipped_rows"))
+    return facts.agg(F.count_if(~_usable(labelled=True)).alias("skipped_rows"))
 
 
 def feature_groups(rows: DataFrame) -> DataFrame:

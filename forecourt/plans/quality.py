@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from forecourt.operators.shape import all_known
 from forecourt.operators.tables import read_or_empty
 from forecourt.schemas import CLUSTER_MART
 
 
 def row_counts(facts: DataFrame) -> DataFrame:
     """All rows and the rows a model can use, in one pass."""
-    usable = F.col("price").isNotNull() & F.col("mileage").isNotNull() & F.col("year").isNotNull()
+    usable = all_known(["price", "mileage", "year"])
     return facts.agg(F.count("*").alias("total"), F.count_if(usable).alias("valid"))
 
 

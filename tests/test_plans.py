@@ -40,6 +40,11 @@ def test_marts_aggregate_before_their_only_shuffle(fact_table, mart):
     assert plan.count("Exchange") == 1 and plan.count("HashAggregate") == 2 and "partial_avg" in plan
 
 
+def test_complete_rows_are_a_filter_the_scan_can_use(fact_table):
+    plan = plan_of(segments.ml_feature_extract(fact_table))
+    assert "PushedFilters: [IsNotNull(price), IsNotNull(mileage), IsNotNull(year)]" in plan
+
+
 def test_first_rows_of_a_group_are_picked_before_the_shuffle(spark):
     dedup = plan_of(QUERIES["listing_dedup"](spark, SF_DIR))
     assert re.search(r"WindowGroupLimit.*1, Final[\s\S]*Exchange[\s\S]*WindowGroupLimit.*1, Partial", dedup)
