@@ -11,7 +11,7 @@ from forecourt.plans import refresh
 from forecourt.schemas import API_REQUEST
 from forecourt.session import scratch_path
 from forecourt.sources import api_responses as api
-from forecourt.sources.csv_listings import read_csv_listings
+from forecourt.sources.csv_listings import brand_from_filename, read_csv_listings
 
 LISTING = {
     "advertId": "12345",
@@ -98,6 +98,20 @@ def write_csv(folder):
     Path(folder, "notes.txt").write_text("no listing")
 
 
+def test_brand_is_the_stem_of_the_file(spark):
+    paths = {
+        "file:/lake/audi.csv": "AUDI",
+        "s3a://lake/in/land%20rover.csv.gz": "LAND ROVER",
+        "s3a://lake/in/bmw.csv/part-00000-x.c000.csv": "BMW",
+        "s3a://lake/in/part-time.csv": "PART-TIME",
+        "s3a://lake/in.csv/vw.csv": "VW",
+        "s3a://lake/in/a+b%231.v2.csv": "A+B#1.V2",
+    }
+    frame = spark.createDataFrame([(path,) for path in paths], "path string").coalesce(1)
+    got = [row[0] for row in frame.select(brand_from_filename(F.col("path"))).collect()]
+    assert got == list(paths.values())
+
+
 def test_bad_rows_are_skipped(spark, new_dir):
     write_csv(new_dir)
     frame = read_csv_listings(spark, new_dir)
