@@ -69,7 +69,7 @@ def source_rates(docs: DataFrame, weights: Mapping[str, float] | None = None, si
     else:
         pairs = [F.lit(x) for name, share in weights.items() for x in (name, float(share))]
         named = F.create_map(*pairs) if pairs else F.expr("CAST(map() AS map<string,double>)")
-        weight = F.coalesce(F.get(F.map_values(F.map_filter(named, lambda k, v: k == F.col("source"))), F.lit(0)), F.lit(0.0))
+        weight = F.coalesce(F.try_element_at(named, F.col("source")), F.lit(0.0))
     sizes = sizes.withColumn("weight", weight)
     total = sizes.agg(F.sum("n_chars").alias("n_chars"), F.sum("weight").alias("weight")).first()
     share = F.col("weight") / F.lit(total["weight"] or 1.0)

@@ -1,14 +1,120 @@
-"""SQL for the queries that SQL can express, and the reasons where it cannot.
+"""SQL for the queries that SQL can express.
 
-No SQL: op4 (byte-pair merges), op5 (sketches; the classes need all pairs), op6 (CRC-32 word buckets).
+None for op1 (page structure), op3 (tokenizer files), op4 (byte-pair merges), op5 (sketches; its
+classes need all pairs), op6 (CRC-32 word buckets) and op8 (fitted model): their tests compare them
+with brute force, a round trip or held-out labels.
 """
 
 from __future__ import annotations
 
 from forecourt.llm import mixing
+from forecourt.llm import secret_scan as secrets
 
 ORACLES: dict[str, str] = {}
 
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _matches(kind: str, pattern: str) -> str:
+    """doc_id, kind, start, end and text of all matches of a pattern."""
+    return f"""
+    SELECT doc_id, '{kind}' AS kind, hit AS run,
+           list_sum(list_transform(pieces[1:i], lambda x: length(x)))
+             + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS first_char
+    FROM (SELECT doc_id, hits, pieces, unnest(hits) AS hit, generate_subscripts(hits, 1) AS i
+          FROM (SELECT doc_id, regexp_extract_all(text, {_quoted(pattern)}) AS hits,
+                       string_split_regex(text, {_quoted(pattern)}) AS pieces
+                FROM texts WHERE regexp_matches(text, {_quoted(pattern)})))"""
+
+
+def _secret_scan() -> str:
+    base = {
+        "assign": secrets.ASSIGN,
+        "access": secrets.ACCESS,
+        "hex": secrets.HEX,
+    }
+    value = f"length(regexp_extract(run, {_quoted(secrets.ASSIGN)}, 2)) >= {secrets.ASSIGN_VALUE_CHARS}"
+    limits = " ".join(f"WHEN '{c.kind}' THEN {secrets.most_repetition(c.bits)}" for c in secrets.CLASSES)
+    order = " ".join(f"WHEN '{kind}' THEN {i}" for i, kind in enumerate(secrets.KINDS))
+    written = "kind || ':' || first_char || ':' || past_char, ',' ORDER BY first_char, place"
+    overlap = "o.doc_id = e.doc_id AND o.first_char < e.past_char AND e.first_char < o.past_char"
+    first, second = (c.kind for c in secrets.CLASSES)
+    counted = ", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in secrets.BASE_KINDS)
+    return f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+base AS (
+    SELECT doc_id, kind, first_char, first_char + length(run) AS past_char
+    FROM ({" UNION ALL ".join(_matches(k, p) for k, p in base.items())}) m
+    WHERE kind <> 'assign' OR {value}
+), runs AS (
+    SELECT doc_id, kind, run, first_char, first_char + length(run) AS past_char
+    FROM ({" UNION ALL ".join(_matches(c.kind, c.pattern) for c in secrets.CLASSES)}) m
+    WHERE NOT regexp_matches(run, {_quoted(secrets.SUPPRESSED)})
+), windows AS (
+    SELECT DISTINCT kind, run, unnest(range(1, length(run) - {secrets.WINDOW} + 2)) AS place_in_run FROM runs
+), letters AS (
+    SELECT kind, run, place_in_run, unnest(string_split(substr(run, place_in_run, {secrets.WINDOW}), '')) AS letter FROM windows
+), repetition AS (
+    SELECT kind, run, place_in_run, sum(round(n * log2(n) * {secrets.SCALE})) AS bits
+    FROM (SELECT kind, run, place_in_run, letter, count(*) AS n FROM letters GROUP BY ALL) GROUP BY ALL
+), dense AS (
+    SELECT kind, run FROM repetition GROUP BY ALL HAVING min(bits) <= CASE kind {limits} END
+), entropy AS (
+    SELECT doc_id, kind, first_char, past_char FROM runs SEMI JOIN dense USING (kind, run)
+), hexes AS (
+    SELECT * FROM entropy e WHERE kind = '{first}' AND NOT EXISTS (SELECT 1 FROM base o WHERE {overlap})
+), others AS (
+    SELECT * FROM entropy e WHERE kind = '{second}'
+      AND NOT EXISTS (SELECT 1 FROM base o WHERE {overlap}) AND NOT EXISTS (SELECT 1 FROM hexes o WHERE {overlap})
+), spans AS (
+    SELECT *, CASE kind {order} END AS place
+    FROM (SELECT * FROM base UNION ALL SELECT * FROM hexes UNION ALL SELECT * FROM others)
+), found AS (
+    SELECT doc_id, {counted},
+           coalesce(string_agg({written}) FILTER (place < {len(secrets.BASE_KINDS)}), '') AS base_spans,
+           string_agg({written}) AS spans
+    FROM spans GROUP BY doc_id
+)
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in secrets.BASE_KINDS)},
+       sha256(coalesce(base_spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN found USING (doc_id)
+"""
+
+
+ORACLES["op2_secret_scan"] = _secret_scan()
+
+ORACLES["op7_warc"] = """
+WITH payloads AS (
+    SELECT page_id, coalesce(html, '') AS html FROM pages
+), digests AS (
+    SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS digest, max(page_id) OVER (PARTITION BY html) AS last
+    FROM payloads
+)
+SELECT page_id, payload_bytes,
+       array_to_string(list_transform(range(32), lambda i:
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                  1 + ((('0x' || substr(digest, 1 + 5 * (i // 4)::INT, 5))::INT >> (5 * (3 - i % 4))::INT) & 31), 1)), '')
+         AS payload_digest,
+       CASE WHEN last = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN last <> page_id THEN last END AS refers_to
+FROM digests
+"""
+
+ORACLES["op9_nearest"] = """
+WITH vectors AS (
+    SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+    WHERE len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+      AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score
+    FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+FROM scored QUALIFY rank <= 20
+"""
+
 ORACLES["op10_mixing"] = f"""
 WITH RECURSIVE sizes AS (
     SELECT source, coalesce(sum(length(text)), 0)::DOUBLE AS n_chars FROM documents GROUP BY source
@@ -27,9 +133,8 @@ WITH RECURSIVE sizes AS (
     UNION ALL
     SELECT source, rate, k + 1, p * rate / (k + 1), upto + p * rate / (k + 1) FROM poisson WHERE k < {mixing.ENTRIES - 1}
 ), draws AS (
-    SELECT doc_id, part,
-           ('0x' || substr(md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, '') || ':' || part), 1, 13))::BIGINT / 16.0::DOUBLE ** 13 AS u,
-           source
+    SELECT doc_id, source,
+           ('0x' || substr(md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, '') || ':' || part), 1, 13))::BIGINT / 16.0::DOUBLE ** 13 AS u
     FROM (SELECT DISTINCT doc_id, source FROM documents) d JOIN parts USING (source), range(1, n_parts + 1) r(part)
 ), counts AS (
     SELECT draws.doc_id, draws.source, count(poisson.k) AS n_copies

@@ -196,7 +196,6 @@ def secret_report(docs: DataFrame) -> DataFrame:
 
 def redact(docs: DataFrame, marker: str = "[SECRET]") -> DataFrame:
     """``docs`` with every span, overlapping ones as one, replaced by ``marker``; n_chars follows if there."""
-    scanned = with_spans(only(docs, *docs.columns).drop("base", "spans", *KINDS))
     text = F.col("text")
 
     def step(state: Column, s: Column) -> Column:
@@ -210,7 +209,14 @@ def redact(docs: DataFrame, marker: str = "[SECRET]") -> DataFrame:
     clean = F.aggregate(
         "spans", start, step, lambda state: F.concat(state["out"], F.substring(text, state["at"] + 1, F.length(text)))
     )
-    replaced = scanned.withColumn("text", F.when(F.size("spans") > 0, clean).otherwise(text))
-    if "n_chars" in docs.columns:
-        replaced = replaced.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return replaced.select(*[c for c in docs.columns if c in replaced.columns])
+    found = F.size("spans") > 0
+    # The row travels as one column, so that none of its names can clash with ours.
+    packed = docs.select("text", F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"))
+    replaced = with_spans(packed).select("row", found.alias("found"), F.when(found, clean).otherwise(text).alias("text"))
+    changed = {"text": F.col("text"), "n_chars": F.when(F.col("found"), F.length("text").cast("long"))}
+    return replaced.select(
+        *[
+            (F.coalesce(changed[name], F.col("row")[name]) if name in changed else F.col("row")[name]).alias(name)
+            for name in docs.columns
+        ]
+    )

@@ -1,0 +1,115 @@
+import hashlib
+import math
+import random
+import re
+from collections import Counter
+
+import pytest
+from llm_fixtures import documents, empty, odd_rows, sentences
+from oracle import connect, differences
+
+from forecourt.llm import secret_scan as ss
+from forecourt.llm.oracles import ORACLES
+
+ASSIGN = re.compile(
+    r"""((?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd])|(?:[Pp][Aa][Ss][Ss][Ww][Dd])|(?:[Ss][Ee][Cc][Rr][Ee][Tt])|"""
+    r"""(?:[Tt][Oo][Kk][Ee][Nn])|(?:[Aa][Pp][Ii]_?[Kk][Ee][Yy]))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+)
+
+
+def plain_base(text):
+    spans = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
+    spans += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    spans += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    return sorted(spans)
+
+
+def entropy(window):
+    return -sum(n / len(window) * math.log2(n / len(window)) for n in Counter(window).values())
+
+
+def plain_spans(text):
+    spans = plain_base(text)
+    for place, c in enumerate(ss.CLASSES, len(ss.BASE_KINDS)):
+        new = []
+        for m in re.finditer(c.pattern, text):
+            windows = [m[0][i : i + ss.WINDOW] for i in range(len(m[0]) - ss.WINDOW + 1)]
+            apart = not any(a < m.end() and m.start() < b for a, _, b in spans)
+            if apart and not re.search(ss.SUPPRESSED, m[0]) and max(map(entropy, windows)) >= c.bits - 1e-7:
+                new.append((m.start(), place, m.end()))
+        spans += new
+    return sorted(spans)
+
+
+def written(spans):
+    return ",".join(f"{ss.KINDS[kind]}:{start}:{end}" for start, kind, end in spans)
+
+
+@pytest.fixture(scope="module")
+def texts():
+    chance = random.Random(3)
+    letters = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/"
+    pieces = [
+        lambda: "".join(chance.choice(letters) for _ in range(chance.choice((10, 20, 24, 40, 90)))),
+        lambda: "".join(chance.choice("0123456789abcdef") for _ in range(chance.choice((10, 20, 31, 32, 64)))),
+        lambda: "".join(chance.choice("0123456789ABCDEF") for _ in range(chance.choice((20, 40)))),
+        lambda: "AKIA" + "".join(chance.choice("ABCDEFG234567") for _ in range(chance.choice((5, 12, 16)))),
+        lambda: chance.choice(("password", "Token", "API_KEY", "apikey", "secret", "paſſwd"))
+        + chance.choice(("=", ": ", '" : "', "=='", " "))
+        + chance.choice(("hunter2", "hunter22", "token=abcdefghij", "example/value.1=")),
+        lambda: sentences(chance.randrange(99), 5),
+        lambda: "EXAMPLE" + "0a1b2c3d4e5f6g7h8i9j",
+        lambda: "aaaaaaaaaaaaaaaaaaaa1234567890bcdefghijk",
+        lambda: "é🙂",
+    ]
+    return {i: chance.choice((" ", "\n", "")).join(chance.choice(pieces)() for _ in range(12)) for i in range(300)}
+
+
+def test_spans_match_plain_ones(spark, texts):
+    docs = documents(spark, [(i, t, "en", "s") for i, t in texts.items()])
+    kinds = Counter()
+    for row in ss.secret_report(docs).collect():
+        text = texts[row.doc_id]
+        base = plain_base(text)
+        kinds.update(kind for _, kind, _ in plain_spans(text))
+        assert row.spans == written(plain_spans(text))
+        assert row.base_sha256 == hashlib.sha256(written(base).encode()).hexdigest()
+        assert (row.n_assign, row.n_access, row.n_hex) == tuple(sum(k == n for _, k, _ in base) for n in range(3))
+    assert set(kinds) == set(range(len(ss.KINDS)))
+
+
+def test_sql_gives_the_same(spark, texts, new_dir):
+    docs = documents(spark, [(i, t, "en", "s") for i, t in texts.items()], clashing=False)
+    docs.coalesce(1).toPandas().to_parquet(f"{new_dir}/documents.parquet")
+    found = ss.secret_report(spark.read.parquet(f"{new_dir}/documents.parquet")).toArrow()
+    assert differences(found, connect(new_dir).sql(ORACLES["op2_secret_scan"]).to_arrow_table()) == []
+
+
+def test_only_jvm_functions_run(spark, texts):
+    docs = documents(spark, [(1, "x", "en", "s")])
+    for frame in (ss.secret_report(docs), ss.redact(docs)):
+        assert not re.search("Python|Arrow|Pandas", frame._jdf.queryExecution().executedPlan().toString().replace("ArrowScan", ""))
+
+
+def test_redaction_replaces_each_span_once(spark, texts):
+    docs = documents(spark, [(i, t, "en", "s") for i, t in texts.items()])
+    redacted = ss.redact(docs)
+    assert redacted.columns == docs.columns
+    for row in redacted.collect():
+        text, at, out = texts[row.doc_id], 0, ""
+        for start, _, end in plain_spans(text):
+            if start >= at:
+                out += text[at:start] + "[SECRET]"
+            at = max(at, end)
+        assert row.text == out + text[at:]
+        assert row.n_chars == len(row.text) and row.base == "x" and row.spans == "x"
+
+
+def test_odd_rows_and_empty_table(spark):
+    rows = ss.secret_report(documents(spark, odd_rows())).collect()
+    assert len(rows) == len(odd_rows())
+    nothing = hashlib.sha256(b"").hexdigest()
+    assert all((r.n_assign, r.base_sha256, r.spans) == (0, nothing, "") for r in rows)
+    kept = ss.redact(documents(spark, odd_rows())).collect()
+    assert [(r.doc_id, r.text, r.n_chars) for r in kept] == [(i, t, t and len(t)) if t is not None else (i, None, None) for i, t, *_ in odd_rows()]
+    assert ss.secret_report(empty(spark)).count() == ss.redact(empty(spark)).count() == 0
