@@ -111,5 +111,7 @@ def test_odd_rows_and_empty_table(spark):
     nothing = hashlib.sha256(b"").hexdigest()
     assert all((r.n_assign, r.base_sha256, r.spans) == (0, nothing, "") for r in rows)
     kept = ss.redact(documents(spark, odd_rows())).collect()
-    assert [(r.doc_id, r.text, r.n_chars) for r in kept] == [(i, t, t and len(t)) if t is not None else (i, None, None) for i, t, *_ in odd_rows()]
+    assert [(r.doc_id, r.text, r.n_chars) for r in kept] == [
+        (i, t, None if t is None else len(t)) for i, t, *_ in odd_rows()
+    ]
     assert ss.secret_report(empty(spark)).count() == ss.redact(empty(spark)).count() == 0
