@@ -16,9 +16,12 @@ Joining never emits the pairs of a bucket:
 1. Texts equal after normalising are one node, found by a pre-aggregated group-by.
 2. Every node of a bucket is compared with the least node of the bucket only.
 3. Verified links are contracted to components. Buckets that still hold two components are joined
-   on their key, but only nodes of different components whose packed signatures agree meet.
+   on their key under a condition: only nodes of different components whose packed signatures agree
+   and whose shared shingles allow the similarity leave the join, so a large bucket of texts that
+   are somewhat alike is compared but never emitted.
 
-So each candidate pair is either inside one component already or has been checked exactly.
+So each candidate pair is either inside one component already or has been checked exactly. Texts are
+fetched once, for nodes that share a bucket; a bitmap of fixed size spares the others the shuffle.
 
 Words are runs of letters and digits in lower case; fewer than five words make one shingle. Texts
 without a word are nodes by their raw text (null counts as empty) and link to nothing else. Rows
@@ -31,6 +34,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -224,6 +228,57 @@ def _alike(left: list[str], right: list[str]) -> Column:
     return sum(different[1:], different[0]) <= MAX_DIFFERENT_BITS
 
 
+@dataclass(frozen=True)
+class KeyBitmap:
+    """One bit per hash of a key, at most 16 MB: says which keys may be in a set. No key of the set is missed."""
+
+    n_bits: int
+    words: np.ndarray
+
+    def place(self, key: str) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(self.n_bits))
+
+    def has(self, places: np.ndarray) -> np.ndarray:
+        return (self.words[places >> 6] >> (places & 63).astype(np.uint64)) & np.uint64(1) == 1
+
+
+_MOST_BITS = 1 << 27
+
+
+def key_bitmap(keys: DataFrame, key: str) -> KeyBitmap:
+    """A bitmap of the keys. It grows with their number up to its limit and beyond that only loses sharpness."""
+    n_bits = 1 << 16
+    wanted = 16 * keys.count()
+    while n_bits < min(wanted, _MOST_BITS):
+        n_bits *= 2
+    bitmap = KeyBitmap(n_bits, np.zeros(n_bits // 64, np.uint64))
+    place = bitmap.place(key)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))
+    words = keys.groupBy(F.floor(place / 64).alias("at")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    bitmap.words[words.column("at").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    return bitmap
+
+
+def in_bitmap(rows: DataFrame, key: str, bitmap: KeyBitmap, inside: bool = True) -> DataFrame:
+    """The rows whose key may be in the set, or those whose key is surely not."""
+    shared = rows.sparkSession.sparkContext.broadcast(bitmap)
+
+    def chosen(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 1 << 20):
+            found = shared.value.has(batch.column(batch.num_columns - 1).to_numpy())
+            yield batch.filter(pa.array(found == inside)).select(range(batch.num_columns - 1))
+
+    placed = rows.withColumn("__place", bitmap.place(key))
+    return placed.mapInArrow(chosen, rows.schema)
+
+
+def node_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """node and text of the ``nodes`` (distinct), written out."""
+    rows = _identified(docs).select(F.col("own").alias("node"), "text")
+    likely = in_bitmap(rows, "node", key_bitmap(nodes, "node"))
+    return stage(likely.join(nodes, "node", "left_semi").groupBy("node").agg(F.max("text").alias("text")), "texts")
+
+
 def _compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     last, known = None, None
     for batch in slices(batches, most_rows=512):
@@ -237,29 +292,71 @@ def _compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array(linked, pa.bool_())).select(["a", "b"])
 
 
-def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) of nodes whose texts reach the similarity, written out.
 
-    Only texts that some pair names are gathered. Both joins meet plain shuffles, so a node with
-    many pairs is split over tasks.
+    Both joins meet plain shuffles, so a node with many pairs is split over tasks.
     """
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = stage(
-        _identified(docs)
-        .select(F.col("own").alias("node"), "text")
-        .join(wanted, "node", "left_semi")
-        .groupBy("node")
-        .agg(F.max("text").alias("text")),
-        "texts",
-    )
     with_a = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
     with_both = with_a.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
     compared = with_both.select("a", "b", "text_a", "text_b").mapInArrow(_compare, "a long, b long")
     return stage(compared, "links")
 
 
-def duplicate_classes(docs: DataFrame) -> DataFrame:
-    """doc_id, class_id (the least doc_id of its class) and n_same (rows of equal words) per row of ``docs``."""
+_SETS = pa.schema(
+    [("node", pa.int64()), ("elements", pa.list_(pa.int32())), ("weight", pa.float64()), ("extra", pa.float64())]
+)
+_SET_COLUMNS = ["elements", "weight", "extra"]
+
+
+def _to_sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches):
+        sets = [weighted_set(text) for text in batch.column("text").to_pylist()]
+        short = [np.unique((elements >> np.uint64(32)).astype(np.uint32)).view(np.int32) for elements, _ in sets]
+        weights = [weight.sum() for _, weight in sets]
+        columns = [batch.column("node"), pa.array(short, pa.list_(pa.int32())), pa.array(weights)]
+        extra = pa.array([w - len(e) for w, e in zip(weights, short)])
+        yield pa.RecordBatch.from_arrays([*columns, extra], schema=_SETS)
+
+
+def _may_link() -> Column:
+    """Whether the shared elements, with all repetition shared, reach the similarity: never false for a link."""
+    shared = F.size(F.array_intersect("a_elements", "b_elements")) + F.least("a_extra", "b_extra")
+    return shared >= SIMILARITY * (F.col("a_weight") + F.col("b_weight") - shared) - 1e-6
+
+
+def _links_across(met: DataFrame, labels: DataFrame, stars: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between components whose nodes still share a bucket."""
+    labelled = met.select("key", "node", *_BITS).join(labels, "node", "left")
+    labelled = stage(labelled.withColumn("label", F.coalesce("label", "node")), "members")
+    open_keys = stage(
+        labelled.groupBy("key")
+        .agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        .where("low < high")
+        .select("key"),
+        "open",
+    )
+    rest = stage(labelled.join(open_keys, "key", "left_semi"), "members")
+    nodes = rest.select("node").distinct()
+    sets = stage(
+        texts.join(nodes, "node", "left_semi").mapInArrow(
+            _to_sets, "node long, elements array<int>, weight double, extra double"
+        ),
+        "sets",
+    )
+    rest = stage(rest.join(sets, "node"), "members")
+    names = ["node", "label", *_BITS, *_SET_COLUMNS]
+    left = rest.select("key", *[F.col(n).alias(f"a_{n}") for n in names])
+    right = rest.select("key", *[F.col(n).alias(f"b_{n}") for n in names])
+    alike = _alike([f"a_{n}" for n in _BITS], [f"b_{n}" for n in _BITS])
+    apart = F.col("a_label") < F.col("b_label")
+    across = left.join(right, (left["key"] == right["key"]) & apart & alike & _may_link())
+    pairs = across.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b"))
+    return verified(stage(pairs.distinct().join(stars, ["a", "b"], "left_anti"), "pairs"), texts)
+
+
+def _classes(docs: DataFrame) -> DataFrame:
+    """doc_id, own, class_id and n_same per row of ``docs``."""
     sketched = stage(sketches(docs), "sketches")
     nodes = stage(
         sketched.groupBy("content").agg(
@@ -284,48 +381,44 @@ def duplicate_classes(docs: DataFrame) -> DataFrame:
         "buckets",
     )
     met = stage(members.join(shared, "key"), "members")
+    texts = node_texts(docs, stage(met.select("node").distinct(), "met"))
     stars = stage(
         met.where((F.col("node") != F.col("pivot")) & _alike(_BITS, least))
         .select(F.col("pivot").alias("a"), F.col("node").alias("b"))
         .distinct(),
         "pairs",
     )
-    links = verified(stars, docs)
-    labels = component_labels(links)
-
-    labelled = met.select("key", "node", *_BITS).join(labels, "node", "left")
-    labelled = stage(labelled.withColumn("label", F.coalesce("label", "node")), "members")
-    open_keys = stage(
-        labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("key"),
-        "open",
-    )
-    rest = stage(labelled.join(open_keys, "key", "left_semi"), "members")
-    left = rest.select("key", *[F.col(n).alias(f"a_{n}") for n in ["node", "label", *_BITS]])
-    right = rest.select("key", *[F.col(n).alias(f"b_{n}") for n in ["node", "label", *_BITS]])
-    across = left.join(right, "key").where(
-        (F.col("a_label") < F.col("b_label")) & _alike([f"a_{n}" for n in _BITS], [f"b_{n}" for n in _BITS])
-    )
-    unseen = (
-        across.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b"))
-        .distinct()
-        .join(stars, ["a", "b"], "left_anti")
-    )
-    more = verified(stage(unseen, "pairs"), docs)
+    links = verified(stars, texts)
+    more = _links_across(met, component_labels(links), stars, texts)
     labels = component_labels(links.unionByName(more))
-
     class_of = stage(
-        nodes.select("content", "node", "n_same").join(labels, "node", "left").select(
-            "content", F.coalesce("label", "node").alias("class_id"), "n_same"
-        ),
+        nodes.select("content", "node", "n_same")
+        .join(labels, "node", "left")
+        .select("content", F.coalesce("label", "node").alias("class_id"), "n_same"),
         "classes",
     )
-    return sketched.select("doc_id", "content").join(class_of, "content").select("doc_id", "class_id", "n_same")
+    return sketched.select("doc_id", "own", "content").join(class_of, "content").drop("content")
+
+
+def duplicate_classes(docs: DataFrame) -> DataFrame:
+    """doc_id, class_id (the least doc_id of its class) and n_same (rows of equal words) per row of ``docs``."""
+    return _classes(docs).select("doc_id", "class_id", "n_same")
 
 
 def one_per_class(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with the least doc_id of each class, once each; rows without doc_id likewise by text."""
-    own = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit(""))))
-    # class_id is the node of the row to keep; for a row without doc_id that is its text's hash.
-    kept = duplicate_classes(docs).select(F.col("class_id").alias("__own")).distinct()
-    chosen = docs.withColumn("__own", own).join(kept, "__own", "left_semi")
-    return chosen.dropDuplicates(["__own"]).select(*[F.col(f"`{name}`") for name in docs.columns])
+    """The rows of ``docs`` with the least doc_id of each class, once each; rows without doc_id likewise by text.
+
+    Rows of classes of their own, nearly all, are told by a bitmap and stay where they are; only
+    rows that may have to go are shuffled.
+    """
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.withColumn("__own", F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)))
+    per_id = _classes(docs).groupBy(F.col("own").alias("__own")).agg(
+        F.min("class_id").alias("class_id"), F.count(F.lit(1)).alias("n")
+    )
+    doubtful = stage(per_id.where((F.col("__own") != F.col("class_id")) | (F.col("n") > 1)), "doubtful")
+    bitmap = key_bitmap(doubtful, "__own")
+    gone = doubtful.where(F.col("__own") != F.col("class_id")).select("__own")
+    kept = in_bitmap(rows, "__own", bitmap).join(gone, "__own", "left_anti").dropDuplicates(["__own"])
+    chosen = in_bitmap(rows, "__own", bitmap, inside=False).unionByName(kept)
+    return chosen.select(*[F.col(f"`{name}`") for name in docs.columns])
