@@ -13,15 +13,25 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], rows: int = 1) -> DataFrame:
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_n", F.row_number().over(window)).where(F.col("_n") <= rows).drop("_n")
 
 
-def listing_dedup(listings: DataFrame, key: str = "id", newest: str = "search_timestamp") -> DataFrame:
-    """Newest listing per advert; ties go to the smallest remaining columns, in column order."""
+def newest_per_key(listings: DataFrame, key: str, newest: str) -> DataFrame:
+    """Newest row per known key; ties go to the smallest remaining columns, in column order."""
     ties = [F.col(name).asc_nulls_last() for name in listings.columns if name not in (key, newest)]
-    return first_per_key(listings, [key], [F.col(newest).desc_nulls_last(), *ties])
+    known = listings.where(F.col(key).isNotNull())
+    return first_per_key(known, [key], [F.col(newest).desc_nulls_last(), *ties])
+
+
+def listing_dedup(listings: DataFrame, key: str = "id", newest: str = "search_timestamp") -> DataFrame:
+    """Newest listing per advert.
+
+    An unknown advert is not the same as another unknown one, so rows without a key all pass.
+    """
+    return newest_per_key(listings, key, newest).unionByName(listings.where(F.col(key).isNull()))
 
 
 def distinct_keys(df: DataFrame, key: str, alias: str) -> DataFrame:

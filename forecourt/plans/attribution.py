@@ -5,12 +5,13 @@ The value of a feature set S at a point is the sum over leaves of
     leaf value * product(f in S: point inside the leaf's f-interval)
                * product(f not in S: share of rows that the leaf's f-splits keep)
 
-With four features there are sixteen sets, so the values are exact.
+With four features there are sixteen sets, so the values are exact. A feature is
+two inputs of the model, its value and whether it is known; both belong to it.
 
-A tree compares features with thresholds only. The thresholds of a model cut
-the feature space into cells, and every listing of a cell has the same values.
-So the work per listing is to find its cell; the values are computed once per
-cell, and the number of cells is bound by the model, not by the data.
+A tree compares inputs with thresholds only. The thresholds of a model cut the
+input space into cells, and every listing of a cell has the same values. So the
+work per listing is to find its cell. The values are computed once per cell that
+some listing falls in, and joined back on the cell's number.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import combinations
-from math import factorial, inf, prod
+from math import factorial, inf
 
 import numpy as np
 import pandas as pd
@@ -27,24 +28,24 @@ from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forecourt.plans.pricing import FEATURES, model_rows, predict_prices
-from forecourt.session import scratch_path
+from forecourt.plans.pricing import FEATURES, INPUTS, model_inputs, predict_inputs
+from forecourt.session import scratch_path, stage
 
-MAX_BROADCAST_CELLS = 1_000_000
+_CELLS_PER_TASK = 2000
 _BATCH_POINTS = 128  # bounds a task's memory to points * leaves
 
 
 @dataclass(frozen=True)
 class LeafBoxes:
-    """One row per leaf: weighted value and, per feature, interval and kept share."""
+    """One row per leaf: weighted value and, per input, interval and kept share."""
 
     value: np.ndarray
     low: np.ndarray
     high: np.ndarray
     share: np.ndarray
 
-    def thresholds(self, feature: int) -> list[float]:
-        cuts = np.concatenate([self.low[:, feature], self.high[:, feature]])
+    def thresholds(self, place: int) -> list[float]:
+        cuts = np.concatenate([self.low[:, place], self.high[:, place]])
         return sorted({float(cut) for cut in cuts if np.isfinite(cut)})
 
 
@@ -67,7 +68,7 @@ def leaf_boxes(spark: SparkSession, model: GBTRegressionModel) -> LeafBoxes:
     value, low, high, share = [], [], [], []
     for tree_id, tree in table.groupby("treeID"):
         by_node = tree.set_index("node").to_dict("index")
-        open_nodes = [(0, {f: (-inf, inf, 1.0) for f in range(len(FEATURES))})]
+        open_nodes = [(0, {f: (-inf, inf, 1.0) for f in range(len(INPUTS))})]
         while open_nodes:
             number, box = open_nodes.pop()
             node = by_node[number]
@@ -92,11 +93,12 @@ def value_columns() -> list[str]:
 
 
 def _explainer(boxes: LeafBoxes) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """A mapInPandas function that adds base value and contributions to each row."""
-    features = list(FEATURES)
-    value, low, high, share = boxes.value, boxes.low, boxes.high, boxes.share
+    """A mapInPandas function that adds base value and contributions to each row of inputs."""
+    value, low, high = boxes.value, boxes.low, boxes.high
     names, step = value_columns(), _BATCH_POINTS
-    count = low.shape[1]
+    count = len(FEATURES)
+    # A feature's two inputs are known or unknown together.
+    share = boxes.share[:, :count] * boxes.share[:, count:]
     halves = (range(count // 2), range(count // 2, count))
     chance = [factorial(n) * factorial(count - n - 1) / factorial(count) for n in range(count)]
 
@@ -117,7 +119,8 @@ def _explainer(boxes: LeafBoxes) -> Callable[[Iterator[pd.DataFrame]], Iterator[
         return found
 
     def contributions(x: np.ndarray) -> np.ndarray:
-        inside = [(x[:, f, None] > low[:, f]) & (x[:, f, None] <= high[:, f]) for f in range(count)]
+        met = [(x[:, i, None] > low[:, i]) & (x[:, i, None] <= high[:, i]) for i in range(2 * count)]
+        inside = [met[f] & met[count + f] for f in range(count)]
         first, second = (products(inside, half) for half in halves)
         weighted = {chosen: product * value for chosen, product in first.items()}
         worth = {
@@ -133,7 +136,7 @@ def _explainer(boxes: LeafBoxes) -> Callable[[Iterator[pd.DataFrame]], Iterator[
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            x = batch[features].to_numpy(dtype=float)
+            x = batch[INPUTS].to_numpy(dtype=float)
             parts = [contributions(x[i : i + step]) for i in range(0, len(x), step)]
             if parts:
                 yield batch.assign(**dict(zip(names, np.vstack(parts).T)))
@@ -165,38 +168,16 @@ def cell_of(rows: DataFrame, cuts: dict[str, list[float]]) -> DataFrame:
     return rows.withColumn("_cell", cell).drop("_negated", *[f"_place_{name}" for name in cuts])
 
 
-def cell_points(spark: SparkSession, cuts: dict[str, list[float]], cells: int) -> DataFrame:
-    """Every cell of the model and a point inside it.
+def shap_contributions(model: GBTRegressionModel, rows: DataFrame) -> DataFrame:
+    """Prediction, base value and one contribution per feature for every row.
 
-    The point is, per feature, the cell's upper threshold, or infinity in the
-    last cell. The work per cell is large, so the cells are spread over all cores.
-    """
-    number = F.col("_cell")
-    points = {}
-    for name, thresholds in cuts.items():
-        uppers = F.array(F.lit(inf), *[F.lit(t) for t in reversed(thresholds)])
-        width = len(thresholds) + 1
-        points[name] = F.element_at(uppers, (number % width + 1).cast("int"))
-        number = F.floor(number / width)
-    grid = spark.range(0, cells, 1, spark.sparkContext.defaultParallelism)
-    return grid.withColumnRenamed("id", "_cell").withColumns(points)
-
-
-def shap_contributions(
-    model: GBTRegressionModel, rows: DataFrame, max_cells: int = MAX_BROADCAST_CELLS
-) -> DataFrame:
-    """Prediction, base value and one contribution per feature for every complete row.
-
-    Both are computed once per cell, and the table of cells is broadcast, behind
-    a check of the number of cells the model has. A model with more cells is
-    evaluated row by row instead.
+    One point per cell present is explained: the least value of each input in it.
+    The join meets plain shuffles, so adaptive execution can split a cell that
+    holds a large part of the rows; it broadcasts the cells only if they are few.
     """
     boxes = leaf_boxes(rows.sparkSession, model)
-    cuts = {name: boxes.thresholds(i) for i, name in enumerate(FEATURES)}
-    cells = prod(len(thresholds) + 1 for thresholds in cuts.values())
-    if cells > max_cells:
-        return _with_values(predict_prices(model, rows), boxes)
-
-    points = predict_prices(model, cell_points(rows.sparkSession, cuts, cells), labelled=False)
-    explained = _with_values(points, boxes).drop(*FEATURES)
-    return cell_of(model_rows(rows), cuts).join(F.broadcast(explained), "_cell").drop("_cell")
+    placed = cell_of(rows.withColumns(model_inputs()), {name: boxes.thresholds(i) for i, name in enumerate(INPUTS)})
+    points = stage(placed.groupBy("_cell").agg(*[F.min(name).alias(name) for name in INPUTS]), "cells")
+    points = points.repartition(max(1, -(-points.count() // _CELLS_PER_TASK)))
+    explained = stage(_with_values(predict_inputs(model, points), boxes).drop(*INPUTS), "explained")
+    return placed.drop(*INPUTS).join(explained, "_cell").drop("_cell")

@@ -31,9 +31,13 @@ def title_as_model(df: DataFrame) -> DataFrame:
 def stage_api(
     api: DataFrame, clean_price: Callable[[Column], Column] = text.price_clean_try
 ) -> DataFrame:
-    """Staging view over the API feed: brand from the title, cleaned price."""
+    """Staging view over the API feed: brand from the title, cleaned price.
+
+    Prices are whole: whatever cleans them, a fraction is rounded half up.
+    """
+    price = F.round(clean_price(F.col("price"))).cast("bigint")
     staged = title_as_model(rename_constants(api)).withColumns(
-        {"brand": text.brand_from_title(F.col("title")), "price": clean_price(F.col("price"))}
+        {"brand": text.brand_from_title(F.col("title")), "price": price}
     )
     return staged.select(*STAGING_COLUMNS)
 

@@ -13,8 +13,11 @@ from forecourt.functions.rules import percent_change
 from forecourt.functions.text import percent_text, pounds
 from forecourt.operators.shape import melt, present
 
+# Report labels.
 COMPLIANT_LABEL = "Compliant Average Price"
 NON_COMPLIANT_LABEL = "Non-Compliant Average Price"
+PERCENT_LABEL = "Devaluation (%)"
+DROP_LABEL = "Price Drop (£)"
 
 
 def conditional_avg_pair(value: Column, flag: Column) -> dict[str, Column]:
@@ -120,8 +123,8 @@ def present_devaluation(top: DataFrame) -> DataFrame:
         {
             "avg_price_compliant": COMPLIANT_LABEL,
             "avg_price_non_compliant": NON_COMPLIANT_LABEL,
-            "devaluation_percent": "Devaluation (%)",
-            "devaluation_amount": "Price Drop (£)",
+            "devaluation_percent": PERCENT_LABEL,
+            "devaluation_amount": DROP_LABEL,
         },
         {
             "avg_price_compliant": pounds(F.col("avg_price_compliant")),

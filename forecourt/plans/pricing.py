@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from forecourt.operators.shape import all_known
 from forecourt.session import scratch_root, stage
 
 FEATURES = ("vehicle_age", "mileage", "engine_size", "is_ulez_compliant")
 _VECTOR = "_features"
+UNKNOWN = -1.0  # below every known value that occurs: ages, miles and sizes start at 0
 
 
 def is_test_row(key: Column) -> Column:
@@ -30,19 +30,20 @@ def train_test_split(df: DataFrame, key: str = "id") -> tuple[DataFrame, DataFra
     return df.where(side == "train"), df.where(side == "test")
 
 
-def _usable(labelled: bool) -> Column:
-    columns = [*FEATURES, "price"] if labelled else FEATURES
-    return all_known(columns) & ~F.isnan(F.col("engine_size").cast("double"))
+def known(name: str) -> Column:
+    return F.col(name).isNotNull() & ~F.isnan(F.col(name).cast("double"))
 
 
-def model_rows(facts: DataFrame, labelled: bool = True) -> DataFrame:
-    """Rows whose features, and price if ``labelled``, are all known; the trees take no NULLs."""
-    return facts.where(_usable(labelled))
+def model_inputs() -> dict[str, Column]:
+    """What the trees see of each feature: its value, or a number below all values, and whether it is known.
+
+    So rows with an unknown feature have a place of their own in the trees, learned like any other.
+    """
+    values = {f"_{name}": F.when(known(name), F.col(name).cast("double")).otherwise(UNKNOWN) for name in FEATURES}
+    return values | {f"_{name}_known": known(name).cast("double") for name in FEATURES}
 
 
-def skipped_rows(facts: DataFrame) -> DataFrame:
-    """How many rows ``model_rows`` leaves out."""
-    return facts.agg(F.count_if(~_usable(labelled=True)).alias("skipped_rows"))
+INPUTS = [*[f"_{name}" for name in FEATURES], *[f"_{name}_known" for name in FEATURES]]
 
 
 def feature_groups(rows: DataFrame) -> DataFrame:
@@ -58,18 +59,20 @@ def feature_groups(rows: DataFrame) -> DataFrame:
     )
 
 
+def _assembled(df: DataFrame) -> DataFrame:
+    return VectorAssembler(inputCols=INPUTS, outputCol=_VECTOR).transform(df)
+
+
 def _with_vector(df: DataFrame) -> DataFrame:
-    inputs = {f"_{name}": F.col(name).cast("double") for name in FEATURES}
-    assembler = VectorAssembler(inputCols=list(inputs), outputCol=_VECTOR)
-    return assembler.transform(df.withColumns(inputs)).drop(*inputs)
+    return _assembled(df.withColumns(model_inputs())).drop(*INPUTS)
 
 
 def train_price_model(
     train: DataFrame, rounds: int = 100, depth: int = 6, rate: float = 0.3, bins: int = 256, seed: int = 42
 ) -> GBTRegressionModel:
-    """Boosted regression trees on squared error."""
+    """Boosted regression trees on squared error, fitted on all rows with a price."""
     scratch_root(train.sparkSession)
-    groups = stage(feature_groups(model_rows(train)), "feature_groups")
+    groups = stage(feature_groups(train.where(F.col("price").isNotNull())), "feature_groups")
     regressor = GBTRegressor(
         featuresCol=_VECTOR,
         labelCol="mean_price",
@@ -87,8 +90,14 @@ def train_price_model(
     return regressor.fit(_with_vector(groups).select(_VECTOR, "mean_price", "weight"))
 
 
-def predict_prices(model: GBTRegressionModel, df: DataFrame, labelled: bool = True) -> DataFrame:
-    return model.transform(_with_vector(model_rows(df, labelled))).drop(_VECTOR)
+def predict_prices(model: GBTRegressionModel, df: DataFrame) -> DataFrame:
+    """Every row with its ``predicted_price``; neither price nor features need be known."""
+    return model.transform(_with_vector(df)).drop(_VECTOR)
+
+
+def predict_inputs(model: GBTRegressionModel, inputs: DataFrame) -> DataFrame:
+    """Predictions for rows that hold the model's inputs already."""
+    return model.transform(_assembled(inputs)).drop(_VECTOR)
 
 
 def regression_metrics(scored: DataFrame, label: str = "price", prediction: str = "predicted_price") -> DataFrame:
@@ -101,25 +110,36 @@ def regression_metrics(scored: DataFrame, label: str = "price", prediction: str
     )
 
 
-def category_labels(df: DataFrame, column: str, max_categories: int = 10_000) -> list[str]:
-    """Values by falling frequency, then name. Fails rather than collect an unbounded list."""
+def category_index(df: DataFrame, column: str) -> DataFrame:
+    """The values of a column and their places by falling frequency, then name.
+
+    The counts are sorted by ranges over many tasks; a value's place is its place in the task plus
+    the sizes of the tasks before, so neither the driver nor one task holds the list.
+    """
+    order = [F.col("count").desc(), F.col(column)]
     counts = df.where(F.col(column).isNotNull()).groupBy(column).count()
-    rows = counts.orderBy(F.col("count").desc(), column).limit(max_categories + 1).collect()
-    if len(rows) > max_categories:
-        raise ValueError(f"{column} has more than {max_categories} values; not a category")
-    return [row[0] for row in rows]
+    ranged = counts.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    ranged = stage(ranged, "categories")
+    local = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy("_part").agg(F.count("*").alias("_size"))
+    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
+    placed = ranged.withColumn("_local", local).join(offsets, "_part")
+    return placed.select(column, (F.col("_before") + F.col("_local") - 1).alias(f"{column}_index"))
 
 
 def categorical_encode(df: DataFrame, columns: Sequence[str] = ("fuel_type", "brand")) -> DataFrame:
-    """Add ``<column>_index`` and ``<column>_vector``, one slot per value; a NULL is all zeros."""
+    """Add ``<column>_index`` and ``<column>_vector``, one slot per value; a NULL is all zeros.
+
+    A NULL's index is one past the last value's. Vectors are sparse.
+    """
     for column in columns:
-        indexer = StringIndexerModel.from_labels(
-            category_labels(df, column),
-            inputCol=column,
-            outputCol=f"{column}_index",
-            handleInvalid="keep",
-        )
-        indexed = indexer.transform(df)
-        encoder = OneHotEncoder(inputCol=f"{column}_index", outputCol=f"{column}_vector")
-        df = encoder.fit(indexed).transform(indexed)
+        index, vector = f"{column}_index", f"{column}_vector"
+        places = stage(category_index(df, column), "places")
+        size = places.count()
+        nominal = {"ml_attr": {"type": "nominal", "name": index, "num_vals": size + 1}}
+        place = F.coalesce(F.col(index), F.lit(size)).cast("double")
+        indexed = df.join(places, column, "left").withColumn(index, place).withMetadata(index, nominal)
+        indexed = indexed.select(*df.columns, index)
+        df = OneHotEncoder(inputCol=index, outputCol=vector).fit(indexed).transform(indexed)
     return df

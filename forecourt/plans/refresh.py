@@ -20,14 +20,26 @@ from forecourt.plans.quality import cluster_distribution
 from forecourt.plans.segments import cluster_mart
 from forecourt.schemas import API_LISTING, CSV_LISTING, FACT, columns_of
 from forecourt.sources.api_responses import bronze_rows, fetch_listings
-from forecourt.sources.csv_listings import read_csv_listings
+from forecourt.session import stage
+from forecourt.sources.csv_listings import csv_files, literal_path, read_csv_listings
+from forecourt.streaming.change_feed import all_facts
 
 
 def load_csv(spark: SparkSession, path: str, table: str) -> None:
-    """Append the good rows of all CSV files below ``path`` to a bronze table partitioned by brand."""
+    """Append the good rows of the CSV files below ``path`` that the table has not loaded yet.
+
+    ``<table>_loads`` keeps path, time and length of each loaded file; a file that has changed since
+    counts as new. If the job fails before the history is written, its files are loaded again.
+    """
     create_if_absent(spark, table, f"{CSV_LISTING}, brand string", partition_by=["brand"])
-    rows = read_csv_listings(spark, path)
-    insert_columns(rows.hint("rebalance", "brand"), table)
+    create_if_absent(spark, f"{table}_loads", "path string, modified timestamp, length bigint")
+    known = spark.table(f"{table}_loads")
+    new = stage(csv_files(spark, path).join(known, ["path", "modified", "length"], "left_anti"), "new_files")
+    paths = [row.path for row in new.select("path").toLocalIterator()]
+    if paths:
+        rows = read_csv_listings(spark, [literal_path(name) for name in paths])
+        insert_columns(rows.hint("rebalance", "brand"), table)
+        insert_columns(new, f"{table}_loads")
 
 
 def ingest_responses(responses: DataFrame, table: str) -> None:
@@ -37,21 +49,21 @@ def ingest_responses(responses: DataFrame, table: str) -> None:
     bronze_append(bronze_rows(fetch_listings(responses)), table)
 
 
-def build_layers(spark: SparkSession, staged: DataFrame, layers: Layers, top_view: str) -> None:
-    """Staging view to fact table, impact mart and the devaluation view."""
+def build_layers(
+    spark: SparkSession, staged: DataFrame, layers: Layers, top_view: str, stream_path: str | None = None
+) -> None:
+    """Staging view to fact table, impact mart and the devaluation view; the marts include streamed facts."""
     rows = fit_columns(enrich(staged), columns_of(FACT))
-    facts = table_materialize(rows, f"{layers.silver}.fct_cars", partition_by=["brand"])
+    table_materialize(rows, f"{layers.silver}.fct_cars", partition_by=["brand"])
+    facts = all_facts(spark, f"{layers.silver}.fct_cars", stream_path)
     table_materialize(impact_summary(facts), f"{layers.gold}.mart_ulez_impact")
     view_materialize(diesel_devaluation_top(facts), top_view)
 
 
-def stream_backfill(raw: DataFrame, fact_table: str) -> None:
-    """Load the raw rows that predate the stream and are not in the facts yet.
-
-    Run it before the stream's first micro-batch.
-    """
+def stream_backfill(raw: DataFrame, fact_table: str, stream_path: str | None = None) -> None:
+    """Load the raw rows that are in neither the loaded nor the streamed facts yet."""
     spark = raw.sparkSession
-    missing = backfill_anti_join(raw, spark.table(fact_table))
+    missing = backfill_anti_join(raw, all_facts(spark, fact_table, stream_path))
     types = {k: v for k, v in columns_of(FACT).items() if k not in ("tax", "mpg")}
     insert_columns(fit_columns(api_feed_facts(missing), types), fact_table)
 

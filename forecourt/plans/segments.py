@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import VectorAssembler
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -18,7 +17,9 @@ from forecourt.schemas import CLUSTER_MART
 from forecourt.session import stage
 
 FEATURES = ("price", "mileage", "year")
-_MANY_POINTS = 1000
+SAMPLE_POINTS = 20_000  # in expectation; bounds the driver's share of the fit
+REFINED_STARTS = 3
+PROFILE = "cluster_id int, avg_price double, avg_mileage double, avg_year double"
 FEATURE_COLUMNS = [
     "brand", "model", "year", "price", "mileage", "fuel_type", "engine_size", "is_ulez_compliant",
 ]
@@ -50,84 +51,143 @@ def standard_scale(df: DataFrame, columns: Sequence[str] = FEATURES) -> DataFram
     return df.withColumns(_scaled(columns, moments[: len(columns)], moments[len(columns) :], "scaled_"))
 
 
-def weighted_points(features: DataFrame, columns: Sequence[str] = FEATURES) -> DataFrame:
-    """Distinct feature points and how many rows share each.
-
-    K-Means on weighted points has the same objective as on the rows. The
-    iterations then run over the points, whose number is bound by the values
-    the features take and not by the number of listings.
-    """
-    return features.groupBy(*columns).agg(F.count("*").cast("double").alias("weight"))
-
-
 @dataclass(frozen=True)
 class Segmenter:
-    """A fitted scaling and K-Means model, and the weighted points it was fitted on."""
+    """A fitted scaling and the centres of the segments in scaled units, with their row counts."""
 
-    points: DataFrame
     columns: tuple[str, ...]
     means: tuple[float, ...]
     deviations: tuple[float, ...]
-    model: KMeansModel
+    centres: np.ndarray
+    sizes: np.ndarray
     cost: float
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        vectors = _scaled_vectors(df, self.columns, self.means, self.deviations)
-        return self.model.transform(vectors).drop("_features")
+    def distances(self) -> list[Column]:
+        """Squared distance of a row from each centre."""
+        scaled = list(_scaled(self.columns, self.means, self.deviations, "").values())
+        return [
+            sum((x - float(c)) * (x - float(c)) for x, c in zip(scaled, centre)) for centre in self.centres
+        ]
 
-    def profile(self) -> DataFrame:
-        """Mean price, mileage and year per cluster, without another read of the rows."""
-        return cluster_profile_means(self.transform(self.points), F.col("weight"))
+    def transform(self, df: DataFrame) -> DataFrame:
+        """The rows with ``cluster_id``: the nearest centre, the first one in a tie."""
+        distances = F.array(*self.distances())
+        nearest = F.array_position(distances, F.array_min(distances)) - 1
+        return df.withColumn("cluster_id", nearest.cast("int"))
 
+    def profile(self) -> list[tuple]:
+        """cluster_id and mean of each column, for segments that have rows."""
+        centres = self.centres * np.array(self.deviations) + np.array(self.means)
+        return [(i, *map(float, centre)) for i, centre in enumerate(centres) if self.sizes[i]]
 
-def _scaled_vectors(
-    df: DataFrame, columns: Sequence[str], means: Sequence[float], deviations: Sequence[float]
-) -> DataFrame:
-    scaled = _scaled(columns, means, deviations, "_scaled_")
-    assembler = VectorAssembler(inputCols=list(scaled), outputCol="_features")
-    return assembler.transform(df.withColumns(scaled)).drop(*scaled)
 
+def _sample(features: DataFrame, names: Sequence[str], count: int) -> tuple[np.ndarray, np.ndarray]:
+    """About SAMPLE_POINTS rows as distinct points, in order, and their row counts.
 
-def _moments(points: DataFrame, columns: Sequence[str]) -> tuple[tuple[float, ...], tuple[float, ...]]:
-    total = F.sum("weight")
-    means = tuple(points.agg(*[F.sum(F.col(c) * F.col("weight")) / total for c in columns]).first())
-    squares = [
-        F.sum((F.col(c) - m) * (F.col(c) - m) * F.col("weight")) / total for c, m in zip(columns, means)
-    ]
-    return means, tuple(value**0.5 for value in points.agg(*squares).first())
+    A hash of the values picks them, so neither row order nor layout matters, and a point that many
+    rows share is one row here.
+    """
+    share = min(1.0, SAMPLE_POINTS / count)
+    draw = F.pmod(F.xxhash64(*names), F.lit(1 << 32)) < int(share * (1 << 32))
+    rows = features.where(draw).groupBy(*names).count().toArrow()
+    points = np.column_stack([rows.column(name).to_numpy().astype(float) for name in names])
+    order = np.lexsort(points.T[::-1])
+    return points[order], rows.column("count").to_numpy()[order].astype(float)
+
+
+def _lloyd(points: np.ndarray, weights: np.ndarray, centres: np.ndarray, rounds: int, tolerance: float) -> tuple[float, np.ndarray]:
+    """Cost and centres of one start on a sample."""
+    k = len(centres)
+    for _ in range(rounds):
+        distance = ((points[:, None, :] - centres) ** 2).sum(axis=2)
+        nearest = distance.argmin(axis=1)
+        size = np.bincount(nearest, weights, k)
+        sums = np.column_stack([np.bincount(nearest, weights * column, k) for column in points.T])
+        moved = np.where(size[:, None] > 0, sums / np.maximum(size, 1e-300)[:, None], centres)
+        shift, centres = np.abs(moved - centres).max(), moved
+        if shift <= tolerance:
+            break
+    return float((distance.min(axis=1) * weights).sum()), centres
+
+
+def _best_starts(points: np.ndarray, weights: np.ndarray, k: int, starts: int, seed: int, rounds: int) -> np.ndarray:
+    """The centres of the cheapest starts on the sample, of different cost each."""
+    share = weights / weights.sum()
+    found = {}
+    for start in range(starts):
+        chance = np.random.default_rng(seed + start)
+        chosen = points[chance.choice(len(points), k, replace=len(points) < k, p=share)]
+        cost, centres = _lloyd(points, weights, chosen, rounds, 1e-3)
+        found.setdefault(round(cost, 3), centres)
+    return np.array([found[cost] for cost in sorted(found)[:REFINED_STARTS]])
+
+
+def _assign(scaled: DataFrame, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row count, sum of points and cost per start and centre, in one pass for all starts."""
+    starts, k, size = centres.shape
+    names = [f"sum_{i}" for i in range(size)]
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, costs = np.zeros((starts, k)), np.zeros((starts, k))
+        totals = np.zeros((starts, k, size))
+        for batch in batches:
+            points = np.column_stack([column.to_numpy() for column in batch.columns])
+            for start in range(starts):
+                distance = ((points[:, None, :] - centres[start]) ** 2).sum(axis=2)
+                nearest = distance.argmin(axis=1)
+                counts[start] += np.bincount(nearest, minlength=k)
+                costs[start] += np.bincount(nearest, distance.min(axis=1), k)
+                for i in range(size):
+                    totals[start, :, i] += np.bincount(nearest, points[:, i], k)
+        start, centre = np.divmod(np.arange(starts * k), k)
+        columns = [start, centre, counts.ravel(), costs.ravel(), *totals.reshape(-1, size).T]
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["start", "centre", "n", "cost", *names])
+
+    ddl = ", ".join(["start long, centre long, n double, cost double", *[f"{name} double" for name in names]])
+    parts = scaled.mapInArrow(sums, ddl).groupBy("start", "centre")
+    rows = parts.agg(*[F.sum(name) for name in ("n", "cost", *names)]).collect()  # starts times k rows
+    found = np.zeros((starts, k, size + 2))
+    for start, centre, *values in rows:
+        found[start, centre] = values
+    return found[:, :, 0], found[:, :, 2:], found[:, :, 1]
 
 
 def fit_segments(
-    features: DataFrame, k: int = 3, starts: int = 10, seed: int = 42, parallelism: int = 10
+    features: DataFrame, k: int = 3, starts: int = 10, seed: int = 42, rounds: int = 300, tolerance: float = 1e-4
 ) -> Segmenter | None:
     """Best of several K-Means starts on the scaled features; None if there are no rows.
 
-    The starts run side by side, since the jobs of one are too small to fill a cluster.
+    The starts run on a sample of bounded size, and the cheapest few go on over all rows until they
+    stand still. The features are scaled and written once; each round is one pass over them for all
+    that still move, and a task sends a few sums. A centre without rows stays where it is. Segments are
+    numbered in the order of their centres.
     """
-    points = stage(weighted_points(features), "points")
-    if points.isEmpty():
+    names = list(FEATURES)
+    count, *found = features.agg(
+        F.count("*"), *[F.avg(name) for name in names], *[F.stddev_pop(name) for name in names]
+    ).first()
+    if not count:
         return None
-    means, deviations = _moments(points, FEATURES)
-    vectors = _scaled_vectors(points, FEATURES, means, deviations).select("_features", "weight")
-    kmeans = KMeans(
-        featuresCol="_features",
-        predictionCol="cluster_id",
-        weightCol="weight",
-        k=k,
-        maxIter=300,
-        initSteps=5,
-        # The block solver is the fast one, but it needs k starting centres, so not for a handful of points.
-        solver="block" if points.count() >= _MANY_POINTS else "row",
-    )
-    models = kmeans.fitMultiple(vectors, [{kmeans.seed: seed + i} for i in range(starts)])
-    with ThreadPool(min(parallelism, starts)) as pool:
-        fitted = pool.map(lambda _: next(models), range(starts))
-    best = min((model for _, model in sorted(fitted, key=lambda pair: pair[0])), key=_cost)
-    return Segmenter(points, tuple(FEATURES), means, deviations, best, _cost(best))
-
-
-def _cost(model: KMeansModel) -> float:
-    return model.summary.trainingCost
+    means, deviations = tuple(found[: len(names)]), tuple(found[len(names) :])
+    scaled = _scaled(names, means, deviations, "")
+    points = stage(features.select(*[x.cast("double").alias(name) for name, x in scaled.items()]), "points")
+    sample, weights = _sample(features, names, count)
+    spread = np.array(deviations)
+    sample = np.divide(sample - np.array(means), spread, out=np.zeros_like(sample), where=spread > 0)
+    centres = _best_starts(sample, weights, k, starts, seed, rounds)
+    sizes, costs = np.zeros(centres.shape[:2]), np.zeros(len(centres))
+    moving = np.arange(len(centres))
+    for _ in range(rounds):
+        counts, sums, cost = _assign(points, centres[moving])
+        means_of = np.divide(sums, counts[:, :, None], out=centres[moving].copy(), where=counts[:, :, None] > 0)
+        shift = np.abs(means_of - centres[moving]).max(axis=(1, 2))
+        centres[moving], sizes[moving], costs[moving] = means_of, counts, cost.sum(axis=1)
+        moving = moving[shift > tolerance]
+        if not len(moving):
+            break
+    best = int(np.argmin(costs))
+    order = np.lexsort(centres[best].T[::-1])
+    return Segmenter(tuple(names), means, deviations, centres[best][order], sizes[best][order], float(costs[best]))
 
 
 def kmeans_segments(features: DataFrame, **options) -> DataFrame:
@@ -138,23 +198,15 @@ def kmeans_segments(features: DataFrame, **options) -> DataFrame:
     return segmenter.transform(features)
 
 
-def cluster_profile_means(scored: DataFrame, weight: Column | None = None) -> DataFrame:
-    """Mean price, mileage and year per cluster, of rows or of weighted points."""
-
-    def mean(name: str) -> Column:
-        if weight is None:
-            return F.avg(name)
-        return F.sum(F.col(name) * weight) / F.sum(weight)
-
-    return scored.groupBy("cluster_id").agg(*[mean(name).alias(f"avg_{name}") for name in FEATURES])
+def cluster_profile_means(scored: DataFrame) -> DataFrame:
+    """Mean price, mileage and year per cluster."""
+    return scored.groupBy("cluster_id").agg(*[F.avg(name).alias(f"avg_{name}") for name in FEATURES])
 
 
 def cluster_price_order(profile: DataFrame) -> DataFrame:
-    """Price positions 1 to 3 of the clusters; at most three rows by construction."""
-    position = F.row_number().over(Window.orderBy("avg_price", "cluster_id"))
-    return profile.withColumn("price_position", position).where(
-        F.col("price_position") <= len(SEGMENT_NAMES)
-    )
+    """Price positions 1 to 3 of the clusters; more than three clusters share them by thirds."""
+    position = F.ntile(len(SEGMENT_NAMES)).over(Window.orderBy("avg_price", "cluster_id"))
+    return profile.withColumn("price_position", position)
 
 
 def segment_name(position: Column, compliant: Column) -> Column:
@@ -174,7 +226,7 @@ def cluster_business_names(scored: DataFrame, profile: DataFrame | None = None)
     """
     profile = cluster_profile_means(scored) if profile is None else profile
     order = cluster_price_order(profile).select("cluster_id", "price_position")
-    named = scored.join(F.broadcast(order), "cluster_id", "left")
+    named = scored.join(F.broadcast(order), "cluster_id", "left")  # a row per cluster
     name = segment_name(F.col("price_position"), F.col("is_ulez_compliant"))
     return named.withColumn("cluster_name", name).drop("price_position")
 
@@ -193,13 +245,14 @@ def sample_per_cluster(mart: DataFrame, rows: int = 3) -> DataFrame:
 def cluster_mart(spark: SparkSession, facts: DataFrame, table: str, **options) -> DataFrame | None:
     """Extract, cluster, name and overwrite the mart; without usable rows the mart is left alone.
 
-    The facts are read twice: for the points of the fit, and to assign the rows.
+    The facts are read for the moments, for the scaled points, and to assign the rows.
     """
     features = ml_feature_extract(facts)
     segmenter = fit_segments(features, **options)
     if segmenter is None:
         return None
     create_if_absent(spark, table, CLUSTER_MART)
-    named = cluster_business_names(segmenter.transform(features), segmenter.profile())
+    profile = spark.createDataFrame(segmenter.profile(), PROFILE)
+    named = cluster_business_names(segmenter.transform(features), profile)
     replace_rows(named, table)
     return spark.table(table)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from forecourt.registry.listings_view import LISTINGS_SQL
 
+# The emission rule, and below the segment names.
 _COMPLIANT = (
     "CASE WHEN fuel_type = 'Petrol' AND year >= 2006 THEN TRUE "
     "WHEN fuel_type = 'Diesel' AND year >= 2015 THEN TRUE "
@@ -48,30 +49,42 @@ _CTES = {
     "missing_facts": (
         _API_FACTS + "listings WHERE NOT EXISTS (SELECT 1 FROM loaded_facts f WHERE f.model = listings.title)"
     ),
+    "older_facts": _API_FACTS + "listings WHERE tax <= 80 AND mpg >= 25 AND change_action = 'DELETE'",
+    "early_facts": _API_FACTS + "listings WHERE tax <= 80 AND change_action = 'INSERT'",
+    "late_facts": _API_FACTS + "listings WHERE tax > 80 AND change_action = 'INSERT'",
+    "early_missing": (
+        _API_FACTS + "listings WHERE tax <= 80 AND title NOT IN "
+        "(SELECT model FROM older_facts UNION ALL SELECT model FROM early_facts)"
+    ),
+    "adverts": "SELECT * REPLACE (CASE WHEN price_text <> 'None' THEN id END AS id) FROM listings",
+    "known_adverts": "SELECT * FROM adverts WHERE id IS NOT NULL",
     "summary": (
         "SELECT brand, year, fuel_type, is_ulez_compliant, count(*) AS total_listings, "
         "round(avg(price), 2) AS avg_price, round(avg(mileage), 2) AS avg_mileage, "
         "round(avg(vehicle_age), 1) AS avg_age FROM facts GROUP BY 1, 2, 3, 4"
     ),
-    "diesel_stats": (
-        "SELECT brand, model, avg(CASE WHEN is_ulez_compliant THEN price END) AS c, "
-        "avg(CASE WHEN NOT is_ulez_compliant THEN price END) AS n, count(*) AS total_listings "
-        "FROM facts WHERE fuel_type = 'Diesel' GROUP BY 1, 2 "
-        "HAVING count(CASE WHEN is_ulez_compliant THEN 1 END) >= 1 "
-        "AND count(CASE WHEN NOT is_ulez_compliant THEN 1 END) >= 1"
+    "class_means": (
+        "SELECT brand, model, fuel_type, is_ulez_compliant AS ok, avg(price) AS mean_price, count(*) AS n "
+        "FROM facts GROUP BY ALL"
     ),
     "devaluation": (
-        "SELECT brand, model, total_listings, round(c, 0) AS avg_price_compliant, "
-        "round(n, 0) AS avg_price_non_compliant, round(c - n, 0) AS devaluation_amount, "
-        "round((n - c) / NULLIF(c, 0) * 100, 1) AS devaluation_percent FROM diesel_stats"
-    ),
+        "SELECT good.brand, good.model, good.n + bad.n AS total_listings, "
+        "round(good.mean_price, 0) AS avg_price_compliant, round(bad.mean_price, 0) AS avg_price_non_compliant, "
+        "round(good.mean_price - bad.mean_price, 0) AS devaluation_amount, "
+        "round((bad.mean_price - good.mean_price) / NULLIF(good.mean_price, 0) * 100, 1) AS devaluation_percent "
+        "FROM class_means good JOIN class_means bad USING (brand, model, fuel_type) "
+        "WHERE fuel_type = 'Diesel' AND good.ok AND NOT bad.ok"
+    ),
+    "brand_means": "SELECT brand, is_ulez_compliant AS ok, avg(price) AS mean_price FROM facts GROUP BY ALL",
     "gap": (
-        "SELECT brand, avg(CASE WHEN is_ulez_compliant THEN price END) AS avg_price_compliant, "
-        "avg(CASE WHEN NOT is_ulez_compliant THEN price END) AS avg_price_non_compliant, "
-        "round((avg(CASE WHEN NOT is_ulez_compliant THEN price END) "
-        "- avg(CASE WHEN is_ulez_compliant THEN price END)) "
-        "/ NULLIF(avg(CASE WHEN is_ulez_compliant THEN price END), 0) * 100, 1) AS percent_diff "
-        "FROM facts GROUP BY 1"
+        "SELECT brand, avg_price_compliant, avg_price_non_compliant, round((avg_price_non_compliant "
+        "- avg_price_compliant) / NULLIF(avg_price_compliant, 0) * 100, 1) AS percent_diff "
+        "FROM (SELECT brand, any_value(mean_price) FILTER (ok) AS avg_price_compliant, "
+        "any_value(mean_price) FILTER (NOT ok) AS avg_price_non_compliant FROM brand_means GROUP BY brand)"
+    ),
+    "test_rows": (
+        f"SELECT *, {_COMPLIANT} AS is_ulez_compliant, CAST(2025 - year AS INT) AS vehicle_age FROM listings "
+        "WHERE substr(md5(CAST(id AS VARCHAR)), 1, 4) < '3333'"
     ),
     "features": (
         "SELECT brand, model, year, price, mileage, fuel_type, engine_size, is_ulez_compliant FROM facts "
@@ -114,9 +127,17 @@ _NEEDS = {
     "loaded_facts": ["listings"],
     "missing_facts": ["loaded_facts"],
     "summary": ["facts"],
-    "diesel_stats": ["facts"],
-    "devaluation": ["diesel_stats"],
-    "gap": ["facts"],
+    "class_means": ["facts"],
+    "devaluation": ["class_means"],
+    "brand_means": ["facts"],
+    "gap": ["brand_means"],
+    "older_facts": ["listings"],
+    "early_facts": ["listings"],
+    "early_missing": ["older_facts", "early_facts"],
+    "late_facts": ["listings"],
+    "adverts": ["listings"],
+    "known_adverts": ["adverts"],
+    "test_rows": ["listings"],
     "features": ["facts"],
     "banded": ["features"],
     "profile": ["banded"],
@@ -143,6 +164,10 @@ def _with(source: str, body: str) -> str:
 
 _TOP = "ORDER BY devaluation_percent ASC NULLS LAST, brand, model LIMIT "
 _TOP_COLUMNS = "brand, model, avg_price_compliant, avg_price_non_compliant, devaluation_amount, devaluation_percent"
+_ADVERT = (
+    "CAST(id AS VARCHAR) AS id, brand, title, price_text AS price, year, CAST(mileage AS INT) AS mileage, "
+    "fuel_type AS fuelType, engine_size AS engineSize, transmission"
+)
 _API_COLUMNS = "id, title, price, year, mileage, fuelType, engineSize, transmission"
 
 ORACLES: dict[str, str] = {
@@ -337,10 +362,11 @@ ORACLES: dict[str, str] = {
         "UNION ALL SELECT brand, 'Non-Compliant Average Price', avg_price_non_compliant FROM gap",
     ),
     "listing_dedup": _with(
-        "listings",
+        "known_adverts",
         "SELECT id, search_timestamp, price, brand, title, mileage FROM (SELECT *, row_number() OVER ("
         "PARTITION BY id ORDER BY search_timestamp DESC NULLS LAST, price NULLS LAST, brand NULLS LAST, "
-        "title NULLS LAST, mileage NULLS LAST) AS n FROM listings) WHERE n = 1",
+        "title NULLS LAST, mileage NULLS LAST) AS n FROM known_adverts) WHERE n = 1 UNION ALL "
+        "SELECT id, search_timestamp, price, brand, title, mileage FROM adverts WHERE id IS NULL",
     ),
     # streaming
     "cdc_insert_stream": _with(
@@ -356,8 +382,17 @@ ORACLES: dict[str, str] = {
         "SELECT 1 AS run, count(*) AS fact_rows FROM inserted_api_facts "
         "UNION ALL SELECT 2, count(*) FROM inserted_api_facts",
     ),
+    "stream_dedup": _with(
+        "known_adverts",
+        f"SELECT {_ADVERT} FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY search_timestamp DESC "
+        "NULLS LAST, brand NULLS LAST, title NULLS LAST, price_text NULLS LAST, year NULLS LAST, mileage NULLS LAST, "
+        "fuel_type NULLS LAST, engine_size NULLS LAST, transmission NULLS LAST) AS n FROM known_adverts) WHERE n = 1 "
+        f"UNION ALL SELECT {_ADVERT} FROM adverts WHERE id IS NULL",
+    ),
     "stream_backfill": _with(
-        "missing_facts", "SELECT * FROM loaded_facts UNION ALL SELECT * FROM missing_facts"
+        "early_missing late_facts",
+        "SELECT * FROM older_facts UNION ALL SELECT * FROM early_facts "
+        "UNION ALL SELECT * FROM early_missing UNION ALL SELECT * FROM late_facts",
     ),
     "batch_stream_parity": _with(
         "inserted_api_facts",
@@ -377,6 +412,23 @@ ORACLES: dict[str, str] = {
         + f" FROM (SELECT * FROM listings WHERE {_COMPLETE})",
     ),
     "cluster_business_names": _with("named", "SELECT * FROM named"),
+    "kmeans_segments": _with(
+        "listings", f"SELECT id, price, mileage, year, TRUE AS nearest FROM listings WHERE {_COMPLETE}"
+    ),
+    "cluster_mart": _with(
+        "mart", "SELECT * EXCLUDE (cluster_id, cluster_name), TRUE AS in_price_order FROM mart"
+    ),
+    "daily_refresh": _with(
+        "listings inserted_api_facts",
+        f"SELECT count(*) AS listings FROM (SELECT price, mileage, year FROM listings WHERE change_action = 'DELETE' "
+        f"UNION ALL SELECT price, mileage, year FROM inserted_api_facts) WHERE {_COMPLETE}",
+    ),
+    "price_regression": _with(
+        "test_rows", "SELECT id, price, vehicle_age, mileage, engine_size, is_ulez_compliant, TRUE AS finite FROM test_rows"
+    ),
+    "shap_contributions": _with(
+        "test_rows", "SELECT id, vehicle_age, mileage, engine_size, is_ulez_compliant, TRUE AS adds_up FROM test_rows"
+    ),
     "train_test_split": _with(
         "listings",
         "SELECT id, price, CASE WHEN substr(md5(CAST(id AS VARCHAR)), 1, 4) < '3333' THEN 'test' ELSE 'train' END "

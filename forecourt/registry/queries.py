@@ -96,8 +96,10 @@ def price_model(spark: SparkSession, sf_dir: str):
 
 @query
 def csv_bulk_load(spark, sf_dir):
+    """The folder's files are loaded once, however often the job runs."""
     table = f"{new_layers(spark).bronze}.csv_listings"
-    refresh.load_csv(spark, inputs.csv_folder(spark, sf_dir), table)
+    for _ in range(2):
+        refresh.load_csv(spark, inputs.csv_folder(spark, sf_dir), table)
     return spark.table(table)
 
 
@@ -498,10 +500,15 @@ def melt_price_gap(spark, sf_dir):
     return marts.melt_price_gap(marts.brand_price_gap(facts(spark, sf_dir)))
 
 
+def _partly_unknown_ids(view: DataFrame) -> DataFrame:
+    """Listings without an asking price have lost their id."""
+    return view.withColumn("id", F.when(F.col("price_text") != "None", F.col("id")))
+
+
 @query
 def listing_dedup(spark, sf_dir):
     columns = ["id", "search_timestamp", "price", "brand", "title", "mileage"]
-    return keyed.listing_dedup(listings(spark, sf_dir).select(*columns))
+    return keyed.listing_dedup(_partly_unknown_ids(listings(spark, sf_dir)).select(*columns))
 
 
 # --- streaming --------------------------------------------------------------
@@ -537,15 +544,40 @@ def incremental_trigger(spark, sf_dir):
     return counts[0].unionByName(counts[1])
 
 
+@query
+def stream_dedup(spark, sf_dir):
+    """Adverts of a stream, each once; a second run on the same input adds nothing."""
+    table = f"{new_layers(spark).bronze}.adverts"
+    feed.create_advert_table(spark, table, API_LISTING)
+    stream = inputs.as_api_listing(_partly_unknown_ids(inputs.listings_stream(spark, sf_dir)))
+    checkpoint = scratch_path(spark, "checkpoint")
+    for _ in range(2):
+        feed.run_dedup_increment(stream, table, checkpoint)
+    return spark.table(table).select(*NO_LOAD_TIME)
+
+
 @query
 def stream_backfill(spark, sf_dir):
-    """An older load, then the backfill of what it lacks; the facts afterwards."""
-    table = f"{new_layers(spark).silver}.fct_cars"
+    """An older load, the stream, the backfill of what both lack, the stream again; the facts afterwards."""
+    table, streamed = f"{new_layers(spark).silver}.fct_cars", scratch_path(spark, "fct_cars")
+    changes, checkpoint = scratch_path(spark, "changes"), scratch_path(spark, "checkpoint")
+    view = listings(spark, sf_dir)
+    early, late = view.where(F.col("tax") <= 80), view.where(F.col("tax") > 80)
     tables.create_if_absent(spark, table, FACT)
     types = {k: v for k, v in columns_of(FACT).items() if k not in ("tax", "mpg")}
-    tables.insert_columns(shape.fit_columns(loaded_facts(spark, sf_dir), types), table)
-    refresh.stream_backfill(raw_titles(spark, sf_dir), table)
-    return spark.table(table)
+    older = early.where((F.col("mpg") >= 25) & (F.col("change_action") == "DELETE"))
+    older_facts = fact_plans.api_feed_facts(inputs.as_api_listing(older))
+    tables.insert_columns(shape.fit_columns(older_facts, types), table)
+
+    def arrive(rows: DataFrame) -> None:
+        inputs.api_changes(rows).write.mode("append").parquet(changes)
+        log = feed.read_parquet_stream(spark, changes, inputs.api_changes(view).schema)
+        feed.run_increment(feed.api_cdc_facts(log), streamed, checkpoint)
+
+    arrive(early)
+    refresh.stream_backfill(inputs.as_api_listing(early), table, streamed)
+    arrive(late)
+    return feed.all_facts(spark, table, streamed)
 
 
 @query
@@ -567,7 +599,16 @@ def batch_stream_parity(spark, sf_dir):
 
 @query
 def daily_refresh(spark, sf_dir):
-    return refresh.daily_refresh(spark, facts(spark, sf_dir), new_layers(spark))
+    """Listings in all segments together, of loaded and of streamed facts, and how many segments there are."""
+    layers, streamed = new_layers(spark), scratch_path(spark, "fct_cars")
+    view = listings(spark, sf_dir)
+    old = view.where(F.col("change_action") == "DELETE").select(*fact_plans.STAGING_COLUMNS)
+    changes = inputs.api_changes(inputs.listings_stream(spark, sf_dir))
+    feed.run_increment(feed.api_cdc_facts(changes), streamed, scratch_path(spark, "checkpoint"))
+    refresh.build_layers(spark, old, layers, "refreshed_top_devaluation", streamed)
+    every = feed.all_facts(spark, f"{layers.silver}.fct_cars", streamed)
+    sizes = refresh.daily_refresh(spark, every, layers)
+    return sizes.agg(F.sum("listings").alias("listings"))
 
 
 # --- machine learning -------------------------------------------------------
@@ -589,7 +630,14 @@ def standard_scale(spark, sf_dir):
 
 @query
 def kmeans_segments(spark, sf_dir):
-    return segments.kmeans_segments(segments.ml_feature_extract(facts(spark, sf_dir)))
+    """Every complete listing, and whether its segment's centre is the nearest."""
+    columns = ["id", *segments.FEATURE_COLUMNS]
+    features = segments.ml_feature_extract(facts_with_id(spark, sf_dir), columns)
+    segmenter = segments.fit_segments(features)
+    distances = segmenter.distances()
+    own = F.get(F.array(*distances), F.col("cluster_id"))
+    scored = segmenter.transform(features)
+    return scored.select("id", *segments.FEATURES, (own <= F.least(*distances)).alias("nearest"))
 
 
 @query
@@ -599,8 +647,15 @@ def cluster_business_names(spark, sf_dir):
 
 @query
 def cluster_mart(spark, sf_dir):
+    """The mart's listings, and whether the families of names follow their mean prices."""
     table = f"{new_layers(spark).gold}.mart_market_clusters"
-    return segments.cluster_mart(spark, facts(spark, sf_dir), table)
+    mart = segments.cluster_mart(spark, facts(spark, sf_dir), table)
+    place = F.coalesce(
+        *[F.when(F.col("cluster_name").isin(*names), position) for position, names in segments.SEGMENT_NAMES.items()]
+    )
+    means = mart.groupBy(place.alias("place")).agg(F.avg("price").alias("mean")).orderBy("place").collect()
+    in_order = [r.place for r in means] == [1, 2, 3] and means[0].mean < means[1].mean < means[2].mean
+    return mart.drop("cluster_id", "cluster_name").withColumn("in_price_order", F.lit(in_order))
 
 
 @query
@@ -610,8 +665,11 @@ def train_test_split(spark, sf_dir):
 
 @query
 def price_regression(spark, sf_dir):
+    """Every test listing, features known or not, and whether it has a finite price."""
     _, test = pricing.train_test_split(facts_with_id(spark, sf_dir))
-    return pricing.predict_prices(price_model(spark, sf_dir), test).select("id", "price", "predicted_price")
+    scored = pricing.predict_prices(price_model(spark, sf_dir), test)
+    finite = F.col("predicted_price").isNotNull() & (F.abs("predicted_price") < float("inf"))
+    return scored.select("id", "price", *pricing.FEATURES, finite.alias("finite"))
 
 
 @query
@@ -626,9 +684,12 @@ def regression_metrics(spark, sf_dir):
 
 @query
 def shap_contributions(spark, sf_dir):
+    """Every test listing, and whether base value and contributions add up to its prediction."""
     _, test = pricing.train_test_split(facts_with_id(spark, sf_dir))
     explained = attribution.shap_contributions(price_model(spark, sf_dir), test)
-    return explained.select("id", *pricing.FEATURES, "predicted_price", *attribution.value_columns())
+    total = sum((F.col(name) for name in attribution.value_columns()), F.lit(0.0))
+    adds_up = F.abs(total - F.col("predicted_price")) < 1e-6 * (1 + F.abs("predicted_price"))
+    return explained.select("id", *pricing.FEATURES, adds_up.alias("adds_up"))
 
 
 @query

@@ -59,9 +59,27 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
+def _own_folder(spark: SparkSession) -> str:
+    """The part of the shared folder that belongs to this application."""
+    return f"{scratch_root(spark)}/forecourt/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{scratch_root(spark)}/forecourt/{uuid.uuid4().hex}/{name}"
+    return f"{_own_folder(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Drop the databases and delete the files that this application has put in the shared folder.
+
+    Results are lazy and read these files, so call it when they are no longer needed: at the end of a job.
+    """
+    folder = _own_folder(spark)
+    for database in spark.catalog.listDatabases():
+        if f"/forecourt/{spark.sparkContext.applicationId}/" in (database.locationUri or ""):
+            spark.sql(f"DROP DATABASE IF EXISTS `{database.name}` CASCADE")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,8 +34,22 @@ def _typed(text: Column, type_name: str) -> Column:
     return whole_number(text, type_name) if type_name == "int" else text.try_cast(type_name)
 
 
+_FILES = "*.csv{,.gz}"
+
+
+def csv_files(spark: SparkSession, path: str) -> DataFrame:
+    """path, modified and length of the CSV files below ``path``; their content is not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", _FILES)
+    return files.load(path).select("path", F.col("modificationTime").alias("modified"), "length")
+
+
+def literal_path(path: str) -> str:
+    """The path with the characters escaped that a reader would take as a pattern."""
+    return re.sub(r"([\\*?{}\[\]])", r"\\\1", path)
+
+
 def read_csv_listings(
-    spark: SparkSession, path: str, stream: bool = False, max_files_per_batch: int | None = None
+    spark: SparkSession, path: str | list[str], stream: bool = False, max_files_per_batch: int | None = None
 ) -> DataFrame:
     """Good rows of every CSV file below ``path``, typed, with the brand of their file.
 
@@ -51,7 +67,7 @@ def read_csv_listings(
         .option("columnNameOfCorruptRecord", _CORRUPT)
         .option("columnPruning", False)
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.csv" if stream else "*.csv{,.gz}")
+        .option("pathGlobFilter", "*.csv" if stream else _FILES)
     )
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)

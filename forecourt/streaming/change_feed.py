@@ -6,19 +6,23 @@ transforms are the batch ones; only source, sink and trigger are added here.
 
 from __future__ import annotations
 
+import hashlib
+from collections import defaultdict
 from collections.abc import Callable
+from threading import Event
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from forecourt.operators.keyed import listing_dedup
+from forecourt.operators.keyed import newest_per_key
 from forecourt.operators.shape import filter_inserts, fit_columns
+from forecourt.operators.tables import create_if_absent
 from forecourt.plans.facts import api_feed_facts, brand_feed_facts
 from forecourt.schemas import FACT, columns_of
 from forecourt.session import stage
 
-MAX_BROADCAST_ADVERTS = 1_000_000
+LOAD = "load"  # partition column of tables that micro-batches fill
 
 
 def read_parquet_stream(
@@ -61,54 +65,110 @@ def start_append(
     return writer.trigger(**trigger).start()
 
 
-def rows_taken(query: StreamingQuery) -> int:
-    return sum(progress["numInputRows"] for progress in query.recentProgress)
+class _InputRows(StreamingQueryListener):
+    """Input rows of every run of a query. ``recentProgress`` forgets old batches, this does not."""
+
+    def __init__(self) -> None:
+        self._rows: dict[str, int] = defaultdict(int)
+        self._ended: dict[str, Event] = defaultdict(Event)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self._rows[str(event.progress.runId)] += event.progress.numInputRows
+
+    def onQueryTerminated(self, event) -> None:
+        self._ended[str(event.runId)].set()
+
+    def of(self, run_id: str, wait_seconds: float = 60) -> int:
+        """The total of a run, once the event of its end, which comes last, has arrived."""
+        if not self._ended[run_id].wait(wait_seconds):
+            raise TimeoutError(f"no end of run {run_id} was reported")
+        return self._rows[run_id]
 
 
 def run_increment(stream: DataFrame, path: str, checkpoint: str) -> int:
     """Process what is new and wait for the end; returns the number of input rows."""
-    query = start_append(stream, path, checkpoint)
-    query.awaitTermination()
-    return rows_taken(query)
+    streams, rows = stream.sparkSession.streams, _InputRows()
+    streams.addListener(rows)
+    try:
+        query = start_append(stream, path, checkpoint)
+        query.awaitTermination()
+        return rows.of(str(query.runId))
+    finally:
+        streams.removeListener(rows)
 
 
-def all_facts(spark: SparkSession, table: str, stream_path: str) -> DataFrame:
-    """Facts loaded by batch jobs and facts appended by a stream.
+def all_facts(spark: SparkSession, table: str, stream_path: str | None = None) -> DataFrame:
+    """Facts loaded by batch jobs and facts appended by a stream: what every reader of facts takes.
 
     The stream's folder has a commit log of its own, which makes its appends
     exactly-once and hides files others put there. So batch loads go to the
     table, the stream to its folder, and readers take both.
     """
-    streamed = spark.read.schema(FACT).parquet(stream_path)
-    return spark.table(table).select(*columns_of(FACT)).unionByName(streamed)
+    loaded = spark.table(table).select(*columns_of(FACT))
+    return loaded.unionByName(spark.read.schema(FACT).parquet(stream_path)) if stream_path else loaded
 
 
-def append_new_adverts(table: str, key: str = "id") -> Callable[[DataFrame, int], None]:
-    """A foreachBatch sink that adds each advert once.
+def create_advert_table(spark: SparkSession, table: str, ddl: str, key: str = "id", buckets: int = 64) -> None:
+    """A table of adverts with one partition per micro-batch, and ``<table>_keys`` with the keys alone.
 
-    The batch is reduced to its newest row per advert and joined against the
-    adverts already in the table, so a batch that is replayed after a failure
-    adds nothing. The table is first cut down to the batch's adverts; a batch
-    of few adverts is broadcast for that, and then the table is only scanned.
+    The keys are bucketed, so a micro-batch is dealt by key to meet them and they stay where they are.
+    """
+    create_if_absent(spark, table, f"{ddl}, {LOAD} string", partition_by=[LOAD])
+    kind = columns_of(ddl)[key]
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {table}_keys (`{key}` {kind}, {LOAD} string) USING parquet "
+        f"PARTITIONED BY ({LOAD}) CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS"
+    )
+
+
+def unseen_adverts(
+    batch: DataFrame, table: str, load: str, key: str = "id", newest: str = "search_timestamp"
+) -> DataFrame:
+    """The batch's newest row per advert that no other load has brought; rows without a key all pass."""
+    spark = batch.sparkSession
+    layout = dict(map(tuple, spark.sql(f"DESCRIBE FORMATTED {table}_keys").select("col_name", "data_type").collect()))
+    seen = spark.table(f"{table}_keys").where(F.col(LOAD) != load).select(F.col(key).alias("_seen"))
+    # As many partitions as buckets, or Spark would deal the keys instead of the batch. A key is seen at
+    # most once, and the optimizer would move an anti-join below the dealing.
+    dealt = newest_per_key(batch, key, newest).repartition(int(layout["Num Buckets"]), key)
+    unseen = dealt.join(seen, F.col(key) == F.col("_seen"), "left").where(F.col("_seen").isNull()).drop("_seen")
+    return unseen.unionByName(batch.where(F.col(key).isNull()))
+
+
+def append_new_adverts(table: str, feed: str, key: str = "id") -> Callable[[DataFrame, int], None]:
+    """A foreachBatch sink that adds each advert once to a table of ``create_advert_table``.
+
+    A micro-batch replaces its own partition of both tables, so one that is replayed after a failure
+    leaves them as they were, with or without keys. ``feed`` names the feed's checkpoint, whose batch
+    numbers the partitions carry.
     """
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        target = batch.sparkSession.table(table)
-        fresh = stage(listing_dedup(batch, key), "batch")
-        adverts = fresh.select(F.col(key).alias("_fresh"))
-        if fresh.count() <= MAX_BROADCAST_ADVERTS:
-            adverts = F.broadcast(adverts)
-        known = target.select(F.col(key).alias("_known"))
-        seen = known.join(adverts, F.col("_known").eqNullSafe(F.col("_fresh")), "left_semi").distinct()
-        new = fresh.join(seen, F.col(key).eqNullSafe(F.col("_known")), "left_anti")
-        new.select(*target.columns).write.insertInto(table)
+        load = f"{feed}-{batch_id}"
+        new = stage(unseen_adverts(batch, table, load, key), "batch")
+        replace_load(new, table, load)
+        replace_load(new.where(F.col(key).isNotNull()).select(key), f"{table}_keys", load)
 
     return add
 
 
+def replace_load(rows: DataFrame, table: str, load: str) -> None:
+    """Make ``rows`` the whole content of the table's partition ``load``."""
+    spark = rows.sparkSession
+    names = ", ".join(f"`{name}`" for name in spark.table(table).columns if name != LOAD)
+    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({LOAD} = '{load}') SELECT {names} FROM {{rows}}", rows=rows)
+
+
 def run_dedup_increment(stream: DataFrame, table: str, checkpoint: str, key: str = "id") -> None:
+    feed = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
     query = (
-        stream.writeStream.foreachBatch(append_new_adverts(table, key))
+        stream.writeStream.foreachBatch(append_new_adverts(table, feed, key))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

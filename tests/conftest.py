@@ -6,7 +6,7 @@ import pytest
 
 sys.path[:0] = [str(Path(__file__).resolve().parent), str(Path(__file__).resolve().parent.parent)]
 
-from forecourt.session import build_session  # noqa: E402
+from forecourt.session import build_session, release_scratch  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -22,6 +22,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    release_scratch(session)
     session.stop()
 
 

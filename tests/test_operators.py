@@ -5,9 +5,10 @@ import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from forecourt.functions import text
 from forecourt.operators import keyed, shape, tables
-from forecourt.plans import marts, quality, refresh
-from forecourt.schemas import API_LISTING, CLUSTER_MART, FACT
+from forecourt.plans import facts as facts_of_feed, marts, quality, refresh
+from forecourt.schemas import API_LISTING, CLUSTER_MART, FACT, columns_of
 from forecourt.session import scratch_path, scratch_root, shuffle_partitions
 
 
@@ -108,12 +109,31 @@ def test_backfill_twice_adds_nothing(spark, layers):
     assert rows == {"BMW X": (1000, None, True), "BMW Y": (None, None, True)}
 
 
+def test_backfill_sees_what_the_stream_has_appended(spark, layers, new_dir):
+    table = f"{layers.silver}.backfilled"
+    tables.create_if_absent(spark, table, FACT)
+    streamed = spark.createDataFrame([api_row("1", "BMW X")], API_LISTING)
+    shape.fit_columns(facts_of_feed.api_feed_facts(streamed), columns_of(FACT)).write.parquet(f"{new_dir}/facts")
+    raw = spark.createDataFrame([api_row("1", "BMW X"), api_row("2", "BMW Y")], API_LISTING)
+    refresh.stream_backfill(raw, table, f"{new_dir}/facts")
+    assert [r.model for r in spark.table(table).collect()] == ["BMW Y"]
+
+
+@pytest.mark.parametrize("clean", [text.price_clean_try, text.price_clean_strict])
+def test_prices_are_rounded_whatever_cleans_them(spark, clean):
+    rows = spark.createDataFrame([api_row("1", price="1,012.5"), api_row("2", price="12.4")], API_LISTING)
+    staged = facts_of_feed.stage_api(rows, clean)
+    assert [r.price for r in staged.collect()] == [1013, 12]
+    assert dict(staged.dtypes)["price"] == "bigint"
+
+
 def test_dedup_keeps_the_newest_and_repeats_to_the_same(spark):
     ddl = "id string, search_timestamp int, price int"
-    rows = [("1", 1, 9), ("1", 2, 8), ("1", 2, 7), ("2", None, 1), ("2", 0, 2), (None, 1, 1)]
+    unknown = [(None, 1, 1), (None, 1, 1), (None, 2, 5)]
+    rows = [("1", 1, 9), ("1", 2, 8), ("1", 2, 7), ("2", None, 1), ("2", 0, 2), *unknown]
     once = keyed.listing_dedup(spark.createDataFrame(rows, ddl))
     got = sorted(map(tuple, once.collect()), key=str)
-    assert got == [("1", 2, 7), ("2", 0, 2), (None, 1, 1)]
+    assert got == [("1", 2, 7), ("2", 0, 2), *unknown]
     assert sorted(map(tuple, keyed.listing_dedup(once).collect()), key=str) == got
 
 
