@@ -39,7 +39,7 @@ _WORDS = regex.compile(
 _CUT = re.compile(r" (?=\S)")
 #: A space that a space or the end follows (RE2; wide on purpose): such texts are cut by _CUT, one by one.
 _ODD_SPACE = r" (?:[\s\x0b\x1c-\x1f\x85\p{Z}]|\z)"
-_BATCH_BYTES = 16 * 1024 * 1024
+_BATCH_BYTES = 8 * 1024 * 1024
 
 
 def byte_symbols() -> dict[str, int]:
@@ -76,12 +76,15 @@ class Vocabulary:
         of_bytes = np.flatnonzero((byte_of_id[table[:, 0]] >= 0) & (byte_of_id[table[:, 1]] >= 0))
         self.byte_pairs[byte_of_id[table[of_bytes, 0]], byte_of_id[table[of_bytes, 1]]] = of_bytes
         self.special = {t["content"]: t["id"] for t in data.get("added_tokens", [])}
-        size = max([*ids.values(), *self.special.values()]) + 1
-        self.bytes_of: list[bytes | None] = [None] * size
-        for token, i in ids.items():
-            self.bytes_of[i] = bytes(symbols[c] for c in token)
-        for token, i in self.special.items():
-            self.bytes_of[i] = token.encode()
+        spelled = {i: bytes(symbols[c] for c in token) for token, i in ids.items()}
+        spelled |= {i: token.encode() for token, i in self.special.items()}
+        # The bytes of all ids in a row, where each begins, and how many it has (-1: no such id).
+        self.id_bytes = np.frombuffer(b"".join(spelled.values()), np.uint8)
+        lengths = np.fromiter(map(len, spelled.values()), np.int64, len(spelled))
+        self.id_length = np.full(max(spelled) + 1, -1)
+        self.id_start = np.zeros(max(spelled) + 1, np.int64)
+        self.id_length[list(spelled)] = lengths
+        self.id_start[list(spelled)] = np.cumsum(lengths) - lengths
         alternatives = "|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))
         self.special_pattern = re.compile(f"({alternatives})") if self.special else None
 
@@ -244,9 +247,14 @@ class Encoder:
         words_of_text = _sums(words_of_part[part_of], parts_of_text)
         return ids[ragged(first_id[word], ids_of_word[word])], _sums(ids_of_word[word], words_of_text)
 
-    def decode(self, ids: Iterable[int]) -> str:
-        """The text of the ids, special tokens included; bytes that are no UTF-8 become U+FFFD."""
-        return b"".join(map(self.vocabulary.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
+    def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[str]:
+        """The texts of the ids, special tokens included; bytes that are no UTF-8 become U+FFFD."""
+        lengths = self.vocabulary.id_length[ids]
+        if (lengths < 0).any():
+            raise ValueError("an id is not in the vocabulary")
+        data = self.vocabulary.id_bytes[ragged(self.vocabulary.id_start[ids], lengths)].tobytes()
+        ends = np.cumsum(_sums(lengths, counts)).tolist()
+        return [data[start:end].decode("utf-8", "replace") for start, end in zip([0, *ends[:-1]], ends)]
 
 
 def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -286,8 +294,6 @@ def encode(docs: DataFrame, vocabulary_path: str) -> DataFrame:
     return only(docs, "doc_id", "text").mapInArrow(encoded, "doc_id long, ids array<int>")
 
 
-_DECODED = pa.schema([*_ENCODED, ("text", pa.string())])
-
 
 def decode(encoded: DataFrame, vocabulary_path: str) -> DataFrame:
     """``encoded`` (doc_id, ids) with the decoded text; null ids decode to empty text."""
@@ -295,9 +301,11 @@ def decode(encoded: DataFrame, vocabulary_path: str) -> DataFrame:
 
     def decoded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         use = encoder(content.value)
-        for batch in slices(batches):
-            texts = [use.decode(ids or ()) for ids in batch.column("ids").to_pylist()]
-            columns = [batch.column("doc_id").cast(pa.int64()), batch.column("ids"), pa.array(texts, pa.string())]
+        for batch in slices(batches, 1 << 20, _BATCH_BYTES):
+            ids = batch.column("ids")
+            flat, counts = ids.flatten().to_numpy(), pc.fill_null(pc.list_value_length(ids), 0).to_numpy()
+            texts = use.decode(flat, counts.astype(np.int64))
+            columns = [batch.column("doc_id").cast(pa.int64()), ids, pa.array(texts, pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "text"])
 
     return only(encoded, "doc_id", "ids").mapInArrow(decoded, "doc_id long, ids array<int>, text string")

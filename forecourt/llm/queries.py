@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable
 
 import public_tokenizers
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecourt.llm import (
     bpe, language_id, main_text, mixing, near_duplicates, nearest, quality, secret_scan, token_files, warc,
 )
-from forecourt.llm.common import slices
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -46,29 +43,15 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(spark, table(spark, sf_dir, "documents"), WORD_VOCABULARY)
 
 
-_DIGESTS = pa.schema(
-    [("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
-)
-
-
-def _digests(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
-        ids = [i or [] for i in batch.column("ids").to_pylist()]
-        texts = batch.column("text").to_pylist()
-        columns = [
-            batch.column("doc_id"),
-            pa.array(list(map(len, ids)), pa.int64()),
-            pa.array([hashlib.sha256(",".join(map(str, i)).encode()).hexdigest() for i in ids]),
-            pa.array([hashlib.sha256(text.encode()).hexdigest() for text in texts]),
-        ]
-        yield pa.RecordBatch.from_arrays(columns, schema=_DIGESTS)
-
-
 @query
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.encode(table(spark, sf_dir, "documents"), BYTE_VOCABULARY)
-    decoded = bpe.decode(encoded, BYTE_VOCABULARY)
-    return decoded.mapInArrow(_digests, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return bpe.decode(encoded, BYTE_VOCABULARY).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
 
 
 @query
