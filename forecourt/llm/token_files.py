@@ -47,8 +47,7 @@ SAMPLE_DOCUMENTS = 2000
 DICTIONARY_BYTES = 64 * 1024
 LEVEL = 3
 _TRIMMED = ".,;:!?#*$%&\"()"
-_BATCH_BYTES = 16 * 1024 * 1024
-_WORDS_KEPT = 300_000
+_BATCH_BYTES = 12 * 1024 * 1024
 
 
 class WordEncoder:
@@ -60,59 +59,58 @@ class WordEncoder:
         self._library.no_padding()
         self._symbols = {byte: character for character, byte in byte_symbols().items()}
         self.n_ids = self._library.get_vocab_size(with_added_tokens=True)
-        self._known: dict[str, bytes] = {}
 
     def _one_piece(self, word: str) -> str | None:
         """What the model gets for a word that stays in one piece; None if that is not certain."""
         if "Σ" in word or not unicodedata.is_normalized("NFC", word):
             return None
         word = word.lower()
-        if not word.isalpha():
-            return None
-        return word if word.isascii() else "".join(map(self._symbols.__getitem__, word.encode()))
-
-    def _ids(self, words: list[str]) -> list[bytes]:
-        if len(self._known) > _WORDS_KEPT:
-            self._known.clear()
-        known, tokenize, rest = self._known, self._library.model.tokenize, []
-        for word in words:
-            if word not in known:
-                piece = self._one_piece(word)
-                if piece is None:
-                    rest.append(word)
-                else:
-                    known[word] = np.array([token.id for token in tokenize(piece)], "<u4").tobytes()
-        for word, encoded in zip(rest, self._library.encode_batch(rest, add_special_tokens=False)):
-            known[word] = np.array(encoded.ids, "<u4").tobytes()
-        return list(map(known.__getitem__, words))
+        return "".join(map(self._symbols.__getitem__, word.encode())) if word.isalpha() else None
+
+    def _ids(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces in a row and their number per piece."""
+        simple = pc.ascii_is_alpha(pieces).to_numpy(zero_copy_only=False)  # lower case by now
+        words = pieces.to_pylist()
+        given = [word if plain else self._one_piece(word) for word, plain in zip(words, simple.tolist())]
+        whole = iter(self._library.encode_batch([w for w, g in zip(words, given) if g is None], add_special_tokens=False))
+        tokenize = self._library.model.tokenize
+        flat: list[int] = []
+        ends: list[int] = []
+        for piece in given:
+            if piece is None:
+                flat += next(whole).ids
+            else:
+                flat += [token.id for token in tokenize(piece)]
+            ends.append(len(flat))
+        return np.array(flat, np.uint32), np.diff(np.array(ends, np.int64), prepend=0)
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, the end id after each, and their number per text."""
         cut = pc.ascii_split_whitespace(pc.fill_null(texts.cast(pa.string()), ""))
+        counts = np.diff(cut.offsets.to_numpy()).astype(np.int64)
         coded = cut.flatten().dictionary_encode()
         words = coded.dictionary
         core = pc.ascii_rtrim(words, characters=_TRIMMED)
         # U+0130 is the one letter that lower case turns into a letter and a mark, which joins what follows.
         core = pc.if_else(pc.match_substring_regex(core, r"[^\x{130}\P{L}]$"), core, words)
-        tail = [word[len(first) :] for word, first in zip(words.to_pylist(), core.to_pylist())]
-        pieces = pa.concat_arrays([core, pa.array(tail, pa.string())]).dictionary_encode()
-        encoded = self._ids(pieces.dictionary.to_pylist())
-        lengths = np.fromiter(map(len, encoded), np.int64, len(encoded)) // 4
-        flat = np.append(np.frombuffer(b"".join(encoded), "<u4"), np.uint32(end_id))
-        starts = np.cumsum(lengths) - lengths
-        # Three stretches per word place: core, tail, and the end id after a text's last word.
-        which = pieces.indices.to_numpy().reshape(2, len(words))
+        tail = pa.array([word[len(first) :] for word, first in zip(words.to_pylist(), core.to_pylist())], pa.string())
+        core = pc.if_else(pc.ascii_is_alpha(core), pc.ascii_lower(core), core)
+        pieces = pa.concat_arrays([core, tail]).dictionary_encode()
+        flat, lengths = self._ids(pieces.dictionary)
+        # Core and tail of each distinct word, then the words of the texts.
+        both = pieces.indices.to_numpy().reshape(2, len(words)).T.reshape(-1)
+        flat = flat[ragged((np.cumsum(lengths) - lengths)[both], lengths[both])]
+        lengths = lengths[both].reshape(-1, 2).sum(axis=1)
         word = coded.indices.to_numpy()
-        counts = np.diff(cut.offsets.to_numpy()).astype(np.int64)
-        ends = np.cumsum(2 * counts + 1) - 1
-        stretch = np.empty(int((2 * counts + 1).sum()), np.int64)
-        inside = np.ones(len(stretch), bool)
-        inside[ends] = False
-        stretch[inside] = which[:, word].T.reshape(-1)
-        stretch[ends] = len(lengths)
-        starts, lengths = np.append(starts, len(flat) - 1), np.append(lengths, 1)
-        totals = np.concatenate(([0], np.cumsum(lengths[stretch])))
-        return flat[ragged(starts[stretch], lengths[stretch])], np.diff(totals[np.concatenate(([0], ends + 1))])
+        sizes = lengths[word]
+        totals = np.concatenate(([0], np.cumsum(sizes)))
+        ends = np.cumsum(counts)
+        tokens = totals[ends] - totals[ends - counts] + 1
+        out = np.full(int(tokens.sum()), end_id, np.uint32)
+        inside = np.ones(len(out), bool)
+        inside[np.cumsum(tokens) - 1] = False
+        out[inside] = flat[ragged((np.cumsum(lengths) - lengths)[word], sizes)]
+        return out, tokens
 
 
 @lru_cache(maxsize=2)
