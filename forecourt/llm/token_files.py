@@ -150,7 +150,7 @@ def train_dictionary(docs: DataFrame, vocabulary_path: str, end_id: int = END_ID
             trained = b"".join(samples)[-DICTIONARY_BYTES:]
         yield pa.RecordBatch.from_pydict({"dictionary": pa.array([trained], pa.binary())})
 
-    trained = rows.where(draw < share).coalesce(1).mapInArrow(train, "dictionary binary").take(1)
+    trained = rows.where(draw < share).repartition(1).mapInArrow(train, "dictionary binary").take(1)
     return bytes(trained[0]["dictionary"]) if trained else b""
 
 
