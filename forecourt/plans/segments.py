@@ -17,8 +17,6 @@ from forecourt.schemas import CLUSTER_MART
 from forecourt.session import stage
 
 FEATURES = ("price", "mileage", "year")
-SAMPLE_POINTS = 20_000  # in expectation; bounds the driver's share of the fit
-REFINED_STARTS = 3
 PROFILE = "cluster_id int, avg_price double, avg_mileage double, avg_year double"
 FEATURE_COLUMNS = [
     "brand", "model", "year", "price", "mileage", "fuel_type", "engine_size", "is_ulez_compliant",
@@ -81,49 +79,32 @@ class Segmenter:
         return [(i, *map(float, centre)) for i, centre in enumerate(centres) if self.sizes[i]]
 
 
-def _sample(features: DataFrame, names: Sequence[str], count: int) -> tuple[np.ndarray, np.ndarray]:
-    """About SAMPLE_POINTS rows as distinct points, in order, and their row counts.
+def _first_centres(points: DataFrame, names: Sequence[str], k: int, starts: int, seed: int) -> np.ndarray:
+    """The first centres of every start: rows drawn one by one, each by its squared distance from those before.
 
-    A hash of the values picks them, so neither row order nor layout matters, and a point that many
-    rows share is one row here.
+    A point's chance counts its rows. The least of ``-ln(u) / chance`` over all points is such a draw, and u is
+    a hash of the point's values and the draw's number, so neither row order nor layout matters.
     """
-    share = min(1.0, SAMPLE_POINTS / count)
-    draw = F.pmod(F.xxhash64(*names), F.lit(1 << 32)) < int(share * (1 << 32))
-    rows = features.where(draw).groupBy(*names).count().toArrow()
-    points = np.column_stack([rows.column(name).to_numpy().astype(float) for name in names])
-    order = np.lexsort(points.T[::-1])
-    return points[order], rows.column("count").to_numpy()[order].astype(float)
-
-
-def _lloyd(points: np.ndarray, weights: np.ndarray, centres: np.ndarray, rounds: int, tolerance: float) -> tuple[float, np.ndarray]:
-    """Cost and centres of one start on a sample."""
-    k = len(centres)
-    for _ in range(rounds):
-        distance = ((points[:, None, :] - centres) ** 2).sum(axis=2)
-        nearest = distance.argmin(axis=1)
-        size = np.bincount(nearest, weights, k)
-        sums = np.column_stack([np.bincount(nearest, weights * column, k) for column in points.T])
-        moved = np.where(size[:, None] > 0, sums / np.maximum(size, 1e-300)[:, None], centres)
-        shift, centres = np.abs(moved - centres).max(), moved
-        if shift <= tolerance:
-            break
-    return float((distance.min(axis=1) * weights).sum()), centres
-
-
-def _best_starts(points: np.ndarray, weights: np.ndarray, k: int, starts: int, seed: int, rounds: int) -> np.ndarray:
-    """The centres of the cheapest starts on the sample, of different cost each."""
-    share = weights / weights.sum()
-    found = {}
-    for start in range(starts):
-        chance = np.random.default_rng(seed + start)
-        chosen = points[chance.choice(len(points), k, replace=len(points) < k, p=share)]
-        cost, centres = _lloyd(points, weights, chosen, rounds, 1e-3)
-        found.setdefault(round(cost, 3), centres)
-    return np.array([found[cost] for cost in sorted(found)[:REFINED_STARTS]])
+    chosen = np.zeros((starts, k, len(names)))
+    for pick in range(k):
+        draws = []
+        for start in range(starts):
+            squares = [
+                sum((F.col(name) - float(c)) * (F.col(name) - float(c)) for name, c in zip(names, centre))
+                for centre in chosen[start, :pick]
+            ]
+            distance = F.array_min(F.array(*squares)) if squares else F.lit(1.0)
+            number = F.xxhash64(F.lit(seed + start), F.lit(pick), "draw")
+            u = (F.shiftrightunsigned(number, 11).cast("double") + 0.5) / float(1 << 53)
+            rank = F.when(distance > 0, -F.ln(u) / (F.col("weight") * distance)).otherwise(float("inf"))
+            draws.append(F.min(F.struct(rank.alias("rank"), *names)).alias(f"start_{start}"))
+        for start, (_, *point) in enumerate(points.agg(*draws).first()):
+            chosen[start, pick] = point
+    return chosen
 
 
 def _assign(scaled: DataFrame, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row count, sum of points and cost per start and centre, in one pass for all starts."""
+    """Row count, sum of rows and cost per start and centre, in one pass over weighted points for all starts."""
     starts, k, size = centres.shape
     names = [f"sum_{i}" for i in range(size)]
 
@@ -131,14 +112,15 @@ def _assign(scaled: DataFrame, centres: np.ndarray) -> tuple[np.ndarray, np.ndar
         counts, costs = np.zeros((starts, k)), np.zeros((starts, k))
         totals = np.zeros((starts, k, size))
         for batch in batches:
-            points = np.column_stack([column.to_numpy() for column in batch.columns])
+            *values, weight = [column.to_numpy() for column in batch.columns]
+            points = np.column_stack(values)
             for start in range(starts):
                 distance = ((points[:, None, :] - centres[start]) ** 2).sum(axis=2)
                 nearest = distance.argmin(axis=1)
-                counts[start] += np.bincount(nearest, minlength=k)
-                costs[start] += np.bincount(nearest, distance.min(axis=1), k)
+                counts[start] += np.bincount(nearest, weight, k)
+                costs[start] += np.bincount(nearest, weight * distance.min(axis=1), k)
                 for i in range(size):
-                    totals[start, :, i] += np.bincount(nearest, points[:, i], k)
+                    totals[start, :, i] += np.bincount(nearest, weight * points[:, i], k)
         start, centre = np.divmod(np.arange(starts * k), k)
         columns = [start, centre, counts.ravel(), costs.ravel(), *totals.reshape(-1, size).T]
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["start", "centre", "n", "cost", *names])
@@ -157,10 +139,10 @@ def fit_segments(
 ) -> Segmenter | None:
     """Best of several K-Means starts on the scaled features; None if there are no rows.
 
-    The starts run on a sample of bounded size, and the cheapest few go on over all rows until they
-    stand still. The features are scaled and written once; each round is one pass over them for all
-    that still move, and a task sends a few sums. A centre without rows stays where it is. Segments are
-    numbered in the order of their centres.
+    Every start runs over all rows until it stands still. The distinct points are scaled and written
+    once with their row counts, which gives the same costs and means as the rows; each round is one
+    pass over them for all starts that still move, and a task sends a few sums. A centre without rows
+    stays where it is. Segments are numbered in the order of their centres.
     """
     names = list(FEATURES)
     count, *found = features.agg(
@@ -170,15 +152,15 @@ def fit_segments(
         return None
     means, deviations = tuple(found[: len(names)]), tuple(found[len(names) :])
     scaled = _scaled(names, means, deviations, "")
-    points = stage(features.select(*[x.cast("double").alias(name) for name, x in scaled.items()]), "points")
-    sample, weights = _sample(features, names, count)
-    spread = np.array(deviations)
-    sample = np.divide(sample - np.array(means), spread, out=np.zeros_like(sample), where=spread > 0)
-    centres = _best_starts(sample, weights, k, starts, seed, rounds)
+    distinct = features.groupBy(*names).agg(F.count("*").cast("double").alias("weight"))
+    values = [x.cast("double").alias(name) for name, x in scaled.items()]
+    points = stage(distinct.select(*values, "weight", F.xxhash64(*names).alias("draw")), "points")
+    centres = _first_centres(points, names, k, starts, seed)
+    weighted = points.select(*names, "weight")
     sizes, costs = np.zeros(centres.shape[:2]), np.zeros(len(centres))
     moving = np.arange(len(centres))
     for _ in range(rounds):
-        counts, sums, cost = _assign(points, centres[moving])
+        counts, sums, cost = _assign(weighted, centres[moving])
         means_of = np.divide(sums, counts[:, :, None], out=centres[moving].copy(), where=counts[:, :, None] > 0)
         shift = np.abs(means_of - centres[moving]).max(axis=(1, 2))
         centres[moving], sizes[moving], costs[moving] = means_of, counts, cost.sum(axis=1)

@@ -64,6 +64,21 @@ def test_segments_do_not_depend_on_the_layout(spark, features):
     assert fits[0].sizes.tolist() == fits[1].sizes.tolist()
 
 
+def test_every_start_sees_all_rows(spark):
+    """Many rows on few points: a sample of points by hash holds none of them, or one with all its rows."""
+    ddl = "CAST(id % 3 * 5000 AS int) price, CAST(id % 3 * 10 AS int) mileage, CAST(2000 + id % 3 AS int) year"
+    fitted = segments.fit_segments(spark.range(3_000_000).selectExpr(*ddl.split(", ")))
+    assert fitted.sizes.tolist() == [1e6] * 3 and fitted.cost == pytest.approx(0, abs=1e-6)
+
+
+def test_segments_do_not_depend_on_the_input_size(spark, features):
+    times = 8  # more rows than a sample would take whole
+    one = segments.fit_segments(features)
+    many = segments.fit_segments(features.crossJoin(spark.range(times)).drop("id"))
+    assert many.sizes.tolist() == [times * size for size in one.sizes]
+    assert many.cost == pytest.approx(times * one.cost, rel=1e-9)
+
+
 def test_profile_is_that_of_the_rows(features):
     fitted = segments.fit_segments(features, starts=1)
     by_rows = segments.cluster_profile_means(fitted.transform(features)).orderBy("cluster_id").collect()
