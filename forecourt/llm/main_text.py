@@ -2,11 +2,11 @@
 
 Markup is stripped to lines: one per block of the page, an inline tag leaves no trace and a line
 break is white space. A line's mass is its text outside links. Elements that are never article text
-(scripts, menus, forms, ...), by tag, role, or a word of their class or id, become empty lines, and so
-does what lies outside a marked article if the page has one. The distribution is the mass in a
-sliding window of lines: text surges where it rises from zero and dives where it falls back to zero.
-Text between a surge and its dive is kept if the densest window of the stretch comes near that of
-the page's densest stretch.
+(scripts, menus, forms, ...), by tag, role, or a word of their class or id, become empty lines, unless
+they stand between blocks of one parent; what lies outside a marked article, if the page has one, becomes
+empty lines too. The distribution is the mass in a sliding window of lines: text surges where it rises
+from zero and dives where it falls back to zero. Text between a surge and its dive is kept if the
+densest window of the stretch comes near that of the page's densest stretch.
 
 A null or empty page, or one without such text, gives empty text. A repeated row gets its own
 result; an empty table gives an empty one. Nothing is cut off: very long pages are read whole.
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from forecourt.llm.common import only, slices
 
 WINDOW = 3
-#: A stretch is kept if its mass is at least this share of the largest stretch's.
+#: A stretch is kept if its densest window has at least this share of the mass of the page's densest one.
 SHARE = 0.25
 
 # Elements of the HTML standard, by what they mean here.
@@ -47,6 +47,7 @@ _WORDS = frozenset(
 _ABOUT = frozenset(("has", "with", "without", "no", "show", "hide"))
 _FRAME = frozenset(("html", "body", "main"))
 _ARTICLE = frozenset(("article", "main"))
+_TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote ul ol dl li dt dd figcaption address".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -100,7 +101,11 @@ class _Lines:
         self._parts: list[str] = []
         self._linked = 0
         self._open: list[tuple[str, bool]] = []  # element, whether it is boilerplate
+        self._blocks: list[str] = []  # the open elements that are blocks
         self._articles = self._skipped = self._links = 0
+        # The last line's block and depth, and the depth of the innermost open block around it.
+        self._last, self._depth, self._common = "", 0, 0
+        self._removed = False  # whether boilerplate came after the last line
 
     def add(self, text: str) -> None:
         if not self._skipped:
@@ -108,21 +113,46 @@ class _Lines:
             if self._links:
                 self._linked += len(text.strip())
 
-    def end_line(self, gap: int = 0) -> None:
-        """Close the line being filled; ``gap`` empty lines follow it."""
+    def end_line(self, gap: bool = False) -> None:
+        """Close the line being filled; with ``gap`` a window of empty lines follows it."""
         text = " ".join(html.unescape("".join(self._parts)).split()) if self._parts else ""
         if text:
+            if self._removed and not self._one_parent():
+                self._silence()
+            self._removed = False
+            self._last, self._depth = self._blocks[-1] if self._blocks else "", len(self._blocks)
+            self._common = self._depth
             self.texts.append(text)
             self.masses.append(max(0, len(text) - self._linked))
             self.inside.append(self._articles > 0)
-        for _ in range(gap):
+        if gap:
+            self._silence()
+        self._parts, self._linked = [], 0
+
+    def _silence(self) -> None:
+        for _ in range(WINDOW):
             self.texts.append("")
             self.masses.append(0)
             self.inside.append(False)
-        self._parts, self._linked = [], 0
+
+    def _one_parent(self) -> bool:
+        """Whether the line being filled and the last one are blocks of one parent.
+
+        The parent is the innermost block around both. Its own text and its paragraphs belong to it, and
+        then the other line may lie deeper in it; at the top of the page both have to be of that kind.
+        """
+        ends = [(self._last, self._depth - self._common)]
+        ends.append((self._blocks[-1] if self._blocks else "", len(self._blocks) - self._common))
+        near = [below == 0 or (below == 1 and tag in _TEXT_BLOCKS) for tag, below in ends]
+        if not self._common or self._blocks[self._common - 1] in ("html", "body"):
+            return all(near)
+        return any(near) or all(below == 1 for _, below in ends)
 
     def _pop(self) -> None:
         tag, boilerplate = self._open.pop()
+        if tag not in _INLINE:
+            self._blocks.pop()
+            self._common = min(self._common, len(self._blocks))
         self._skipped -= boilerplate
         self._links -= tag == "a"
         if not boilerplate:
@@ -136,7 +166,7 @@ class _Lines:
         if block:
             if tag in _ARTICLE and self._skipped:
                 # A menu that was never closed cannot hold the article.
-                self.end_line(WINDOW)
+                self.end_line(gap=True)
                 while self._skipped:
                     self._pop()
             elif self._open and self._closes_paragraph(tag):
@@ -147,8 +177,11 @@ class _Lines:
             return
         boilerplate = _is_boilerplate(tag, attributes, self._articles > 0, self._by_name)
         if block or boilerplate:
-            self.end_line(WINDOW if boilerplate or tag in _ARTICLE else 0)
+            self.end_line(gap=tag in _ARTICLE)
+        self._removed |= boilerplate
         self._open.append((tag, boilerplate))
+        if block:
+            self._blocks.append(tag)
         self._skipped += boilerplate
         self._links += tag == "a"
         if not boilerplate:
@@ -180,9 +213,9 @@ class _Lines:
             return
         if tag in _INLINE and any(open_tag not in _INLINE for open_tag, _ in self._open[at + 1 :]):
             return  # an inline tag does not end the blocks opened inside it
-        leaves = any(b or t in _ARTICLE for t, b in self._open[at:])
-        if tag not in _INLINE or leaves:
-            self.end_line(WINDOW if leaves else 0)
+        leaves = any(t in _ARTICLE for t, _ in self._open[at:])
+        if tag not in _INLINE or any(b for _, b in self._open[at:]):
+            self.end_line(gap=leaves)
         while len(self._open) > at:
             self._pop()
 
@@ -221,6 +254,11 @@ def stretches(masses: list[int]) -> list[tuple[int, int, int]]:
     return found
 
 
+def densest(masses: list[int]) -> int:
+    """The largest mass of a window of lines."""
+    return max((sum(masses[at : at + WINDOW]) for at in range(max(1, len(masses) - WINDOW + 1))), default=0)
+
+
 def main_text(page: str | None) -> str:
     """The article of a page: its kept blocks, joined by one space.
 
@@ -237,12 +275,13 @@ def _main_text(lines: _Lines) -> str:
         return " ".join(
             text for start, end, _ in stretches(masses) for text in lines.texts[start:end] if text
         )
-    found = stretches(masses)
-    if not found:
-        return ""
-    enough = SHARE * max(mass for *_, mass in found)
+    enough = SHARE * densest(masses)
     return " ".join(
-        text for start, end, mass in found if mass >= enough for text in lines.texts[start:end] if text
+        text
+        for start, end, _ in stretches(masses)
+        if densest(masses[start:end]) >= enough
+        for text in lines.texts[start:end]
+        if text
     )
 
 

@@ -52,6 +52,33 @@ def test_little_stretches_far_from_the_text_go():
     assert "tiny" not in mt.main_text(page)
 
 
+TEN = [f"<p>Paragraph {i} of a story that runs on for quite some words, as stories do.</p>" for i in range(10)]
+PLAIN = " ".join(p[3:-4] for p in TEN)
+
+
+@pytest.mark.parametrize("removed", ['<div class="share">Share me</div>', '<div class="ad-slot">Buy now</div>', "<form>f</form>", "<aside>a</aside>"])
+@pytest.mark.parametrize("wrap", ['<div class="post">{}</div>', "<body>{}</body>", "{}"])
+def test_removed_elements_do_not_cut_a_run_of_blocks(removed, wrap):
+    page = wrap.format(f"<h1>Title</h1>{removed}" + "".join(TEN[:-1]) + removed + "<p>The end.</p>")
+    assert mt.main_text(page) == "Title " + PLAIN.rpartition(" Paragraph 9")[0] + " The end."
+
+
+def test_title_and_deeper_blocks_are_one_run():
+    page = f'<div class="post"><h1>Title</h1><div><b class="share">s</b></div><div>{"".join(TEN)}</div></div>'
+    assert mt.main_text(page) == "Title " + PLAIN
+    assert mt.main_text('<div>One <span class="ad">ad</span> two' + "".join(TEN) + "</div>") == "One two " + PLAIN
+
+
+def test_removed_elements_between_parts_of_the_page_cut():
+    page = f"<body><div>Slogan</div><nav>n</nav><div>{''.join(TEN)}</div><footer>f</footer><div>Imprint</div></body>"
+    assert mt.main_text(page) == PLAIN
+
+
+def test_stretches_are_compared_by_their_densest_window():
+    far = "<p><a>x</a></p>" * 3
+    assert mt.main_text("".join(TEN * 5) + far + TEN[0]).count("Paragraph 0") == 6
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="<>/pdiv a=\"'!-&;\n#x3", max_size=200))
 def test_broken_markup_never_fails(page):
