@@ -3,10 +3,11 @@
 Markup is stripped to lines: one per block of the page, an inline tag leaves no trace and a line
 break is white space. A line's mass is its text outside links. Elements that are never article text
 (scripts, menus, forms, ...), by tag, role, or a word of their class or id, become empty lines, unless
-they stand between blocks of one parent; what lies outside a marked article, if the page has one, becomes
-empty lines too. The distribution is the mass in a sliding window of lines: text surges where it rises
-from zero and dives where it falls back to zero. Text between a surge and its dive is kept if the
-densest window of the stretch comes near that of the page's densest stretch.
+they stand between blocks of one parent; what lies outside a marked article becomes empty lines too, if
+the page has one and no window outside is denser than all inside. The distribution is the mass in a
+sliding window of lines: text surges where it rises from zero and dives where it falls back to zero.
+Text between a surge and its dive is kept if the densest window of the stretch comes near that of
+the page's densest stretch.
 
 A null or empty page, or one without such text, gives empty text. A repeated row gets its own
 result; an empty table gives an empty one. Nothing is cut off: very long pages are read whole.
@@ -29,6 +30,8 @@ SHARE = 0.25
 
 # Elements of the HTML standard, by what they mean here.
 _RAW = "script|style|noscript|template|svg|math|iframe|object|textarea|title|select|canvas|audio|video"
+# Raw elements that may close themselves; the others of HTML are open whatever their tag says.
+_EMPTY = "svg|math|object|canvas|audio|video"
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span "
@@ -47,10 +50,12 @@ _WORDS = frozenset(
 _ABOUT = frozenset(("has", "with", "without", "no", "show", "hide"))
 _FRAME = frozenset(("html", "body", "main"))
 _ARTICLE = frozenset(("article", "main"))
+_HEADINGS = frozenset(("h1", "h2"))  # what follows one belongs to it
 _TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote ul ol dl li dt dd figcaption address".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
+    rf"|<(?P<empty>{_EMPTY})(?:/|\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+(?<=[\s\"']/))>"
     rf"|<(?P<raw>{_RAW})\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>.*?(?:</(?P=raw)\s*>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|<(?P<close>/?)(?P<tag>[a-zA-Z][\w:-]*)(?P<attributes>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+|[^>]*)(?:>|\Z)",
@@ -105,7 +110,8 @@ class _Lines:
         self._articles = self._skipped = self._links = 0
         # The last line's block and depth, and the depth of the innermost open block around it.
         self._last, self._depth, self._common = "", 0, 0
-        self._removed = False  # whether boilerplate came after the last line
+        # Whether boilerplate, or the edge of a marked article, came after the last line.
+        self._removed = self._crossed = False
 
     def add(self, text: str) -> None:
         if not self._skipped:
@@ -113,20 +119,19 @@ class _Lines:
             if self._links:
                 self._linked += len(text.strip())
 
-    def end_line(self, gap: bool = False) -> None:
-        """Close the line being filled; with ``gap`` a window of empty lines follows it."""
+    def end_line(self, edge: bool = False) -> None:
+        """Close the line being filled; ``edge`` says that a marked article begins or ends after it."""
         text = " ".join(html.unescape("".join(self._parts)).split()) if self._parts else ""
         if text:
-            if self._removed and not self._one_parent():
+            if (self._removed and not self._one_parent()) or (self._crossed and self._last not in _HEADINGS):
                 self._silence()
-            self._removed = False
+            self._removed = self._crossed = False
             self._last, self._depth = self._blocks[-1] if self._blocks else "", len(self._blocks)
             self._common = self._depth
             self.texts.append(text)
             self.masses.append(max(0, len(text) - self._linked))
             self.inside.append(self._articles > 0)
-        if gap:
-            self._silence()
+        self._crossed |= edge
         self._parts, self._linked = [], 0
 
     def _silence(self) -> None:
@@ -166,7 +171,7 @@ class _Lines:
         if block:
             if tag in _ARTICLE and self._skipped:
                 # A menu that was never closed cannot hold the article.
-                self.end_line(gap=True)
+                self.end_line(edge=True)
                 while self._skipped:
                     self._pop()
             elif self._open and self._closes_paragraph(tag):
@@ -177,7 +182,7 @@ class _Lines:
             return
         boilerplate = _is_boilerplate(tag, attributes, self._articles > 0, self._by_name)
         if block or boilerplate:
-            self.end_line(gap=tag in _ARTICLE)
+            self.end_line(edge=tag in _ARTICLE)
         self._removed |= boilerplate
         self._open.append((tag, boilerplate))
         if block:
@@ -215,7 +220,7 @@ class _Lines:
             return  # an inline tag does not end the blocks opened inside it
         leaves = any(t in _ARTICLE for t, _ in self._open[at:])
         if tag not in _INLINE or any(b for _, b in self._open[at:]):
-            self.end_line(gap=leaves)
+            self.end_line(edge=leaves)
         while len(self._open) > at:
             self._pop()
 
@@ -229,7 +234,7 @@ def lines_of(page: str, by_name: bool = True) -> _Lines:
         at = token.end()
         tag = token["tag"]
         if tag is None:
-            if token["raw"]:
+            if token["raw"] or token["empty"]:
                 lines.add(" ")
         elif token["close"]:
             lines.end(tag.lower())
@@ -269,7 +274,9 @@ def main_text(page: str | None) -> str:
 
 def _main_text(lines: _Lines) -> str:
     masses = lines.masses
-    if any(inside and text for inside, text in zip(lines.inside, lines.texts)):
+    within = densest([mass if inside else 0 for mass, inside in zip(masses, lines.inside)])
+    without = densest([0 if inside else mass for mass, inside in zip(masses, lines.inside)])
+    if any(lines.inside) and within >= without:
         # Inside a marked article every line counts, links and all.
         masses = [len(text) if inside else 0 for text, inside in zip(lines.texts, lines.inside)]
         return " ".join(

@@ -74,6 +74,19 @@ def test_removed_elements_between_parts_of_the_page_cut():
     assert mt.main_text(page) == PLAIN
 
 
+def test_a_marked_article_is_left_if_the_text_outside_is_denser():
+    story, cards = "".join(TEN), "".join(f'<article class="card"><h3>Post {i}</h3></article>' for i in range(3))
+    assert mt.main_text(f'<body><div class="content">{story}</div>{cards}</body>') == PLAIN
+    assert mt.main_text(f'<body><article><h1>Title</h1></article><div class="content">{story}</div></body>') == "Title " + PLAIN
+    assert mt.main_text(f"<body><article>{story}</article><div>Imprint and more</div></body>") == PLAIN
+
+
+@pytest.mark.parametrize("tag", ["svg", "math", "object", "canvas", "audio", "video"])
+def test_self_closed_elements_delete_nothing(tag):
+    page = f'One<{tag}/> two <{tag} class="x" /> three <{tag} id="a>b"/> four <{tag} a="1">gone</{tag}> five'
+    assert mt.main_text(page) == "One two three four five"
+
+
 def test_stretches_are_compared_by_their_densest_window():
     far = "<p><a>x</a></p>" * 3
     assert mt.main_text("".join(TEN * 5) + far + TEN[0]).count("Paragraph 0") == 6
