@@ -11,9 +11,9 @@ rate, since exp(-rate) would vanish. Large sources are summed per task before th
 table of rates is joined without a hint, so Spark broadcasts it only if it is small.
 
 A null source is a source of its own. A null text has no characters; a source without characters
-keeps the rate 1. Rows that share a doc_id draw the same count. Rows without doc_id draw as if
-their doc_id were empty text. An empty table gives an empty result. A source that ``weights`` does
-not name gets weight 0.
+keeps the rate 1. Rows that share a doc_id draw the same count. Rows without doc_id draw by a hash
+of their text. An empty table gives an empty result. A source that ``weights`` does not name gets
+weight 0.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forecourt.llm.common import only
+from forecourt.llm.common import only, text_or_empty
 from forecourt.session import stage
 
 SEED = 20
@@ -39,6 +39,11 @@ def uniform(*parts: Column | str) -> Column:
     return F.conv(F.substring(F.md5(text), 1, _HEX_DIGITS), 16, 10).cast("double") / F.lit(float(16**_HEX_DIGITS))
 
 
+def _drawn_by() -> Column:
+    """What a row's hashes are taken of: its doc_id, or a hash of its text if it has none."""
+    return F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.md5(text_or_empty())))
+
+
 def _table(rate: Column) -> Column:
     """Cumulative Poisson probabilities of 0, 1, 2, ... at ``rate``."""
 
@@ -82,10 +87,9 @@ def source_rates(docs: DataFrame, weights: Mapping[str, float] | None = None, si
 def replication_counts(docs: DataFrame, rates: DataFrame, seed: int = SEED) -> DataFrame:
     """``docs`` with ``n_copies``, the document's Poisson count."""
     per_source = rates.select(F.col("source").alias("__source"), "n_parts", "cdf")
-    doc_id = F.col("doc_id").cast("string")
 
     def draw(part: Column) -> Column:
-        u = uniform(F.lit(str(seed)), doc_id, part.cast("string"))
+        u = uniform(F.lit(str(seed)), _drawn_by(), part.cast("string"))
         return F.size(F.filter("__cdf", lambda p: p <= u))
 
     parts = F.sequence(F.lit(1), F.col("__parts"))
@@ -106,5 +110,5 @@ def mix(
     rows = docs.drop("n_copies", "copy", "position")
     counted = replication_counts(rows, source_rates(rows, weights, size), seed)
     copies = counted.where("n_copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n_copies"))))
-    position = F.md5(F.concat_ws("|", F.lit(str(seed)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("copy").cast("string")))
+    position = F.md5(F.concat_ws("|", F.lit(str(seed)), _drawn_by(), F.col("copy").cast("string")))
     return copies.withColumn("position", position).orderBy("position")

@@ -47,6 +47,14 @@ def test_result_does_not_depend_on_the_layout(spark):
     assert one.equals(other) and one.position.is_monotonic_increasing
 
 
+def test_rows_without_id_draw_apart(spark):
+    docs = documents(spark, [(None, f"{i} " + sentences(i, 20), "en", "s") for i in range(3000)])
+    mixed = mixing.mix(docs, size=0.7).toPandas()
+    counts = mixed.groupby("text").size()
+    assert len(mixed) == pytest.approx(2100, rel=0.1) and len(counts) == pytest.approx(3000 * (1 - np.exp(-0.7)), rel=0.1)
+    assert mixed.position.is_unique
+
+
 def test_order_is_mixed(spark):
     mixed = mixing.mix(corpus(spark, (300, 300)), {"s0": 1, "s1": 1}).toPandas()
     half = Counter(mixed.source[: len(mixed) // 2])
