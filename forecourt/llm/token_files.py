@@ -6,9 +6,10 @@ allows, else 4. The dictionary lies beside the shards under its hash. The offset
 table (doc_id, shard, offset, length, start, n_tokens), written by Spark's committer; a reader needs
 one range of one shard and the dictionary to get at a short document.
 
-The dictionary is trained on the ids of a hash sample of about ``SAMPLE_DOCUMENTS`` documents, whole
-ones; it bounds the training, and every document is encoded. With too few samples to train it is
-their plain content, and without documents it is empty.
+The dictionary is trained on the ids of about ``SAMPLE_PIECES`` pieces of at most ``PIECE_CHARS``
+characters, drawn by hash from the pieces of all documents; it bounds the training in bytes, and every
+document is encoded. Equal pieces of equal rows count once. With too few samples to train it is their
+plain content, and without documents it is empty.
 
 Encoding: the distinct words of a batch go through the tokenizers library once each, and the ids of
 the texts are put together from them. The file's pattern never joins across ASCII white space, and
@@ -32,18 +33,19 @@ import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from forecourt.llm import shared_files
 from forecourt.llm.bpe import byte_symbols, ragged, read_vocabulary
-from forecourt.llm.common import only, slices
+from forecourt.llm.common import only, slices, text_or_empty
 from forecourt.session import scratch_path, stage
 
 MAGIC = b"TOKIDS01"
 END_ID = 1
-SAMPLE_DOCUMENTS = 2000
+SAMPLE_PIECES = 2000
+PIECE_CHARS = 8192
 DICTIONARY_BYTES = 64 * 1024
 LEVEL = 3
 _TRIMMED = ".,;:!?#*$%&\"()"
@@ -126,14 +128,26 @@ def hash_of(dictionary: bytes) -> str:
     return xxhash.xxh3_128_hexdigest(dictionary)
 
 
+def dictionary_sample(docs: DataFrame) -> DataFrame:
+    """text: about SAMPLE_PIECES of the pieces of all texts, each piece with the same chance."""
+    rows = only(docs, "doc_id", "text").withColumn("text", text_or_empty())
+    n_pieces = F.greatest(F.lit(1), F.ceil(F.length("text") / PIECE_CHARS).cast("int"))
+    total = rows.agg(F.sum(n_pieces)).first()[0]
+    share = min(1.0, SAMPLE_PIECES / (total or 1))
+
+    def drawn(piece: Column) -> Column:
+        number = F.pmod(F.xxhash64(F.col("row"), piece), F.lit(1 << 32))
+        return number.cast("double") / float(1 << 32) < share
+
+    rows = rows.withColumn("row", F.xxhash64(F.lit("dictionary"), "doc_id", "text"))
+    pieces = rows.withColumn("piece", F.explode(F.filter(F.sequence(F.lit(0), n_pieces - 1), drawn)))
+    start = F.col("piece") * PIECE_CHARS + 1
+    pieces = pieces.select("row", "piece", F.substring("text", start, F.lit(PIECE_CHARS)).alias("text"))
+    return pieces.dropDuplicates(["row", "piece"]).select("text")
+
+
 def train_dictionary(docs: DataFrame, vocabulary_path: str, end_id: int = END_ID) -> bytes:
-    """A dictionary of at most 64 KB from a hash sample of whole documents, trained in one task."""
-    rows = only(docs, "doc_id", "text")
-    total = rows.count()
-    if not total:
-        return b""
-    share = min(1.0, SAMPLE_DOCUMENTS / total)
-    draw = F.pmod(F.xxhash64(F.lit("dictionary"), "doc_id"), F.lit(1 << 32)).cast("double") / float(1 << 32)
+    """A dictionary of at most 64 KB from a hash sample of pieces, trained in one task."""
     content = read_vocabulary(vocabulary_path)
 
     def train(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,7 +164,7 @@ def train_dictionary(docs: DataFrame, vocabulary_path: str, end_id: int = END_ID
             trained = b"".join(samples)[-DICTIONARY_BYTES:]
         yield pa.RecordBatch.from_pydict({"dictionary": pa.array([trained], pa.binary())})
 
-    trained = rows.where(draw < share).repartition(1).mapInArrow(train, "dictionary binary").take(1)
+    trained = dictionary_sample(docs).repartition(1).mapInArrow(train, "dictionary binary").take(1)
     return bytes(trained[0]["dictionary"]) if trained else b""
 
 

@@ -84,3 +84,11 @@ def test_ranges_are_coalesced_within_limits(new_dir):
     some = ranges[::7] + ranges[-1:] + ranges[:2]
     assert list(shared_files.read_ranges(new_dir, some)) == [([*pieces, b"end"])[ranges.index(r)] for r in some]
     assert len(list(shared_files._coalesced(some))) == 3
+
+
+def test_dictionary_sample_is_bounded_and_spread(spark):
+    long = " ".join(sentences(i, 20) for i in range(200))
+    texts = [f"{i} {long}" for i in range(1500)] + ["same"] * 300
+    sample = tf.dictionary_sample(documents(spark, [(None, t, "en", "s") for t in texts])).toPandas().text
+    assert len(sample) == pytest.approx(tf.SAMPLE_PIECES, rel=0.15)
+    assert sample.str.len().max() <= tf.PIECE_CHARS and (sample == "same").sum() <= 1
