@@ -1,8 +1,8 @@
 """SQL for the queries that SQL can express.
 
 None for op1 (page structure), op3 (tokenizer files), op4 (byte-pair merges), op5 (sketches; its
-classes need all pairs), op6 (CRC-32 word buckets) and op8 (fitted model): their tests compare them
-with brute force, a round trip or held-out labels.
+classes need all pairs), op6 (CRC-32 word buckets), op8 (fitted model) and op13 (piece merges): their
+tests compare them with brute force, a round trip or held-out labels.
 """
 
 from __future__ import annotations

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecourt.llm import (
-    bpe, language_id, main_text, mixing, near_duplicates, nearest, quality, secret_scan, token_files, warc,
+    bpe, language_id, main_text, mixing, near_duplicates, nearest, pieces, quality, secret_scan,
+    token_files, warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +18,7 @@ QUERIES: dict[str, Query] = {}
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def query(function: Query) -> Query:
@@ -83,3 +85,14 @@ def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = pieces.encode(table(spark, sf_dir, "documents"), PIECE_MODEL)
+    return pieces.decode(encoded, PIECE_MODEL).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )

@@ -1,0 +1,122 @@
+import hashlib
+import random
+import struct
+
+import numpy as np
+import pyarrow as pa
+import pytest
+import sentencepiece
+from llm_fixtures import documents, empty, odd_rows, sentences
+
+from forecourt.llm import pieces
+from forecourt.llm.queries import PIECE_MODEL, QUERIES
+
+PARTS = [
+    "a", "b", " ", "  ", "\n", "\t", "<s>", "</s>", "<unk>", "<0x0A>", "'s", "é", "日本", "1", "23", "!", "...", "\xa0",
+    "\x1c", "　", "▁", "the", "Hello", "😀", "\r\n", "_", "aaaaaaa", " of", "\x00", "ß", "½", "   " * 9, "====", "in", "er", "ing",
+]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=PIECE_MODEL)
+
+
+@pytest.fixture(scope="module")
+def codec():
+    return pieces.Codec(pieces.read_model(PIECE_MODEL))
+
+
+def batches():
+    chance = random.Random(1)
+    ranges = [(32, 127), (0xA0, 0x500), (0x3000, 0x9FFF), (0x1F300, 0x1F700)]
+    joined = ["".join(chance.choice(PARTS) for _ in range(chance.randrange(25))) for _ in range(3000)]
+    letters = ["".join(chance.choice("abcdefghinst er") for _ in range(chance.randrange(200))) for _ in range(1000)]
+    mixed = ["".join(chr(chance.randrange(*chance.choice(ranges))) for _ in range(chance.randrange(60))) for _ in range(1000)]
+    runs = [f"{left}{' ' * n}{right}" for n in range(70) for left in ("", "x") for right in ("", "y", "=", "日")]
+    long = ["a" * 5000, "=" * 333, "ab" * 3000, sentences(3, 20_000), " " * 100_000]
+    return joined, letters, mixed, runs, long, [""], ["", "", "x"]
+
+
+@pytest.mark.parametrize("texts", batches())
+def test_ids_and_text_match_the_library(library, codec, texts):
+    ids, counts = codec.encode(pa.array(texts, pa.string()), 1, 2)
+    decoded, at = codec.decode(ids, counts), 0
+    for text, n, own_text in zip(texts, counts, decoded):
+        expected = library.encode(text, add_bos=True, add_eos=True)
+        assert ids[at : at + n].tolist() == expected
+        assert own_text == library.decode(expected)
+        at += n
+
+
+def test_without_begin_and_end(library, codec):
+    ids, counts = codec.encode(pa.array(["one two", None, "three"]))
+    assert ids.tolist() == library.encode("one two") + library.encode("three")
+    assert counts.tolist() == [len(library.encode("one two")), 0, len(library.encode("three"))]
+
+
+def test_any_ids_decode_as_in_the_library(library, codec):
+    chance = random.Random(2)
+    kinds = [lambda: chance.randrange(32_000), lambda: chance.randrange(260), lambda: chance.choice([28705, 259, 264, 0, 1, 2])]
+    for _ in range(3000):
+        ids = [chance.choice(kinds)() for _ in range(chance.randrange(9))]
+        assert codec.decode(np.array(ids, np.int64), np.array([len(ids)])) == [library.decode(ids)]
+
+
+def test_runs_of_spaces_without_their_table(library, codec):
+    """The merge rounds alone give the same cuts as the table of runs."""
+    known, codec.model.longest_run = codec.model.longest_run, 0
+    try:
+        texts = batches()[3]
+        ids, counts = codec.encode(pa.array(texts))
+    finally:
+        codec.model.longest_run = known
+    assert known == 16
+    assert np.split(ids, np.cumsum(counts)[:-1])[-1].tolist() == library.encode(texts[-1])
+    assert ids.tolist() == [i for text in texts for i in library.encode(text)]
+
+
+def test_an_unknown_id_is_noticed(codec):
+    with pytest.raises(ValueError):
+        codec.decode(np.array([10**6]), np.array([1]))
+
+
+def field(number: int, value: bytes | int) -> bytes:
+    if isinstance(value, int):
+        return bytes([number << 3, value])
+    return bytes([number << 3 | 2, len(value)]) + value
+
+
+def test_ties_go_to_the_left_and_other_models_are_refused():
+    def model(spec: bytes, trainer: bytes = field(3, 2) + b"\x98\x02\x01") -> bytes:
+        scored = {"▁": -9.0, "a": -9.0, "b": -9.0, "ab": -2.0, "ba": -2.0, "aba": -1.0}
+        listed = [field(1, p.encode()) + bytes([2 << 3 | 5]) + struct.pack("<f", s) for p, s in scored.items()]
+        listed += [field(1, f"<0x{b:02X}>".encode()) + field(3, 6) for b in range(256)]
+        return b"".join(field(1, piece) for piece in listed) + field(2, trainer) + field(3, spec)
+
+    own = pieces.Codec(model(field(4, 0)))
+    # "baba": "ba" is leftmost of the ties; "ba" + "b" is no piece, so "ba" follows. "abab": "ab", then "aba".
+    assert own.encode(pa.array(["baba", "abab"]))[0].tolist() == [0, 4, 4, 0, 5, 2]
+    for spec, trainer in ((field(4, 1), field(3, 2) + b"\x98\x02\x01"), (field(4, 0), field(3, 1)), (field(4, 0) + field(2, b"x"), b"")):
+        with pytest.raises(ValueError):
+            pieces.Codec(model(spec, trainer))
+
+
+def test_query_digests_odd_rows(spark, library, new_dir):
+    documents(spark, odd_rows(), clashing=False).write.parquet(f"{new_dir}/documents.parquet")
+    rows = QUERIES["op13_sentencepiece"](spark, new_dir).collect()
+    assert len(rows) == len(odd_rows())
+    for row in rows:
+        text = next(t for i, t, *_ in odd_rows() if i == row.doc_id) or ""
+        ids = library.encode(text, add_bos=True, add_eos=True)
+        assert row.n_tokens == len(ids)
+        assert row.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+        assert row.decoded_sha256 == hashlib.sha256(library.decode(ids).encode()).hexdigest()
+
+
+def test_empty_table_null_ids_and_clashing_columns(spark):
+    assert pieces.decode(pieces.encode(empty(spark), PIECE_MODEL), PIECE_MODEL).count() == 0
+    encoded = pieces.encode(documents(spark, odd_rows()), PIECE_MODEL)
+    assert encoded.columns == ["doc_id", "n_tokens", "ids"] and encoded.count() == len(odd_rows())
+    null = spark.createDataFrame([(1, 0, None)], "doc_id long, n_tokens long, ids binary")
+    assert pieces.decode(null, PIECE_MODEL).collect()[0].text == ""
