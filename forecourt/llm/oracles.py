@@ -7,7 +7,7 @@ tests compare them with brute force, a round trip or held-out labels.
 
 from __future__ import annotations
 
-from forecourt.llm import mixing
+from forecourt.llm import filter_audit, mixing
 from forecourt.llm import secret_scan as secrets
 
 ORACLES: dict[str, str] = {}
@@ -145,3 +145,46 @@ SELECT d.*, n_copies::INT AS n_copies, copy::INT AS copy,
        md5('{mixing.SEED}|' || coalesce(d.doc_id::VARCHAR, '') || '|' || copy) AS position
 FROM documents d JOIN counts c ON c.doc_id = d.doc_id AND c.source = d.source, range(1, n_copies + 1) r(copy)
 """
+
+_LETTERS = ", ".join(f"'{letter}'" for letter in filter_audit.FILTERS)
+ORACLES["op12_filter_audit"] = f"""
+WITH docs AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, min(doc_id) OVER (PARTITION BY text) AS original
+    FROM (SELECT doc_id, lang, coalesce(text, '') AS text FROM documents)
+), measured AS (
+    SELECT doc_id, part, text, original, list_filter(string_split_regex(text, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS words
+    FROM docs
+), failed AS (
+    SELECT doc_id, part,
+           CASE WHEN len(words) < 100 THEN 'A' ELSE '' END
+             || CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 'B' ELSE '' END
+             || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) THEN 'C' ELSE '' END
+             || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+             || CASE WHEN original < doc_id THEN 'E' ELSE '' END AS fails
+    FROM measured
+), marked AS (
+    SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id
+), masks AS (
+    SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+    FROM failed LEFT JOIN marked USING (doc_id) GROUP BY part, fails
+), letters AS (
+    SELECT unnest([{_LETTERS}]) AS f
+), orders AS (
+    SELECT a.f || b.f || c.f || d.f || e.f AS filter_order
+    FROM letters a JOIN letters b ON b.f <> a.f JOIN letters c ON c.f NOT IN (a.f, b.f)
+      JOIN letters d ON d.f NOT IN (a.f, b.f, c.f) JOIN letters e ON e.f NOT IN (a.f, b.f, c.f, d.f)
+), steps AS (
+    SELECT filter_order, step::INT AS step, filter_order[step] AS f, left(filter_order, step - 1) AS earlier
+    FROM orders, range(1, 6) r(step)
+), figures AS (
+    SELECT part, filter_order, step, f,
+           coalesce(sum(n) FILTER (translate(fails, earlier || f, '') = fails), 0)::BIGINT AS kept,
+           coalesce(sum(n) FILTER (contains(fails, f) AND translate(fails, earlier, '') = fails), 0)::BIGINT AS removed,
+           coalesce(sum(n) FILTER (contains(fails, f) AND translate(fails, earlier, '') <> fails), 0)::BIGINT AS redundant,
+           coalesce(sum(n) FILTER (fails = f), 0)::BIGINT AS unique_fails,
+           coalesce(sum(good) FILTER (contains(fails, f) AND translate(fails, earlier, '') = fails), 0)::BIGINT AS good_lost,
+           coalesce(sum(toxic) FILTER (contains(fails, f) AND translate(fails, earlier, '') = fails), 0)::BIGINT AS toxic_lost
+    FROM masks, steps GROUP BY ALL
+)
+SELECT * EXCLUDE (f), (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley FROM figures
+"""

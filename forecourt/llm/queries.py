@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecourt.llm import (
-    bpe, language_id, main_text, mixing, near_duplicates, nearest, pieces, quality, secret_scan,
+    bpe, filter_audit, language_id, main_text, mixing, near_duplicates, nearest, pieces, quality, secret_scan,
     token_files, warc,
 )
 
@@ -87,6 +87,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = pieces.encode(table(spark, sf_dir, "documents"), PIECE_MODEL)
