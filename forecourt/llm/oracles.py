@@ -7,7 +7,7 @@ tests compare them with brute force, a round trip or held-out labels.
 
 from __future__ import annotations
 
-from forecourt.llm import filter_audit, mixing
+from forecourt.llm import collocations, filter_audit, mixing
 from forecourt.llm import secret_scan as secrets
 
 ORACLES: dict[str, str] = {}
@@ -146,6 +146,44 @@ SELECT d.*, n_copies::INT AS n_copies, copy::INT AS copy,
 FROM documents d JOIN counts c ON c.doc_id = d.doc_id AND c.source = d.source, range(1, n_copies + 1) r(copy)
 """
 
+ORACLES["op11_collocations"] = f"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents
+), words AS (
+    SELECT lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda w: w <> '') AS words FROM pieces
+), places AS (
+    SELECT lang, words, size::INT AS size, unnest(range(1, len(words) - size::INT + 2)) AS place FROM words, range(1, 6) s(size)
+), counts AS (
+    SELECT lang, size, array_to_string(words[place:place + size - 1], ' ') AS phrase, count(*) AS n
+    FROM places GROUP BY ALL HAVING count(*) >= {collocations.LEAST_COUNT}
+), totals AS (
+    SELECT lang, sum(len(words)) AS n FROM words GROUP BY lang
+), phrases AS (
+    SELECT *, string_split(phrase, ' ') AS words FROM counts WHERE size >= 2
+), inner_phrases AS (
+    SELECT lang, array_to_string(words[first:first + length - 1], ' ') AS phrase, max(n) AS longest
+    FROM (SELECT *, unnest(range(1, size - length + 2)) AS first
+          FROM (SELECT lang, words, n, size, unnest(range(2, size)) AS length FROM phrases))
+    GROUP BY ALL
+), kept AS (
+    SELECT p.* FROM phrases p LEFT JOIN inner_phrases i USING (lang, phrase) WHERE longest IS NULL OR 100 * longest < 100 * n
+), cuts AS (
+    SELECT lang, phrase, n AS a, k::INT AS k, array_to_string(words[1:k], ' ') AS first_words, array_to_string(words[k + 1:], ' ') AS rest
+    FROM (SELECT *, unnest(range(1, size)) AS k FROM kept)
+), scored AS (
+    SELECT c.lang, c.phrase, c.a, f.n AS l, r.n AS r, t.n::BIGINT AS n,
+           ((1000::HUGEINT * c.a * t.n::HUGEINT) // (f.n::HUGEINT * r.n))::BIGINT AS score
+    FROM cuts c JOIN counts f ON f.lang = c.lang AND f.phrase = c.first_words
+      JOIN counts r ON r.lang = c.lang AND r.phrase = c.rest JOIN totals t ON t.lang = c.lang
+    QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, c.k) = 1
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score
+FROM scored QUALIFY rank <= {collocations.PER_LANG}
+"""
+
 _LETTERS = ", ".join(f"'{letter}'" for letter in filter_audit.FILTERS)
 ORACLES["op12_filter_audit"] = f"""
 WITH docs AS (

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecourt.llm import (
-    bpe, filter_audit, language_id, main_text, mixing, near_duplicates, nearest, pieces, quality, secret_scan,
-    token_files, warc,
+    bpe, collocations, filter_audit, language_id, main_text, mixing, near_duplicates, nearest, pieces, quality,
+    secret_scan, token_files, warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +87,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 @query
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
