@@ -413,7 +413,7 @@ ORACLES: dict[str, str] = {
     ),
     "cluster_business_names": _with("named", "SELECT * FROM named"),
     "kmeans_segments": _with(
-        "listings", f"SELECT id, price, mileage, year, TRUE AS nearest FROM listings WHERE {_COMPLETE}"
+        "listings", f"SELECT id, price, mileage, year, TRUE AS centred FROM listings WHERE {_COMPLETE}"
     ),
     "cluster_mart": _with(
         "mart", "SELECT * EXCLUDE (cluster_id, cluster_name), TRUE AS in_price_order FROM mart"

@@ -630,14 +630,19 @@ def standard_scale(spark, sf_dir):
 
 @query
 def kmeans_segments(spark, sf_dir):
-    """Every complete listing, and whether its segment's centre is the nearest."""
+    """Every complete listing, and whether its segment's centre is the mean of the segment's listings."""
     columns = ["id", *segments.FEATURE_COLUMNS]
     features = segments.ml_feature_extract(facts_with_id(spark, sf_dir), columns)
     segmenter = segments.fit_segments(features)
-    distances = segmenter.distances()
-    own = F.get(F.array(*distances), F.col("cluster_id"))
     scored = segmenter.transform(features)
-    return scored.select("id", *segments.FEATURES, (own <= F.least(*distances)).alias("nearest"))
+    means = segments.cluster_profile_means(scored).toDF("cluster_id", *[f"mean_{name}" for name in segments.FEATURES])
+    centres = spark.createDataFrame(segmenter.profile(), segments.PROFILE)
+    off = [
+        F.abs(F.col(f"mean_{name}") - F.col(f"avg_{name}")) / (deviation or 1.0)
+        for name, deviation in zip(segments.FEATURES, segmenter.deviations)
+    ]
+    centred = means.join(centres, "cluster_id").select("cluster_id", (F.greatest(*off) < 1e-3).alias("centred"))
+    return scored.join(F.broadcast(centred), "cluster_id").select("id", *segments.FEATURES, "centred")  # a row per cluster
 
 
 @query

@@ -2,6 +2,8 @@
 
 import math
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF_DIR
 from pyspark.ml.clustering import KMeans
@@ -79,6 +81,38 @@ def test_segments_do_not_depend_on_the_input_size(spark, features):
     assert many.cost == pytest.approx(times * one.cost, rel=1e-9)
 
 
+def test_blocks_give_the_sums_of_their_points(spark):
+    """Also with points on a border, where two centres are equally far, and with centres without points."""
+    points = spark.range(5000).selectExpr(
+        "(id % 50 - 25) / 10 AS price", "(id DIV 50 - 50) / 25 AS mileage", "CAST(id % 3 AS double) AS year",
+        "CAST(1 + id % 4 AS double) AS weight",
+    )
+    names = list(segments.FEATURES)
+    table = segments.point_blocks(points.selectExpr("CAST(price AS double) price", "CAST(mileage AS double) mileage", "year", "weight", "0L AS draw"), names)
+    table = table.toArrow()
+    figures = np.array(table.column("figures").to_pylist())
+    rows = points.toPandas().astype(float).to_numpy()
+    centres = np.array([[[0, 0, 0], [1, 0, 0], [0, 1, 1]], [[-1, 0, 1], [1, 0, 1], [99, 99, 99]]], float)
+    found, distances = segments.block_sums(figures, pa.concat_arrays(table.column("points").chunks), centres)
+    assert 0 < distances < rows.shape[0] * 6
+    for start in range(2):
+        squares = ((rows[:, None, :3] - centres[start]) ** 2).sum(axis=2)
+        for centre in range(3):
+            own = squares.argmin(axis=1) == centre
+            weight = rows[own, 3]
+            expected = [weight.sum(), (weight * squares[own, centre]).sum(), *(weight[:, None] * rows[own, :3]).sum(axis=0)]
+            assert found[start, centre].tolist() == pytest.approx(expected, rel=1e-9, abs=1e-9)
+
+
+def test_most_points_need_no_distances(spark, features):
+    fitted = segments.fit_segments(features, starts=1)
+    scaled = [((F.col(n) - m) / d).alias(n) for n, m, d in zip(fitted.columns, fitted.means, fitted.deviations)]
+    table = segments.point_blocks(features.select(*scaled, F.lit(1.0).alias("weight"), F.lit(0).cast("long").alias("draw")).coalesce(1), fitted.columns).toArrow()
+    figures, n = np.array(table.column("figures").to_pylist()), features.count()
+    _, distances = segments.block_sums(figures, pa.concat_arrays(table.column("points").chunks), fitted.centres[None])
+    assert distances < 0.75 * n * 3  # few rows, so wide blocks
+
+
 def test_profile_is_that_of_the_rows(features):
     fitted = segments.fit_segments(features, starts=1)
     by_rows = segments.cluster_profile_means(fitted.transform(features)).orderBy("cluster_id").collect()
