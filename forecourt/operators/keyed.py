@@ -58,3 +58,22 @@ def backfill_anti_join(raw: DataFrame, facts: DataFrame, raw_key: str = "title",
     """
     known = distinct_keys(facts.select(fact_key), fact_key, "_known")
     return raw.join(known, raw[raw_key] == F.col("_known"), "left_anti")
+
+
+def net_changes(changes: DataFrame, key: str, order: str, action: str = "_action") -> DataFrame:
+    """The changes of an increment as one step per key: at most a DELETE of the first image and an INSERT of the last.
+
+    A key that was not there before (its first change is an INSERT) gives no DELETE, one that is gone afterwards
+    no INSERT, so a row that came and went gives nothing; both together are an update. Of changes with one order
+    number DELETE comes first, then the smallest remaining columns. Changes without a key stay as they are.
+
+    One aggregation with a partial one in front: a hot key is one row per map task.
+    """
+    others = [name for name in changes.columns if name not in (order, action)]
+    known = changes.where(F.col(key).isNotNull())
+    image = F.struct(order, action, *others)
+    folded = known.groupBy(F.col(key).alias("_key")).agg(F.min(image).alias("_first"), F.max(image).alias("_last"))
+    gone = F.when(F.col(f"_first.{action}") == "DELETE", F.col("_first"))
+    come = F.when(F.col(f"_last.{action}") == "INSERT", F.col("_last"))
+    rows = folded.select(F.explode(F.filter(F.array(gone, come), lambda row: row.isNotNull())).alias("_row"))
+    return rows.select("_row.*").select(*changes.columns).unionByName(changes.where(F.col(key).isNull()))

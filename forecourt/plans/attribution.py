@@ -5,8 +5,11 @@ The value of a feature set S at a point is the sum over leaves of
     leaf value * product(f in S: point inside the leaf's f-interval)
                * product(f not in S: share of rows that the leaf's f-splits keep)
 
-With four features there are sixteen sets, so the values are exact. A feature is
-two inputs of the model, its value and whether it is known; both belong to it.
+Features that a leaf's path does not test change nothing at that leaf. So each path carries the total weight of
+its feature subsets by size, as the coefficients of product(share_f + inside_f * t) over the path's features; to
+take a feature out again is a division by its factor. That costs the square of the path's features, whatever the
+number of features in the model. A feature is two inputs of the model, its value and whether it is known; both
+belong to it.
 
 A tree compares inputs with thresholds only. The thresholds of a model cut the
 input space into cells, and every listing of a cell has the same values. So the
@@ -16,9 +19,8 @@ some listing falls in, and joined back on the cell's number.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
-from itertools import combinations
 from math import factorial, inf
 
 import numpy as np
@@ -88,55 +90,63 @@ def leaf_boxes(spark: SparkSession, model: GBTRegressionModel) -> LeafBoxes:
     return LeafBoxes(*(np.asarray(part, dtype=float) for part in (value, low, high, share)))
 
 
-def value_columns() -> list[str]:
-    return ["base_value", *[f"shap_{name}" for name in FEATURES]]
+def value_columns(features: Sequence[str] = FEATURES) -> list[str]:
+    return ["base_value", *[f"shap_{name}" for name in features]]
 
 
-def _explainer(boxes: LeafBoxes) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """A mapInPandas function that adds base value and contributions to each row of inputs."""
-    value, low, high = boxes.value, boxes.low, boxes.high
-    names, step = value_columns(), _BATCH_POINTS
-    count = len(FEATURES)
+def _explainer(boxes: LeafBoxes, inputs: Sequence[str], names: Sequence[str]) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """A mapInPandas function that adds base value and contributions to each row of inputs.
+
+    The first half of the inputs are the features' values, the second whether they are known.
+    """
+    value, step, count = boxes.value, _BATCH_POINTS, len(inputs) // 2
     # A feature's two inputs are known or unknown together.
     share = boxes.share[:, :count] * boxes.share[:, count:]
-    halves = (range(count // 2), range(count // 2, count))
-    chance = [factorial(n) * factorial(count - n - 1) / factorial(count) for n in range(count)]
-
-    def subsets(of: range) -> list[frozenset]:
-        return [frozenset(s) for size in range(len(of) + 1) for s in combinations(of, size)]
-
-    sets = [a | b for a in subsets(halves[0]) for b in subsets(halves[1])]
-
-    def products(inside: list[np.ndarray], half: range) -> dict[frozenset, np.ndarray]:
-        """Per subset of half the features, their factors multiplied: points by leaves."""
-        found = {frozenset(): np.ones((1, len(value)))}
-        for f in half:
-            found = {
-                chosen | extra: known * factor
-                for chosen, known in found.items()
-                for extra, factor in ((frozenset(), share[:, f]), (frozenset([f]), inside[f]))
-            }
-        return found
+    tested = np.isfinite(boxes.low) | np.isfinite(boxes.high)
+    tested = tested[:, :count] | tested[:, count:]
+    # The features on each leaf's path, padded by one that keeps all rows and holds all points.
+    longest = max(1, int(tested.sum(axis=1).max(initial=0)))
+    path = np.argsort(~tested, axis=1, kind="stable")[:, :longest]
+    leaf = np.arange(len(value))[:, None]
+    on_path = tested[leaf, path]
+    shares = np.where(on_path, share[leaf, path], 1.0)
+    low, high = (np.stack([part[:, :count][leaf, path], part[:, count:][leaf, path]]) for part in (boxes.low, boxes.high))
+    chance = [factorial(n) * factorial(longest - n - 1) / factorial(longest) for n in range(longest)]
+    base = float((value * share.prod(axis=1)).sum())
+    # Leaves by the feature at each place of their path, to add up by feature.
+    owner = np.zeros((longest, len(value), count))
+    for place in range(longest):
+        owner[place, np.arange(len(value)), path[:, place]] = on_path[:, place]
 
     def contributions(x: np.ndarray) -> np.ndarray:
-        met = [(x[:, i, None] > low[:, i]) & (x[:, i, None] <= high[:, i]) for i in range(2 * count)]
-        inside = [met[f] & met[count + f] for f in range(count)]
-        first, second = (products(inside, half) for half in halves)
-        weighted = {chosen: product * value for chosen, product in first.items()}
-        worth = {
-            a | b: np.broadcast_to(np.einsum("nl,nl->n", *np.broadcast_arrays(left, right)), len(x))
-            for a, left in weighted.items()
-            for b, right in second.items()
-        }
-        gains = [
-            sum(chance[len(s)] * (worth[s | {f}] - worth[s]) for s in sets if f not in s)
-            for f in range(count)
-        ]
-        return np.column_stack([worth[frozenset()], *gains])
+        inside = np.empty((longest, len(x), len(value)), bool)
+        for place in range(longest):
+            known, at = x[:, count:][:, path[:, place]], x[:, :count][:, path[:, place]]
+            inside[place] = (at > low[0, :, place]) & (at <= high[0, :, place])
+            inside[place] &= (known > low[1, :, place]) & (known <= high[1, :, place])
+        sums = [np.ones((len(x), len(value)))]
+        for place in range(longest):  # the path's features one by one: those without it, and those with it
+            with_it = np.zeros_like(sums[0])
+            grown = []
+            for weight in [*sums, None]:
+                without = 0.0 if weight is None else weight * shares[:, place]
+                grown.append(without + with_it)
+                with_it = 0.0 if weight is None else weight * inside[place]
+            sums = grown
+        gains = np.zeros((len(x), count))
+        for place in range(longest):
+            one, zero = inside[place], shares[:, place]
+            # Take the feature out: from the top where the point is inside, else all weights are without it.
+            rest, total = np.zeros_like(sums[0]), np.zeros_like(sums[0])
+            for size in range(longest - 1, -1, -1):
+                rest = np.where(one, sums[size + 1] - zero * rest, sums[size] / zero)
+                total += chance[size] * rest
+            gains += (value * total * (one - zero)) @ owner[place]
+        return np.column_stack([np.full(len(x), base), gains])
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            x = batch[INPUTS].to_numpy(dtype=float)
+            x = batch[list(inputs)].to_numpy(dtype=float)
             parts = [contributions(x[i : i + step]) for i in range(0, len(x), step)]
             if parts:
                 yield batch.assign(**dict(zip(names, np.vstack(parts).T)))
@@ -149,7 +159,7 @@ def _with_values(df: DataFrame, boxes: LeafBoxes) -> DataFrame:
         [f"`{field.name}` {field.dataType.simpleString()}" for field in df.schema]
         + [f"`{name}` double" for name in value_columns()]
     )
-    return df.mapInPandas(_explainer(boxes), schema)
+    return df.mapInPandas(_explainer(boxes, INPUTS, value_columns()), schema)
 
 
 def cell_of(rows: DataFrame, cuts: dict[str, list[float]]) -> DataFrame:

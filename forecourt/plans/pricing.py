@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -110,36 +111,52 @@ def regression_metrics(scored: DataFrame, label: str = "price", prediction: str
     )
 
 
-def category_index(df: DataFrame, column: str) -> DataFrame:
-    """The values of a column and their places by falling frequency, then name.
+def category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """column, value and count of all known values of all columns, in one scan."""
+    values = F.array(*[F.struct(F.lit(name).alias("column"), F.col(name).cast("string").alias("value")) for name in columns])
+    pairs = df.select(F.explode(values).alias("pair")).select("pair.*")
+    return pairs.where(F.col("value").isNotNull()).groupBy("column", "value").count()
 
-    The counts are sorted by ranges over many tasks; a value's place is its place in the task plus
-    the sizes of the tasks before, so neither the driver nor one task holds the list.
+
+def category_places(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """column, value and place: the values of each column by falling frequency, then name, from 0.
+
+    The counts of all columns are sorted by ranges over many tasks, once; a value's place is its place in the
+    task plus the column's values in the tasks before, so neither the driver nor one task holds the list.
     """
-    order = [F.col("count").desc(), F.col(column)]
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).count()
-    ranged = counts.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    order = [F.col("count").desc(), F.col("value")]
+    ranged = category_counts(df, columns).repartitionByRange("column", *order).withColumn("part", F.spark_partition_id())
     ranged = stage(ranged, "categories")
-    local = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
-    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = ranged.groupBy("_part").agg(F.count("*").alias("_size"))
-    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
-    placed = ranged.withColumn("_local", local).join(offsets, "_part")
-    return placed.select(column, (F.col("_before") + F.col("_local") - 1).alias(f"{column}_index"))
+    local = F.row_number().over(Window.partitionBy("part", "column").orderBy(*order))
+    earlier = Window.partitionBy("column").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy("part", "column").agg(F.count("*").alias("size"))
+    offsets = sizes.select("part", "column", F.coalesce(F.sum("size").over(earlier), F.lit(0)).alias("before"))
+    placed = ranged.withColumn("local", local).join(offsets, ["part", "column"])
+    return placed.select("column", "value", (F.col("before") + F.col("local") - 1).alias("place"))
 
 
 def categorical_encode(df: DataFrame, columns: Sequence[str] = ("fuel_type", "brand")) -> DataFrame:
     """Add ``<column>_index`` and ``<column>_vector``, one slot per value; a NULL is all zeros.
 
-    A NULL's index is one past the last value's. Vectors are sparse.
+    A NULL's index is one past the last value's. Vectors are sparse. One dictionary holds the places of all
+    columns; each column is looked up in its part of it.
     """
-    for column in columns:
-        index, vector = f"{column}_index", f"{column}_vector"
-        places = stage(category_index(df, column), "places")
-        size = places.count()
+    places = stage(category_places(df, columns), "places")
+    sizes = {row["column"]: row["size"] for row in places.groupBy("column").agg(F.count("*").alias("size")).collect()}
+    indexes, vectors = [f"{name}_index" for name in columns], [f"{name}_vector" for name in columns]
+    indexed = df
+    for name, index in zip(columns, indexes):
+        own = places.where(F.col("column") == name).select(F.col("value").cast(df.schema[name].dataType).alias(name), F.col("place").alias(index))
+        size = sizes.get(name, 0)
         nominal = {"ml_attr": {"type": "nominal", "name": index, "num_vals": size + 1}}
         place = F.coalesce(F.col(index), F.lit(size)).cast("double")
-        indexed = df.join(places, column, "left").withColumn(index, place).withMetadata(index, nominal)
-        indexed = indexed.select(*df.columns, index)
-        df = OneHotEncoder(inputCol=index, outputCol=vector).fit(indexed).transform(indexed)
-    return df
+        indexed = indexed.join(own, name, "left").withColumn(index, place).withMetadata(index, nominal)
+    indexed = indexed.select(*df.columns, *indexes)
+    # A column without any value has no slots.
+    known = [i for i, name in enumerate(columns) if sizes.get(name)]
+    for i in set(range(len(columns))) - set(known):
+        indexed = indexed.withColumn(vectors[i], array_to_vector(F.array().cast("array<double>")))
+    if not known:
+        return indexed
+    encoder = OneHotEncoder(inputCols=[indexes[i] for i in known], outputCols=[vectors[i] for i in known])
+    return encoder.fit(indexed).transform(indexed)

@@ -207,6 +207,33 @@ def brand_changes(view: DataFrame) -> DataFrame:
     )
 
 
+def brand_change_log(view: DataFrame) -> DataFrame:
+    """A one-brand feed's change log in two increments: rows that come, come and go, or are updated.
+
+    A listing is inserted in increment 1 or 2 by its tax. Those whose action is DELETE are deleted, petrol ones of
+    the others get a new price (a DELETE and an INSERT): at once, or in increment 2 if their tax is 60 or 80.
+    """
+    types = columns_of(CSV_LISTING)
+    renamed = view.withColumnsRenamed({"fuel_type": "fuelType", "engine_size": "engineSize"})
+    first = F.when(F.col("tax") <= 80, 1).otherwise(2)
+    later = F.when(F.col("tax").between(60, 80), 2).otherwise(first)
+
+    def change(seq: int, increment: Column, action: str, price: Column) -> Column:
+        parts = {"_seq": F.lit(seq), "_increment": increment, "_action": F.lit(action), "price": price.cast("int")}
+        return F.struct(*[part.alias(name) for name, part in parts.items()])
+
+    price = F.col("price")
+    come, go = change(1, first, "INSERT", price), change(2, later, "DELETE", price)
+    changes = F.when(F.col("change_action") == "DELETE", F.array(come, go)).when(
+        F.col("fuelType") == "Petrol", F.array(come, go, change(3, later, "INSERT", price + 100))
+    )
+    exploded = renamed.withColumn("_change", F.explode(F.coalesce(changes, F.array(come))))
+    fields = [F.col("_change.price") if n == "price" else F.col(n).cast(t).alias(n) for n, t in types.items()]
+    return exploded.select(
+        F.col("id").alias("_row_id"), *fields, F.col("_change._seq"), F.col("_change._increment"), F.col("_change._action")
+    )
+
+
 def listings_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The listings view over the line-item table, one file or many, as a stream."""
     schema = read_table(spark, sf_dir, "lineitem").schema

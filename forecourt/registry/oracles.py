@@ -56,6 +56,27 @@ _CTES = {
         _API_FACTS + "listings WHERE tax <= 80 AND title NOT IN "
         "(SELECT model FROM older_facts UNION ALL SELECT model FROM early_facts)"
     ),
+    "late_missing": (
+        _API_FACTS + "listings WHERE title NOT IN (SELECT model FROM older_facts UNION ALL SELECT model FROM early_facts "
+        "UNION ALL SELECT model FROM early_missing UNION ALL SELECT model FROM late_facts)"
+    ),
+    "comings": (
+        "SELECT *, CASE WHEN tax <= 80 THEN 1 ELSE 2 END AS first_inc, "
+        "CASE WHEN tax BETWEEN 60 AND 80 OR tax > 80 THEN 2 ELSE 1 END AS later_inc FROM listings"
+    ),
+    "change_log": (
+        "SELECT *, 1 AS seq, first_inc AS inc, 'INSERT' AS act, price AS image FROM comings "
+        "UNION ALL SELECT *, 2, later_inc, 'DELETE', price FROM comings "
+        "WHERE change_action = 'DELETE' OR fuel_type = 'Petrol' "
+        "UNION ALL SELECT *, 3, later_inc, 'INSERT', price + 100 FROM comings "
+        "WHERE change_action = 'INSERT' AND fuel_type = 'Petrol'"
+    ),
+    "net_inserts": (
+        "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id, inc ORDER BY seq DESC, act DESC, model DESC, "
+        "year DESC, image DESC, transmission DESC, mileage DESC NULLS LAST, fuel_type DESC, tax DESC, mpg DESC, "
+        "engine_size DESC) AS back FROM change_log) "
+        "WHERE back = 1 AND act = 'INSERT'"
+    ),
     "adverts": "SELECT * REPLACE (CASE WHEN price_text <> 'None' THEN id END AS id) FROM listings",
     "known_adverts": "SELECT * FROM adverts WHERE id IS NOT NULL",
     "summary": (
@@ -135,6 +156,10 @@ _NEEDS = {
     "early_facts": ["listings"],
     "early_missing": ["older_facts", "early_facts"],
     "late_facts": ["listings"],
+    "late_missing": ["early_missing", "late_facts"],
+    "comings": ["listings"],
+    "change_log": ["comings"],
+    "net_inserts": ["change_log"],
     "adverts": ["listings"],
     "known_adverts": ["adverts"],
     "test_rows": ["listings"],
@@ -173,6 +198,10 @@ _API_COLUMNS = "id, title, price, year, mileage, fuelType, engineSize, transmiss
 ORACLES: dict[str, str] = {
     # sources, sinks, tables
     "csv_bulk_load": _with("csv_rows", "SELECT * FROM csv_rows"),
+    "csv_load_report": _with(
+        "listings",
+        "SELECT brand, count(*) AS loaded, 3 * count(*) FILTER (price_text = 'None') AS rejected FROM listings GROUP BY 1",
+    ),
     "brand_from_filename": _with(
         "csv_rows",
         "SELECT brand, count(*) AS listings, CAST(sum(price) AS BIGINT) AS total_price FROM csv_rows GROUP BY 1",
@@ -370,13 +399,14 @@ ORACLES: dict[str, str] = {
     ),
     # streaming
     "cdc_insert_stream": _with(
-        "listings",
-        "SELECT 'MERCEDES' AS brand, model, year, price, transmission, CAST(mileage AS INT) AS mileage, "
+        "net_inserts",
+        "SELECT 'MERCEDES' AS brand, model, year, image AS price, transmission, CAST(mileage AS INT) AS mileage, "
         f"fuel_type, tax, mpg, engine_size, {_COMPLIANT} AS is_ulez_compliant, "
-        "CAST(2025 - year AS INT) AS vehicle_age, CAST(price AS DOUBLE) / NULLIF(mileage, 0) AS price_per_mile "
-        "FROM listings WHERE change_action = 'INSERT'",
+        "CAST(2025 - year AS INT) AS vehicle_age, CAST(image AS DOUBLE) / NULLIF(mileage, 0) AS price_per_mile "
+        "FROM net_inserts",
     ),
     "api_cdc_stream": _with("inserted_api_facts", "SELECT * FROM inserted_api_facts"),
+    "stream_compaction": _with("inserted_api_facts", "SELECT * FROM inserted_api_facts"),
     "incremental_trigger": _with(
         "inserted_api_facts",
         "SELECT 1 AS run, count(*) AS fact_rows FROM inserted_api_facts "
@@ -390,9 +420,9 @@ ORACLES: dict[str, str] = {
         f"UNION ALL SELECT {_ADVERT} FROM adverts WHERE id IS NULL",
     ),
     "stream_backfill": _with(
-        "early_missing late_facts",
-        "SELECT * FROM older_facts UNION ALL SELECT * FROM early_facts "
-        "UNION ALL SELECT * FROM early_missing UNION ALL SELECT * FROM late_facts",
+        "late_missing",
+        "SELECT * FROM older_facts UNION ALL SELECT * FROM early_facts UNION ALL SELECT * FROM early_missing "
+        "UNION ALL SELECT * FROM late_facts UNION ALL SELECT * FROM late_missing",
     ),
     "batch_stream_parity": _with(
         "inserted_api_facts",
@@ -420,8 +450,9 @@ ORACLES: dict[str, str] = {
     ),
     "daily_refresh": _with(
         "listings inserted_api_facts",
-        f"SELECT count(*) AS listings FROM (SELECT price, mileage, year FROM listings WHERE change_action = 'DELETE' "
-        f"UNION ALL SELECT price, mileage, year FROM inserted_api_facts) WHERE {_COMPLETE}",
+        f"SELECT {_COMPLIANT} AS compliant, 3::BIGINT AS segments, count(*) AS listings FROM ("
+        "SELECT price, mileage, year, fuel_type FROM listings WHERE change_action = 'DELETE' "
+        f"UNION ALL SELECT price, mileage, year, fuel_type FROM inserted_api_facts) WHERE {_COMPLETE} GROUP BY 1",
     ),
     "price_regression": _with(
         "test_rows", "SELECT id, price, vehicle_age, mileage, engine_size, is_ulez_compliant, TRUE AS finite FROM test_rows"

@@ -17,7 +17,7 @@ from forecourt.schemas import API_LISTING, CLUSTER_MART, CSV_LISTING, FACT, colu
 from forecourt.session import scratch_path, stage
 from forecourt.sources import api_responses as api
 from forecourt.sources.csv_listings import read_csv_listings
-from forecourt.streaming import change_feed as feed
+from forecourt.streaming import change_feed as feed, compaction
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -100,7 +100,16 @@ def csv_bulk_load(spark, sf_dir):
     table = f"{new_layers(spark).bronze}.csv_listings"
     for _ in range(2):
         refresh.load_csv(spark, inputs.csv_folder(spark, sf_dir), table)
-    return spark.table(table)
+    return refresh.loaded_csv(spark, table)
+
+
+@query
+def csv_load_report(spark, sf_dir):
+    """Lines loaded and rejected per brand."""
+    table = f"{new_layers(spark).bronze}.csv_listings"
+    refresh.load_csv(spark, inputs.csv_folder(spark, sf_dir), table)
+    report = refresh.load_report(spark, table).groupBy("brand")
+    return report.agg(F.sum("loaded").alias("loaded"), F.sum("rejected").alias("rejected"))
 
 
 @query
@@ -522,8 +531,17 @@ def _read_back(spark: SparkSession, facts_stream: DataFrame) -> DataFrame:
 
 @query
 def cdc_insert_stream(spark, sf_dir):
-    changes = inputs.brand_changes(inputs.listings_stream(spark, sf_dir))
-    return _read_back(spark, feed.cdc_insert_facts(changes, CAR_BRAND))
+    """Facts of the net inserts of a change log that arrives in two increments."""
+    log, checkpoint = scratch_path(spark, "changes"), scratch_path(spark, "checkpoint")
+    table = f"{new_layers(spark).silver}.fct_cars"
+    feed.create_load_table(spark, table, FACT)
+    changes = inputs.brand_change_log(listings(spark, sf_dir))
+    schema = changes.drop("_increment").schema
+    for increment in (1, 2):
+        changes.where(F.col("_increment") == increment).drop("_increment").write.mode("append").parquet(log)
+        arrived = feed.read_parquet_stream(spark, log, schema)
+        feed.run_net_increment(arrived, table, checkpoint, lambda batch: feed.cdc_insert_facts(batch, CAR_BRAND))
+    return spark.table(table).select(*columns_of(FACT))
 
 
 @query
@@ -544,11 +562,27 @@ def incremental_trigger(spark, sf_dir):
     return counts[0].unionByName(counts[1])
 
 
+@query
+def stream_compaction(spark, sf_dir):
+    """The API feed's facts after six increments, compacted after the third and the last."""
+    changes, streamed, checkpoint = (scratch_path(spark, name) for name in ("changes", "fct_cars", "checkpoint"))
+    log = inputs.api_changes(listings(spark, sf_dir)).withColumn("_slice", F.pmod(F.xxhash64("id"), F.lit(6)))
+    log.repartition("_slice").write.partitionBy("_slice").parquet(changes)
+    schema = log.drop("_slice").schema
+    for number in range(6):
+        # One folder after the other, as files arrive.
+        arrived = feed.read_parquet_stream(spark, f"{changes}/_slice={{{','.join(map(str, range(number + 1)))}}}", schema)
+        feed.run_increment(feed.api_cdc_facts(arrived), streamed, checkpoint)
+        if number in (2, 5):
+            compaction.compact(spark, streamed, FACT)
+    return compaction.streamed_rows(spark, streamed, FACT)
+
+
 @query
 def stream_dedup(spark, sf_dir):
     """Adverts of a stream, each once; a second run on the same input adds nothing."""
     table = f"{new_layers(spark).bronze}.adverts"
-    feed.create_advert_table(spark, table, API_LISTING)
+    feed.create_load_table(spark, table, API_LISTING)
     stream = inputs.as_api_listing(_partly_unknown_ids(inputs.listings_stream(spark, sf_dir)))
     checkpoint = scratch_path(spark, "checkpoint")
     for _ in range(2):
@@ -558,25 +592,22 @@ def stream_dedup(spark, sf_dir):
 
 @query
 def stream_backfill(spark, sf_dir):
-    """An older load, the stream, the backfill of what both lack, the stream again; the facts afterwards."""
+    """An older load, then stream and backfill of what it has passed by, twice; the facts afterwards."""
     table, streamed = f"{new_layers(spark).silver}.fct_cars", scratch_path(spark, "fct_cars")
     changes, checkpoint = scratch_path(spark, "changes"), scratch_path(spark, "checkpoint")
     view = listings(spark, sf_dir)
+    schema = inputs.api_changes(view).schema
     early, late = view.where(F.col("tax") <= 80), view.where(F.col("tax") > 80)
     tables.create_if_absent(spark, table, FACT)
     types = {k: v for k, v in columns_of(FACT).items() if k not in ("tax", "mpg")}
     older = early.where((F.col("mpg") >= 25) & (F.col("change_action") == "DELETE"))
     older_facts = fact_plans.api_feed_facts(inputs.as_api_listing(older))
     tables.insert_columns(shape.fit_columns(older_facts, types), table)
-
-    def arrive(rows: DataFrame) -> None:
+    for rows in (early, late):
         inputs.api_changes(rows).write.mode("append").parquet(changes)
-        log = feed.read_parquet_stream(spark, changes, inputs.api_changes(view).schema)
+        log = feed.read_parquet_stream(spark, changes, schema)
         feed.run_increment(feed.api_cdc_facts(log), streamed, checkpoint)
-
-    arrive(early)
-    refresh.stream_backfill(inputs.as_api_listing(early), table, streamed)
-    arrive(late)
+        refresh.fenced_backfill(spark, schema, table, streamed, checkpoint)
     return feed.all_facts(spark, table, streamed)
 
 
@@ -599,7 +630,7 @@ def batch_stream_parity(spark, sf_dir):
 
 @query
 def daily_refresh(spark, sf_dir):
-    """Listings in all segments together, of loaded and of streamed facts, and how many segments there are."""
+    """Per class of the segments' names: how many names there are and their listings, loaded and streamed."""
     layers, streamed = new_layers(spark), scratch_path(spark, "fct_cars")
     view = listings(spark, sf_dir)
     old = view.where(F.col("change_action") == "DELETE").select(*fact_plans.STAGING_COLUMNS)
@@ -608,7 +639,8 @@ def daily_refresh(spark, sf_dir):
     refresh.build_layers(spark, old, layers, "refreshed_top_devaluation", streamed)
     every = feed.all_facts(spark, f"{layers.silver}.fct_cars", streamed)
     sizes = refresh.daily_refresh(spark, every, layers)
-    return sizes.agg(F.sum("listings").alias("listings"))
+    compliant = F.col("cluster_name").endswith("(ULEZ Compliant)").alias("compliant")
+    return sizes.groupBy(compliant).agg(F.count("*").alias("segments"), F.sum("listings").alias("listings"))
 
 
 # --- machine learning -------------------------------------------------------

@@ -37,10 +37,16 @@ def _typed(text: Column, type_name: str) -> Column:
 _FILES = "*.csv{,.gz}"
 
 
+def load_id() -> Column:
+    """A name for the content of the file that a row comes from: a digest of its path, time and length."""
+    about = [F.col(f"_metadata.{name}") for name in ("file_path", "file_modification_time", "file_size")]
+    return F.md5(F.concat_ws("|", about[0], F.unix_micros(about[1]), about[2]))
+
+
 def csv_files(spark: SparkSession, path: str) -> DataFrame:
-    """path, modified and length of the CSV files below ``path``; their content is not read."""
+    """path, modified, length and load id of the CSV files below ``path``; their content is not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", _FILES)
-    return files.load(path).select("path", F.col("modificationTime").alias("modified"), "length")
+    return files.load(path).select("path", F.col("modificationTime").alias("modified"), "length", load_id().alias("load"))
 
 
 def literal_path(path: str) -> str:
@@ -48,12 +54,12 @@ def literal_path(path: str) -> str:
     return re.sub(r"([\\*?{}\[\]])", r"\\\1", path)
 
 
-def read_csv_listings(
+def read_csv_lines(
     spark: SparkSession, path: str | list[str], stream: bool = False, max_files_per_batch: int | None = None
 ) -> DataFrame:
-    """Good rows of every CSV file below ``path``, typed, with the brand of their file.
+    """Every line of every CSV file below ``path``: typed fields, brand and load id, ``rejected``, and ``line`` if it is.
 
-    A row is bad if it has too few or too many fields or a field that does not
+    A row is rejected if it has too few or too many fields or a field that does not
     parse; an empty field is a NULL. Fields are read as text and cast one by
     one, with column pruning off for this read, so that which rows count as bad
     does not depend on the columns a query asks for.
@@ -72,15 +78,23 @@ def read_csv_listings(
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
     raw = reader.csv(path)
-    unparsed = [
-        F.col(name).isNotNull() & _typed(F.col(name), type_name).isNull()
-        for name, type_name in types.items()
-        if type_name != "string"
-    ]
     bad = F.col(_CORRUPT).isNotNull()
-    for flag in unparsed:
-        bad = bad | flag
-    return raw.where(~bad).select(
+    for name, type_name in types.items():
+        if type_name != "string":
+            bad = bad | (F.col(name).isNotNull() & _typed(F.col(name), type_name).isNull())
+    line = F.coalesce(F.col(_CORRUPT), F.concat_ws(",", *[F.coalesce(F.col(name), F.lit("")) for name in types]))
+    return raw.select(
         brand_from_filename(F.col("_metadata.file_path")).alias("brand"),
         *[_typed(F.col(name), type_name).alias(name) for name, type_name in types.items()],
+        load_id().alias("load"),
+        bad.alias("rejected"),
+        F.when(bad, line).alias("line"),
     )
+
+
+def read_csv_listings(
+    spark: SparkSession, path: str | list[str], stream: bool = False, max_files_per_batch: int | None = None
+) -> DataFrame:
+    """The lines of ``read_csv_lines`` that are not rejected, as listings with the brand of their file."""
+    lines = read_csv_lines(spark, path, stream, max_files_per_batch)
+    return lines.where(~F.col("rejected")).select("brand", *columns_of(CSV_LISTING))

@@ -15,12 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from forecourt.operators.keyed import newest_per_key
+from forecourt.operators.keyed import net_changes
 from forecourt.operators.shape import filter_inserts, fit_columns
 from forecourt.operators.tables import create_if_absent
 from forecourt.plans.facts import api_feed_facts, brand_feed_facts
 from forecourt.schemas import FACT, columns_of
 from forecourt.session import stage
+from forecourt.streaming.compaction import streamed_rows
 
 LOAD = "load"  # partition column of tables that micro-batches fill
 
@@ -108,69 +109,104 @@ def all_facts(spark: SparkSession, table: str, stream_path: str | None = None) -
 
     The stream's folder has a commit log of its own, which makes its appends
     exactly-once and hides files others put there. So batch loads go to the
-    table, the stream to its folder, and readers take both.
+    table, the stream to its folder, and readers take both; compacted files stand in for the stream's own.
     """
     loaded = spark.table(table).select(*columns_of(FACT))
-    return loaded.unionByName(spark.read.schema(FACT).parquet(stream_path)) if stream_path else loaded
+    return loaded.unionByName(streamed_rows(spark, stream_path, FACT)) if stream_path else loaded
 
 
-def create_advert_table(spark: SparkSession, table: str, ddl: str, key: str = "id", buckets: int = 64) -> None:
-    """A table of adverts with one partition per micro-batch, and ``<table>_keys`` with the keys alone.
-
-    The keys are bucketed, so a micro-batch is dealt by key to meet them and they stay where they are.
-    """
+def create_load_table(spark: SparkSession, table: str, ddl: str) -> None:
+    """A table with one partition per micro-batch."""
     create_if_absent(spark, table, f"{ddl}, {LOAD} string", partition_by=[LOAD])
-    kind = columns_of(ddl)[key]
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {table}_keys (`{key}` {kind}, {LOAD} string) USING parquet "
-        f"PARTITIONED BY ({LOAD}) CLUSTERED BY (`{key}`) SORTED BY (`{key}`) INTO {buckets} BUCKETS"
-    )
-
 
-def unseen_adverts(
-    batch: DataFrame, table: str, load: str, key: str = "id", newest: str = "search_timestamp"
-) -> DataFrame:
-    """The batch's newest row per advert that no other load has brought; rows without a key all pass."""
-    spark = batch.sparkSession
-    layout = dict(map(tuple, spark.sql(f"DESCRIBE FORMATTED {table}_keys").select("col_name", "data_type").collect()))
-    seen = spark.table(f"{table}_keys").where(F.col(LOAD) != load).select(F.col(key).alias("_seen"))
-    # As many partitions as buckets, or Spark would deal the keys instead of the batch. A key is seen at
-    # most once, and the optimizer would move an anti-join below the dealing.
-    dealt = newest_per_key(batch, key, newest).repartition(int(layout["Num Buckets"]), key)
-    unseen = dealt.join(seen, F.col(key) == F.col("_seen"), "left").where(F.col("_seen").isNull()).drop("_seen")
-    return unseen.unionByName(batch.where(F.col(key).isNull()))
-
-
-def append_new_adverts(table: str, feed: str, key: str = "id") -> Callable[[DataFrame, int], None]:
-    """A foreachBatch sink that adds each advert once to a table of ``create_advert_table``.
-
-    A micro-batch replaces its own partition of both tables, so one that is replayed after a failure
-    leaves them as they were, with or without keys. ``feed`` names the feed's checkpoint, whose batch
-    numbers the partitions carry.
-    """
 
-    def add(batch: DataFrame, batch_id: int) -> None:
-        load = f"{feed}-{batch_id}"
-        new = stage(unseen_adverts(batch, table, load, key), "batch")
-        replace_load(new, table, load)
-        replace_load(new.where(F.col(key).isNotNull()).select(key), f"{table}_keys", load)
-
-    return add
+_FILE_ROWS = 1_000_000
 
 
 def replace_load(rows: DataFrame, table: str, load: str) -> None:
-    """Make ``rows`` the whole content of the table's partition ``load``."""
-    spark = rows.sparkSession
+    """Make ``rows`` the whole content of the table's partition ``load``, in files of about a million rows.
+
+    Micro-batches run without adaptive execution, so the rows are counted to know the number of files.
+    """
+    spark, rows = rows.sparkSession, stage(rows, "load")
+    rows = rows.coalesce(max(1, -(-rows.count() // _FILE_ROWS)))
     names = ", ".join(f"`{name}`" for name in spark.table(table).columns if name != LOAD)
     spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({LOAD} = '{load}') SELECT {names} FROM {{rows}}", rows=rows)
 
 
-def run_dedup_increment(stream: DataFrame, table: str, checkpoint: str, key: str = "id") -> None:
+def run_load_increment(
+    stream: DataFrame,
+    table: str,
+    checkpoint: str,
+    transform: Callable[[DataFrame], DataFrame] | None = None,
+    mode: str = "append",
+) -> None:
+    """Process what is new: every micro-batch, transformed, becomes its own partition of ``table``.
+
+    The partition is named by checkpoint and number, so a micro-batch that is replayed after a failure
+    replaces what it had written.
+    """
     feed = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
+
+    def write(batch: DataFrame, number: int) -> None:
+        replace_load(transform(batch) if transform else batch, table, f"{feed}-{number}")
+
     query = (
-        stream.writeStream.foreachBatch(append_new_adverts(table, feed, key))
+        stream.writeStream.foreachBatch(write)
+        .outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+
+
+def run_net_increment(
+    changes: DataFrame,
+    table: str,
+    checkpoint: str,
+    facts: Callable[[DataFrame], DataFrame],
+    key: str = "_row_id",
+    order: str = "_seq",
+) -> None:
+    """Fold what is new in a change log to its net changes, then add the facts of the inserts.
+
+    A row that came and went within an increment leaves nothing, one that was changed several times leaves its
+    last image. ``facts`` are those of a change log (``cdc_insert_facts``, ``api_cdc_facts``).
+    """
+    run_load_increment(changes, table, checkpoint, lambda batch: facts(net_changes(batch, key, order)))
+
+
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def new_adverts(stream: DataFrame, key: str = "id", newest: str = "search_timestamp") -> DataFrame:
+    """Adverts of a stream, each in the first micro-batch that brings it, its newest row there (update mode).
+
+    The state holds a row per advert: the least by micro-batch, then newest first, ties to the smallest remaining
+    columns. A micro-batch changes that row only if it brings the advert first. Rows without a key all pass and
+    take no state.
+    """
+    names = stream.columns
+    ties = [name for name in names if name not in (key, newest)]
+    parts = [F.col(newest).isNull().alias("late"), (-F.unix_micros(newest)).alias("age")]
+    for i, name in enumerate(ties):
+        parts += [F.col(name).isNull().alias(f"none_{i}"), F.col(name).alias(f"value_{i}")]
+    first = F.min(F.struct(F.col("_seen").alias("seen"), *parts, F.struct(*names).alias("row"))).alias("first")
+    # The micro-batch's own time, also when it is replayed.
+    timed = stream.where(F.col(key).isNotNull()).withColumn("_seen", F.current_timestamp())
+    known = timed.groupBy(F.col(key).alias("_key")).agg(first)
+    known = known.where(F.col("first.seen") == F.current_timestamp()).select("first.row.*")
+    return known.unionByName(stream.where(F.col(key).isNull()))
+
+
+def run_dedup_increment(stream: DataFrame, table: str, checkpoint: str, key: str = "id") -> None:
+    """Add each advert of the stream once to a table of ``create_load_table``; the seen ones are in the state store."""
+    conf = stream.sparkSession.conf
+    before = conf.get(_STORE)
+    conf.set(_STORE, _ROCKS)  # on disk, so the state may exceed the executors' memory
+    try:
+        run_load_increment(new_adverts(stream, key), table, checkpoint, mode="update")
+    finally:
+        conf.set(_STORE, before)

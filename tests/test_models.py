@@ -1,8 +1,10 @@
 """Segments, price model and attributions."""
 
 import math
+from itertools import combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from conftest import SF_DIR
@@ -260,6 +262,52 @@ def test_cells_and_rows_give_the_same_contributions(spark, split, model):
             assert by_cell[name].astype(float).tolist() == pytest.approx(by_row[name].astype(float).tolist(), abs=1e-6)
 
 
+def subset_values(boxes, x):
+    """Base value and contributions of one point, from the worth of every subset of features."""
+    count = len(x) // 2
+    share = boxes.share[:, :count] * boxes.share[:, count:]
+    met = [(x[i] > boxes.low[:, i]) & (x[i] <= boxes.high[:, i]) for i in range(2 * count)]
+    inside = [met[f] & met[count + f] for f in range(count)]
+
+    def worth(chosen):
+        factors = [inside[f] if f in chosen else share[:, f] for f in range(count)]
+        return float((boxes.value * np.prod(factors, axis=0)).sum())
+
+    gains = []
+    for f in range(count):
+        others = [g for g in range(count) if g != f]
+        sets = [set(s) for size in range(count) for s in combinations(others, size)]
+        weight = {n: math.factorial(n) * math.factorial(count - n - 1) / math.factorial(count) for n in range(count)}
+        gains.append(sum(weight[len(s)] * (worth(s | {f}) - worth(s)) for s in sets))
+    return [worth(set()), *gains]
+
+
+@pytest.mark.parametrize("count", [1, 4, 8])
+def test_path_weights_equal_the_sum_over_all_subsets(count):
+    """Random trees of depth 5 over one, four and eight features, some points on a threshold."""
+    chance = np.random.default_rng(count)
+    leaves = []
+
+    def grow(box, depth, weight):
+        if not depth or chance.random() < 0.1:
+            leaves.append((chance.normal(), *zip(*box)))
+            return
+        f, cut, kept = int(chance.integers(2 * count)), float(chance.integers(1, 9)) / 10, chance.uniform(0.05, 0.95)
+        low, high, share = box[f]
+        grow([*box[:f], (low, min(high, cut), share * kept), *box[f + 1 :]], depth - 1, weight)
+        grow([*box[:f], (max(low, cut), high, share * (1 - kept)), *box[f + 1 :]], depth - 1, weight)
+
+    for _ in range(6):
+        grow([(-math.inf, math.inf, 1.0)] * (2 * count), 5, 1.0)
+    boxes = attribution.LeafBoxes(*(np.array(part, float) for part in zip(*leaves)))
+    inputs = [f"x{i}" for i in range(2 * count)]
+    names = attribution.value_columns([f"f{i}" for i in range(count)])
+    points = pd.DataFrame(chance.integers(0, 11, (40, 2 * count)) / 10, columns=inputs)
+    (found,) = attribution._explainer(boxes, inputs, names)(iter([points]))
+    for at in range(len(points)):
+        assert found.loc[at, names].tolist() == pytest.approx(subset_values(boxes, points.loc[at].to_numpy()), abs=1e-9)
+
+
 def test_base_value_is_the_mean_prediction_of_the_training_rows(split, model):
     """For trees whose covers are the training rows, the empty set is worth their mean prediction."""
     train = split[0]
@@ -288,3 +336,21 @@ def test_twenty_thousand_categories(spark):
     assert [r.brand for r in rows] == names
     assert [r.brand_index for r in rows] == list(range(20_000))
     assert all(r.brand_vector.size == 20_000 and r.brand_vector.indices.tolist() == [r.brand_index] for r in rows[::501])
+
+
+def test_one_scan_counts_all_columns(spark):
+    """Whatever the number of columns, their values are counted and placed by one plan."""
+    frame = spark.range(60).selectExpr(*[f"CAST(id % {n} AS string) AS c{n}" for n in (2, 3, 5, 7)])
+    places = pricing.category_places(frame, frame.columns)
+    found = sorted(map(tuple, places.collect()))
+    assert found == sorted((f"c{n}", str(i), i) for n in (2, 3, 5) for i in range(n)) + sorted(
+        ("c7", str(i), i) for i in range(7)
+    )
+    plan = pricing.category_counts(frame, frame.columns)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Range (") == 1
+
+
+def test_a_column_may_be_unknown_throughout(spark):
+    frame = spark.createDataFrame([("A", None), ("B", None), ("B", None)], "brand string, fuel_type string")
+    rows = pricing.categorical_encode(frame, ["brand", "fuel_type"]).collect()
+    assert sorted((r.brand, r.brand_index, r.fuel_type_index) for r in rows) == [("A", 1.0, 0.0), ("B", 0.0, 0.0), ("B", 0.0, 0.0)]

@@ -1,6 +1,7 @@
 """Tables, keyed operators and reshaping."""
 
 import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -74,6 +75,48 @@ def test_materialized_table_is_partitioned_and_rebuilt(spark, layers):
     assert "PartitionFilters: [isnotnull(brand" in plan
 
 
+def folder_of(spark, table):
+    (row,) = spark.sql(f"DESCRIBE EXTENDED {table}").where("col_name = 'Location'").collect()
+    return Path(row.data_type.removeprefix("file:"))
+
+
+@pytest.mark.parametrize("partitions", [[], ["brand"]])
+def test_a_job_that_fails_half_way_leaves_the_old_rows(spark, layers, partitions):
+    table = f"{layers.gold}.steady{len(partitions)}"
+    old = spark.createDataFrame([("BMW", 1), ("AUDI", 2)], "brand string, price int")
+    tables.table_materialize(old, table, partition_by=partitions)
+    late = F.when(F.col("id") == 90_000, F.raise_error(F.lit("lost")).cast("string")).otherwise("BMW")
+    broken = spark.range(0, 100_000, 1, 10).select(late.alias("brand"), F.col("id").cast("int").alias("price"))
+    for write in (lambda: tables.table_materialize(broken, table, partitions), lambda: tables.replace_rows(broken, table)):
+        with pytest.raises(Exception, match="lost"):
+            write()
+        assert sorted(map(tuple, spark.table(table).select("brand", "price").collect())) == [("AUDI", 2), ("BMW", 1)]
+
+
+@pytest.mark.parametrize("partitions", [[], ["brand"]])
+def test_a_reader_of_the_old_version_can_finish_and_older_ones_go(spark, layers, partitions):
+    table = f"{layers.gold}.versions{len(partitions)}"
+    folders, readers = [], []
+    for price in range(4):
+        rows = spark.createDataFrame([("BMW", price), ("AUDI", price)], "brand string, price int")
+        tables.table_materialize(rows, table, partition_by=partitions)
+        folders.append(folder_of(spark, table))
+        readers.append(spark.read.parquet(str(folders[-1])))
+    assert [folder.exists() for folder in folders] == [False, False, True, True]
+    assert {r.price for r in readers[2].collect()} == {2} and {r.price for r in spark.table(table).collect()} == {3}
+    tables.insert_columns(spark.createDataFrame([("VW", 9)], "brand string, price int"), table)
+    assert sorted(r.brand for r in spark.table(table).collect()) == ["AUDI", "BMW", "VW"]
+
+
+def test_a_rebuilt_table_may_have_other_columns_and_read_itself(spark, layers):
+    table = f"{layers.gold}.changing"
+    tables.table_materialize(spark.createDataFrame([(1,)], "price int"), table)
+    tables.table_materialize(spark.createDataFrame([("a", 2.5)], "brand string, price double"), table)
+    assert list(map(tuple, spark.table(table).collect())) == [("a", 2.5)]
+    tables.table_materialize(spark.table(table).withColumn("price", F.col("price") + 1), table)
+    assert list(map(tuple, spark.table(table).collect())) == [("a", 3.5)]
+
+
 def test_view_is_computed_on_read(spark, layers):
     table = f"{layers.silver}.grows"
     tables.create_if_absent(spark, table, "id string")

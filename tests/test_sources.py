@@ -4,6 +4,7 @@ import gzip
 import json
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from forecourt.operators import tables
@@ -138,7 +139,7 @@ def test_loads_append_to_bronze_tables(spark, new_dir):
 
     def load():
         refresh.load_csv(spark, new_dir, f"{bronze}.csv_listings")
-        return dict(map(tuple, spark.table(f"{bronze}.csv_listings").groupBy("brand").count().collect()))
+        return dict(map(tuple, refresh.loaded_csv(spark, f"{bronze}.csv_listings").groupBy("brand").count().collect()))
 
     first = {"AUDI": 2, "BMW": 2, "LAND ROVER": 1}
     assert load() == first and load() == first
@@ -152,3 +153,29 @@ def test_loads_append_to_bronze_tables(spark, new_dir):
     refresh.ingest_responses(spark.createDataFrame(requests, API_REQUEST), f"{bronze}.api_listings")
     (row,) = spark.table(f"{bronze}.api_listings").collect()
     assert (row.brand, row.price, row.fuelType) == ("Audi", "7450", "Petrol") and row.search_timestamp
+
+
+def test_a_load_that_fails_between_its_two_writes_is_repeated_exactly(spark, new_dir, monkeypatch):
+    root = scratch_path(spark, "layers")
+    table = f"{tables.create_layers(spark, root, prefix=f'f_{root.split('/')[-2][:8]}_').bronze}.csv_listings"
+    folder = Path(new_dir, "in")
+    folder.mkdir()
+    write_csv(folder)
+
+    def fail(rows, name):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(refresh, "insert_columns", fail)
+        with pytest.raises(RuntimeError):
+            refresh.load_csv(spark, str(folder), table)
+    assert spark.table(f"{table}_loads").count() == 0
+    Path(folder, "vw.csv").write_text(HEADER + GOOD)  # arrives before the second try
+    for _ in range(2):
+        refresh.load_csv(spark, str(folder), table)
+    assert refresh.loaded_csv(spark, table).count() == 6 and spark.table(f"{table}_loads").count() == 5
+    report = refresh.load_report(spark, table).groupBy("brand").agg(F.sum("loaded"), F.sum("rejected")).collect()
+    assert sorted(map(tuple, report)) == [("AUDI", 2, 3), ("BMW", 2, 0), ("LAND ROVER", 1, 0), ("VW", 1, 0)]
+    lines = sorted(row.line for row in spark.table(table).where("rejected").collect())
+    assert lines == ["A1,word,12500,Manual,15735,Petrol,150,55.4,1.4", "A2,2017,12500",
+                     "A3,2017,12500,Manual,15735,Petrol,150,55.4,1.4,extra"]
