@@ -14,14 +14,21 @@ plain content, and without documents it is empty.
 Encoding: the distinct words of a batch go through the tokenizers library once each, and the ids of
 the texts are put together from them. The file's pattern never joins across ASCII white space, and
 a run of punctuation after a letter is a piece of its own. Words of letters alone, once normalised,
-are one piece, and go to the library's model directly; all others to its whole pipeline.
+are one piece, whose last id the vocabulary marks as a word's end; so they go to the library many at a
+time, and the marks part the ids again. All others go one by one. A vocabulary without such marks or with
+other rules is refused.
+
+Documents are encoded where they are read. Their frames are written once and then dealt by ranges of
+doc_id, so what is shuffled is compressed ids, and no text is read or encoded twice for it.
 
 Null text is empty and has only the end id. Rows without doc_id come first. Rows that share a doc_id
-are neighbours, each with its own frame. An empty table gives an empty index.
+are neighbours in the order of a hash of their texts, each with its own frame; ranges split them. An empty
+table gives an empty index.
 """
 
 from __future__ import annotations
 
+import json
 import unicodedata
 import zlib
 from collections.abc import Iterable, Iterator
@@ -36,6 +43,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import WhitespaceSplit
 
 from forecourt.llm import shared_files
 from forecourt.llm.bpe import byte_symbols, ragged, read_vocabulary
@@ -50,6 +58,9 @@ DICTIONARY_BYTES = 64 * 1024
 LEVEL = 3
 _TRIMMED = ".,;:!?#*$%&\"()"
 _BATCH_BYTES = 12 * 1024 * 1024
+_WORDS_A_TEXT = 1000
+#: Pieces whose ids a worker remembers between batches; then it begins anew.
+_KNOWN_PIECES = 1_000_000
 
 
 class WordEncoder:
@@ -61,6 +72,29 @@ class WordEncoder:
         self._library.no_padding()
         self._symbols = {byte: character for character, byte in byte_symbols().items()}
         self.n_ids = self._library.get_vocab_size(with_added_tokens=True)
+        # The library's model alone, for words that are normalised and one piece each.
+        self._words = Tokenizer(self._library.model)
+        self._words.pre_tokenizer = WhitespaceSplit()
+        mark = json.loads(content)["model"].get("end_of_word_suffix")
+        self._ends_word = np.zeros(self.n_ids, bool)
+        if mark:
+            marked = [i for token, i in self._library.get_vocab(with_added_tokens=False).items() if token.endswith(mark)]
+            self._ends_word[marked] = True
+        shapes, plain = ["Ab", " a\t\n b ", "a.!", "é"], ["ab", "a b", "a .!", "é"]
+        given = [self._one_piece(word) for word in ("ab", "é")]
+        whole = self._coded(self._library, shapes)
+        if not mark or whole != self._coded(self._library, plain) or [whole[0], whole[3]] != self._coded(self._words, given):
+            raise ValueError("only vocabularies of lower-case words with marked ends are supported")
+        self._forget()
+
+    def _forget(self) -> None:
+        """Known pieces with their ids in a row; what is known saves work and changes no result."""
+        self._known = pa.array([], pa.string())
+        self._flat, self._lengths = np.empty(0, np.uint32), np.empty(0, np.int64)
+
+    @staticmethod
+    def _coded(library: Tokenizer, words: list[str]) -> list[list[int]]:
+        return [coded.ids for coded in library.encode_batch_fast(words, add_special_tokens=False)]
 
     def _one_piece(self, word: str) -> str | None:
         """What the model gets for a word that stays in one piece; None if that is not certain."""
@@ -69,22 +103,42 @@ class WordEncoder:
         word = word.lower()
         return "".join(map(self._symbols.__getitem__, word.encode())) if word.isalpha() else None
 
-    def _ids(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all pieces in a row and their number per piece."""
+    def _ids_of_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of one piece each, many words to a text, and their number per word."""
+        flat, lengths = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
+        groups = [words[at : at + _WORDS_A_TEXT] for at in range(0, len(words), _WORDS_A_TEXT)]
+        for some, coded in zip(groups, self._coded(self._words, list(map(" ".join, groups)))):
+            ids = np.array(coded, np.uint32)
+            ends = np.flatnonzero(self._ends_word[ids])
+            if len(ends) != len(some):
+                raise ValueError("a word has no mark at its end, or several")
+            flat.append(ids)
+            lengths.append(np.diff(ends, prepend=-1))
+        return np.concatenate(flat), np.concatenate(lengths)
+
+    def _learn(self, pieces: pa.Array) -> None:
+        """Add the ids of pieces that are not known yet."""
         simple = pc.ascii_is_alpha(pieces).to_numpy(zero_copy_only=False)  # lower case by now
-        words = pieces.to_pylist()
-        given = [word if plain else self._one_piece(word) for word, plain in zip(words, simple.tolist())]
-        whole = iter(self._library.encode_batch([w for w, g in zip(words, given) if g is None], add_special_tokens=False))
-        tokenize = self._library.model.tokenize
-        flat: list[int] = []
-        ends: list[int] = []
-        for piece in given:
-            if piece is None:
-                flat += next(whole).ids
-            else:
-                flat += [token.id for token in tokenize(piece)]
-            ends.append(len(flat))
-        return np.array(flat, np.uint32), np.diff(np.array(ends, np.int64), prepend=0)
+        words, other = pieces.filter(pa.array(simple)).to_pylist(), pieces.filter(pa.array(~simple)).to_pylist()
+        given = [self._one_piece(word) for word in other]
+        of_letters = np.array([word is not None for word in given], bool)
+        flat, lengths = self._ids_of_words([*words, *[word for word in given if word is not None]])
+        whole = self._coded(self._library, [word for word, g in zip(other, given) if g is None])
+        sizes = np.fromiter(map(len, whole), np.int64, len(whole))
+        every = [i for ids in whole for i in ids]
+        self._flat = np.concatenate((self._flat, flat, np.array(every, np.uint32)))
+        self._lengths = np.concatenate((self._lengths, lengths, sizes))
+        later = pieces.filter(pa.array(~simple))
+        parts = [pieces.filter(pa.array(simple)), later.filter(pa.array(of_letters)), later.filter(pa.array(~of_letters))]
+        self._known = pa.concat_arrays([self._known, *parts])
+
+    def _ids(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All known ids in a row, and where those of each piece begin and how many they are."""
+        if len(self._known) + len(pieces) > _KNOWN_PIECES:
+            self._forget()
+        self._learn(pieces.filter(pc.invert(pc.is_in(pieces, self._known))))
+        place = pc.index_in(pieces, self._known).to_numpy()
+        return self._flat, (np.cumsum(self._lengths) - self._lengths)[place], self._lengths[place]
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, the end id after each, and their number per text."""
@@ -95,14 +149,21 @@ class WordEncoder:
         core = pc.ascii_rtrim(words, characters=_TRIMMED)
         # U+0130 is the one letter that lower case turns into a letter and a mark, which joins what follows.
         core = pc.if_else(pc.match_substring_regex(core, r"[^\x{130}\P{L}]$"), core, words)
-        tail = pa.array([word[len(first) :] for word, first in zip(words.to_pylist(), core.to_pylist())], pa.string())
         core = pc.if_else(pc.ascii_is_alpha(core), pc.ascii_lower(core), core)
-        pieces = pa.concat_arrays([core, tail]).dictionary_encode()
-        flat, lengths = self._ids(pieces.dictionary)
+        # Few words have a tail.
+        core_bytes = pc.binary_length(core).to_numpy()
+        cut_off = np.flatnonzero(pc.binary_length(words).to_numpy() > core_bytes)
+        ends = words.take(pa.array(cut_off)).cast(pa.binary()).to_pylist()
+        ends = pa.array([word[n:] for word, n in zip(ends, core_bytes[cut_off].tolist())], pa.binary()).cast(pa.string())
+        pieces = pa.concat_arrays([core, ends]).dictionary_encode()
+        known, first, length = self._ids(pieces.dictionary)
         # Core and tail of each distinct word, then the words of the texts.
-        both = pieces.indices.to_numpy().reshape(2, len(words)).T.reshape(-1)
-        flat = flat[ragged((np.cumsum(lengths) - lengths)[both], lengths[both])]
-        lengths = lengths[both].reshape(-1, 2).sum(axis=1)
+        place = pieces.indices.to_numpy()
+        starts, sizes = np.zeros((len(words), 2), np.int64), np.zeros((len(words), 2), np.int64)
+        starts[:, 0], sizes[:, 0] = first[place[: len(words)]], length[place[: len(words)]]
+        starts[cut_off, 1], sizes[cut_off, 1] = first[place[len(words) :]], length[place[len(words) :]]
+        flat = known[ragged(starts.ravel(), sizes.ravel())]
+        lengths = sizes.sum(axis=1)
         word = coded.indices.to_numpy()
         sizes = lengths[word]
         totals = np.concatenate(([0], np.cumsum(sizes)))
@@ -192,8 +253,8 @@ _INDEX_DDL = (
 def write_token_files(docs: DataFrame, vocabulary_path: str, folder: str, end_id: int = END_ID) -> DataFrame:
     """Write ``docs`` (doc_id, text) below ``folder`` and return the offset index.
 
-    Documents are dealt by ranges of doc_id, so a shard is one task's range and no key can be hot
-    but by repeating a doc_id. ``start`` counts the ids of all documents before; it is the position
+    Frames are dealt by ranges of doc_id and a hash of the text, so a shard is one task's range and a doc_id
+    that many rows share is split. ``start`` counts the ids of all documents before; it is the position
     in the shard plus the sum of the shards before, of which there are as many as tasks.
     """
     content = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary_path))
@@ -201,33 +262,38 @@ def write_token_files(docs: DataFrame, vocabulary_path: str, folder: str, end_id
     name_of_dictionary = hash_of(dictionary)
     shared_files.write_file(folder, f"{name_of_dictionary}.dictionary", dictionary)
 
-    def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def compress(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(content.value)
         width = _width(encoder, end_id)
         compressor = zstandard.ZstdCompressor(level=LEVEL, dict_data=_dictionary(dictionary))
+        for batch in slices(batches, 1 << 20, _BATCH_BYTES):
+            ids, counts = encoder.encode(batch.column("text"), end_id)
+            data, size = memoryview(ids.astype(width).tobytes()), np.dtype(width).itemsize
+            ends = np.cumsum(counts)
+            bounds = zip(((ends - counts) * size).tolist(), (ends * size).tolist())
+            frames = pa.array([compressor.compress(data[start:end]) for start, end in bounds], pa.binary())
+            columns = [batch.column("doc_id").cast(pa.int64()), batch.column("tie"), pa.array(counts, pa.int64()), frames]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "tie", "n_tokens", "frame"])
+
+    def write(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, file, before = "", None, 0
         task = TaskContext.get().partitionId()
-        for batch in slices(batches, 1 << 20, _BATCH_BYTES):
+        for batch in slices(batches):
             if file is None:
                 shard = shared_files.new_name(task, ".tokens")
                 file = shared_files.Appender(folder, shard)
                 file.write(MAGIC + bytes.fromhex(name_of_dictionary))
-            ids, counts = encoder.encode(batch.column("text"), end_id)
-            data, size = memoryview(ids.astype(width).tobytes()), np.dtype(width).itemsize
-            ends = np.cumsum(counts)
-            places = [
-                file.write(compressor.compress(data[start * size : end * size]))
-                for start, end in zip((ends - counts).tolist(), ends.tolist())
-            ]
-            n = batch.num_rows
+            places = [file.write(frame) for frame in batch.column("frame").to_pylist()]
+            counts = batch.column("n_tokens").to_numpy()
+            ends, n = np.cumsum(counts), batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id").cast(pa.int64()),
+                    batch.column("doc_id"),
                     pa.array([task] * n, pa.int64()),
                     pa.array([shard] * n),
                     *[pa.array(column, pa.int64()) for column in zip(*places)],
                     pa.array(before + ends - counts, pa.int64()),
-                    pa.array(counts, pa.int64()),
+                    batch.column("n_tokens"),
                     pa.array([name_of_dictionary] * n),
                 ],
                 schema=_INDEX,
@@ -236,7 +302,9 @@ def write_token_files(docs: DataFrame, vocabulary_path: str, folder: str, end_id
         if file is not None:
             file.close()
 
-    ordered = only(docs, "doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    texts = only(docs, "doc_id", "text").select("doc_id", "text", F.xxhash64("text").alias("tie"))
+    frames = stage(texts.mapInArrow(compress, "doc_id long, tie long, n_tokens long, frame binary"), "frames")
+    ordered = frames.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
     index = stage(ordered.mapInArrow(write, _INDEX_DDL), "token_index")
     shards = index.groupBy("shard_no").agg(F.sum("n_tokens").alias("tokens"))
     earlier = Window.orderBy("shard_no").rowsBetween(Window.unboundedPreceding, -1)
