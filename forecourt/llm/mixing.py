@@ -3,7 +3,8 @@
 A source's rate is its target share of the output's characters over its own characters: the mean
 number of times each of its documents is repeated. Every document draws its count by inverting the
 Poisson distribution at a uniform hash of the seed and its doc_id, is repeated that often, and all
-copies are sorted by another hash. Any subset of machines, or a retried task, draws the same.
+copies are dealt to tasks by another hash and sorted by it there, which is a shuffle over all documents
+without a sample of them first. Any subset of machines, or a retried task, draws the same.
 
 The distribution is tabulated once per source, so a document only counts the table entries at or
 below its uniform number. A rate above ``PART_RATE`` is the sum of independent parts of smaller
@@ -85,18 +86,19 @@ def source_rates(docs: DataFrame, weights: Mapping[str, float] | None = None, si
 
 
 def replication_counts(docs: DataFrame, rates: DataFrame, seed: int = SEED) -> DataFrame:
-    """``docs`` with ``n_copies``, the document's Poisson count."""
-    per_source = rates.select(F.col("source").alias("__source"), "n_parts", "cdf")
+    """``row`` (a struct of the columns of ``docs``), ``drawn_by`` and ``n_copies``, the document's Poisson count."""
 
     def draw(part: Column) -> Column:
-        u = uniform(F.lit(str(seed)), _drawn_by(), part.cast("string"))
-        return F.size(F.filter("__cdf", lambda p: p <= u))
+        u = uniform(F.lit(str(seed)), F.col("drawn_by"), part.cast("string"))
+        return F.size(F.filter("cdf", lambda p: p <= u))
 
-    parts = F.sequence(F.lit(1), F.col("__parts"))
-    count = F.aggregate(parts, F.lit(0), lambda total, part: total + draw(part))
-    named = per_source.select("__source", F.col("n_parts").alias("__parts"), F.col("cdf").alias("__cdf"))
-    joined = docs.join(named, F.col("source").eqNullSafe(F.col("__source")))
-    return joined.withColumn("n_copies", count).drop("__source", "__parts", "__cdf")
+    count = F.aggregate(F.sequence(F.lit(1), F.col("n_parts")), F.lit(0), lambda total, part: total + draw(part))
+    # The row travels as one column, so that none of its names can clash with ours.
+    packed = docs.select(
+        F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"), F.col("source").alias("own"), _drawn_by().alias("drawn_by")
+    )
+    joined = packed.join(rates.select("source", "n_parts", "cdf"), F.col("own").eqNullSafe(F.col("source")))
+    return joined.select("row", "drawn_by", count.alias("n_copies"))
 
 
 def mix(
@@ -104,11 +106,13 @@ def mix(
 ) -> DataFrame:
     """Every document as often as it was drawn, in an order shuffled over all documents.
 
-    Adds ``n_copies``, ``copy`` (from 1) and ``position`` (the hash that orders the output);
+    Adds ``n_copies``, ``copy`` (from 1) and ``position`` (the hash that orders the rows of a task);
     columns of ``docs`` with these names are replaced.
     """
     rows = docs.drop("n_copies", "copy", "position")
     counted = replication_counts(rows, source_rates(rows, weights, size), seed)
     copies = counted.where("n_copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("n_copies"))))
-    position = F.md5(F.concat_ws("|", F.lit(str(seed)), _drawn_by(), F.col("copy").cast("string")))
-    return copies.withColumn("position", position).orderBy("position")
+    position = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("drawn_by"), F.col("copy").cast("string")))
+    dealt = copies.select("row", "n_copies", "copy", position.alias("position"))
+    dealt = dealt.repartition("position").sortWithinPartitions("position")
+    return dealt.select(*[F.col("row")[name].alias(name) for name in rows.columns], "n_copies", "copy", "position")

@@ -171,6 +171,7 @@ _SKETCH = pa.schema(
     [
         ("doc_id", pa.int64()),
         ("own", pa.int64()),
+        ("tie", pa.int64()),
         ("content", pa.binary()),
         ("bands", pa.list_(pa.int64())),
         *[(name, pa.int64()) for name in _BITS],
@@ -199,6 +200,7 @@ def _sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [
                 batch.column("doc_id"),
                 batch.column("own"),
+                batch.column("tie"),
                 pa.array(content, pa.binary()),
                 pa.array(bands, pa.list_(pa.int64())),
                 *[pa.array(bits[:, i]) for i in range(N_BIT_WORDS)],
@@ -208,18 +210,18 @@ def _sketch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _identified(docs: DataFrame) -> DataFrame:
-    """doc_id, text, and ``own``: the doc_id, or for rows without one a hash of the text."""
+    """doc_id, text, ``own`` (the doc_id, or for rows without one a hash of the text) and ``tie``, a hash of the text."""
     text = F.coalesce("text", F.lit("")).alias("text")
     doc_id = F.col("doc_id").cast("long").alias("doc_id")
     rows = only(docs, "doc_id", "text").select(doc_id, text)
-    return rows.select("doc_id", F.coalesce("doc_id", F.xxhash64("text")).alias("own"), "text")
+    return rows.select("doc_id", F.coalesce("doc_id", F.xxhash64("text")).alias("own"), F.xxhash64("text").alias("tie"), "text")
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, own, 16-byte content key, band keys (null without words) and packed bits of each row."""
+    """doc_id, own, tie, 16-byte content key, band keys (null without words) and packed bits of each row."""
     bits = ", ".join(f"{name} long" for name in _BITS)
     return _identified(docs).mapInArrow(
-        _sketch, f"doc_id long, own long, content binary, bands array<long>, {bits}"
+        _sketch, f"doc_id long, own long, tie long, content binary, bands array<long>, {bits}"
     )
 
 
@@ -268,15 +270,14 @@ def in_bitmap(rows: DataFrame, key: str, bitmap: KeyBitmap, inside: bool = True)
             found = shared.value.has(batch.column(batch.num_columns - 1).to_numpy())
             yield batch.filter(pa.array(found == inside)).select(range(batch.num_columns - 1))
 
-    placed = rows.withColumn("__place", bitmap.place(key))
+    placed = rows.select(*rows.columns, bitmap.place(key).alias("place"))
     return placed.mapInArrow(chosen, rows.schema)
 
 
 def node_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node and text of the ``nodes`` (distinct), written out."""
-    rows = _identified(docs).select(F.col("own").alias("node"), "text")
-    likely = in_bitmap(rows, "node", key_bitmap(nodes, "node"))
-    return stage(likely.join(nodes, "node", "left_semi").groupBy("node").agg(F.max("text").alias("text")), "texts")
+    """node and text of the ``nodes`` (node, own, tie; distinct), written out."""
+    likely = in_bitmap(_identified(docs).select("own", "tie", "text"), "own", key_bitmap(nodes, "own"))
+    return stage(likely.join(nodes, ["own", "tie"]).groupBy("node").agg(F.max("text").alias("text")), "texts")
 
 
 def _compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -356,17 +357,30 @@ def _links_across(met: DataFrame, labels: DataFrame, stars: DataFrame, texts: Da
 
 
 def _classes(docs: DataFrame) -> DataFrame:
-    """doc_id, own, class_id and n_same per row of ``docs``."""
+    """doc_id, own, tie, class_id, class_tie and n_same per row of ``docs``.
+
+    A node is a content. Its number is the least ``own`` of its rows; other contents with that ``own`` get a hash
+    below all doc_ids instead. ``class_id`` and ``class_tie`` tell the row that stands for the class.
+    """
     sketched = stage(sketches(docs), "sketches")
-    nodes = stage(
+    contents = stage(
         sketched.groupBy("content").agg(
-            F.min("own").alias("node"),
+            F.min(F.struct("own", "tie")).alias("least"),
             F.count(F.lit(1)).alias("n_same"),
             F.first("bands").alias("bands"),
             *[F.first(name).alias(name) for name in _BITS],
         ),
-        "nodes",
+        "contents",
     )
+    # Few or none: doc_ids with several contents that have no smaller one.
+    shared_ids = stage(
+        contents.groupBy(F.col("least.own").alias("own")).agg(F.min("content").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1"),
+        "shared_ids",
+    ).select("own", "first")
+    other = F.col("first").isNotNull() & (F.col("first") != F.col("content"))
+    apart = F.xxhash64("content").bitwiseOR(F.lit(-(1 << 63)))
+    nodes = contents.select("*", "least.own", "least.tie").drop("least").join(shared_ids, "own", "left")
+    nodes = stage(nodes.withColumn("node", F.when(other, apart).otherwise(F.col("own"))).drop("first"), "nodes")
     members = nodes.select(F.explode("bands").alias("key"), "node", *_BITS)
     least = [f"least_{name}" for name in _BITS]
     shared = stage(
@@ -381,7 +395,8 @@ def _classes(docs: DataFrame) -> DataFrame:
         "buckets",
     )
     met = stage(members.join(shared, "key"), "members")
-    texts = node_texts(docs, stage(met.select("node").distinct(), "met"))
+    meeting = met.select("node").distinct().join(nodes.select("node", "own", "tie"), "node")
+    texts = node_texts(docs, stage(meeting, "met"))
     stars = stage(
         met.where((F.col("node") != F.col("pivot")) & _alike(_BITS, least))
         .select(F.col("pivot").alias("a"), F.col("node").alias("b"))
@@ -391,13 +406,17 @@ def _classes(docs: DataFrame) -> DataFrame:
     links = verified(stars, texts)
     more = _links_across(met, component_labels(links), stars, texts)
     labels = component_labels(links.unionByName(more))
+    labelled = labels.join(nodes.select("node", "own", "tie"), "node")
+    leaders = labelled.groupBy("label").agg(F.min(F.struct("own", "tie")).alias("leader"))
+    leaders = stage(labels.join(leaders, "label").select("node", "leader"), "leaders")
+    leader = F.coalesce("leader", F.struct("own", "tie"))
     class_of = stage(
-        nodes.select("content", "node", "n_same")
-        .join(labels, "node", "left")
-        .select("content", F.coalesce("label", "node").alias("class_id"), "n_same"),
+        nodes.select("content", "node", "own", "tie", "n_same")
+        .join(leaders, "node", "left")
+        .select("content", leader["own"].alias("class_id"), leader["tie"].alias("class_tie"), "n_same"),
         "classes",
     )
-    return sketched.select("doc_id", "own", "content").join(class_of, "content").drop("content")
+    return sketched.select("doc_id", "own", "tie", "content").join(class_of, "content").drop("content")
 
 
 def duplicate_classes(docs: DataFrame) -> DataFrame:
@@ -406,19 +425,22 @@ def duplicate_classes(docs: DataFrame) -> DataFrame:
 
 
 def one_per_class(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with the least doc_id of each class, once each; rows without doc_id likewise by text.
+    """One row of ``docs`` of each class: the least by doc_id, then by a hash of the text.
 
-    Rows of classes of their own, nearly all, are told by a bitmap and stay where they are; only
-    rows that may have to go are shuffled.
+    Different texts under one doc_id are rows of their own. Rows without doc_id go by a hash of the text. Rows of
+    classes of their own, nearly all, are told by a bitmap and stay where they are; only rows that may have to go
+    are shuffled.
     """
     text = F.coalesce("text", F.lit(""))
-    rows = docs.withColumn("__own", F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)))
-    per_id = _classes(docs).groupBy(F.col("own").alias("__own")).agg(
-        F.min("class_id").alias("class_id"), F.count(F.lit(1)).alias("n")
-    )
-    doubtful = stage(per_id.where((F.col("__own") != F.col("class_id")) | (F.col("n") > 1)), "doubtful")
-    bitmap = key_bitmap(doubtful, "__own")
-    gone = doubtful.where(F.col("__own") != F.col("class_id")).select("__own")
-    kept = in_bitmap(rows, "__own", bitmap).join(gone, "__own", "left_anti").dropDuplicates(["__own"])
-    chosen = in_bitmap(rows, "__own", bitmap, inside=False).unionByName(kept)
-    return chosen.select(*[F.col(f"`{name}`") for name in docs.columns])
+    own, tie = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)), F.xxhash64(text)
+    # The row travels as one column, so that none of its names can clash with ours.
+    rows = docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"), own.alias("own"), tie.alias("tie"))
+    rows = rows.withColumn("key", F.xxhash64("own", "tie"))
+    leads = (F.col("own") == F.col("class_id")) & (F.col("tie") == F.col("class_tie"))
+    per_row = _classes(docs).groupBy("own", "tie").agg(F.min(leads).alias("leads"), F.count(F.lit(1)).alias("n"))
+    doubtful = stage(per_row.where(~F.col("leads") | (F.col("n") > 1)).withColumn("key", F.xxhash64("own", "tie")), "doubtful")
+    bitmap = key_bitmap(doubtful, "key")
+    gone = doubtful.where(~F.col("leads")).select("own", "tie")
+    kept = in_bitmap(rows, "key", bitmap).join(gone, ["own", "tie"], "left_anti").dropDuplicates(["own", "tie"])
+    chosen = in_bitmap(rows, "key", bitmap, inside=False).unionByName(kept.select(*rows.columns))
+    return chosen.select(*[F.col("row")[name].alias(name) for name in docs.columns])

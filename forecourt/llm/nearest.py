@@ -13,8 +13,8 @@ a table in the shared folder that every task reads in blocks against its block o
 holds more than one block of either, however many queries there are. A task emits k rows per query.
 
 Rows without vec_id, and vectors that are null, zero, of another length than most, or that hold null
-or non-finite components take no part. Rows that share a vec_id are one, with the least of their
-vectors. Ties in score go to the smaller vec_id. Without rows or queries the result is empty.
+or non-finite components take no part. Equal rows are one; other rows that share a vec_id are rows of
+their own, as candidates (also of each other) and as queries, each with its own ranks. Ties in score go to the smaller vec_id. Without rows or queries the result is empty.
 """
 
 from __future__ import annotations
@@ -98,9 +98,11 @@ def inner_products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 def search_block(
     query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, codes: Codes, rotation: Rotation, k: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query_id, vec_id, score) of the k best rows of a block for each query."""
+    """(place of the query, vec_id, score) of the k best rows of a block for each query."""
     estimate, error = bounds(queries, codes, rotation)
-    estimate[query_ids[:, None] == ids[None, :]] = -np.inf
+    q, v = np.nonzero(query_ids[:, None] == ids[None, :])
+    own = (queries[q] == vectors[v]).all(axis=1)
+    estimate[q[own], v[own]] = -np.inf
     floor = np.full(len(queries), -np.inf)
     if len(ids) > k:
         likely = np.argpartition(estimate, len(ids) - k, axis=1)[:, len(ids) - k :]
@@ -113,7 +115,7 @@ def search_block(
     q, v, score = q[order], v[order], score[order]
     first = np.searchsorted(q, q)
     best = np.arange(len(q)) - first < k
-    return query_ids[q[best]], ids[v[best]], score[best]
+    return q[best], ids[v[best]], score[best]
 
 
 def _usable(vector: str = "embedding") -> Column:
@@ -126,17 +128,18 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return values.reshape(len(column), -1)
 
 
-def _query_blocks(folder: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _query_blocks(folder: str) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Ids, numbers and vectors of the queries."""
     system, root = fs.FileSystem.from_uri(folder)
     for info in system.get_file_info(fs.FileSelector(root)):
         if info.base_name.endswith(".parquet"):
             with system.open_input_file(info.path) as file:
                 for batch in pq.ParquetFile(file).iter_batches(QUERIES_PER_BLOCK):
                     if batch.num_rows:
-                        yield batch.column("vec_id").to_numpy(), _matrix(batch.column("embedding"))
+                        yield batch.column("vec_id").to_numpy(), batch.column("query").to_numpy(), _matrix(batch.column("embedding"))
 
 
-_HIT = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+_HIT = pa.schema([("query_id", pa.int64()), ("query", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
@@ -151,14 +154,13 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     rows = rows.where(F.col("vec_id").isNotNull() & F.coalesce(_usable(), F.lit(False)))
     lengths = rows.groupBy(F.size("embedding").alias("dim")).count().orderBy(F.desc("count"), "dim").take(1)
     dim = lengths[0]["dim"] if lengths else 1
-    valid = stage(
-        rows.where(F.size("embedding") == dim).groupBy("vec_id").agg(F.min("embedding").alias("embedding")), "vectors"
-    )
+    valid = stage(rows.where(F.size("embedding") == dim).distinct(), "vectors")
     n_rows = valid.count()
     mean = valid.select(F.posexplode("embedding")).groupBy("pos").agg(F.avg("col").alias("mean")).toArrow().to_pylist()
     rotation = random_rotation(np.array([row["mean"] for row in sorted(mean, key=lambda row: row["pos"])] or [0.0]))
     folder = scratch_path(spark, "queries")
-    valid.where(is_query).write.parquet(folder)
+    # Queries of one vec_id are told apart by a hash of their vectors.
+    valid.where(is_query).withColumn("query", F.xxhash64("embedding")).write.parquet(folder)
 
     def index(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -174,13 +176,14 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
             packed = np.frombuffer(b"".join(block.column("code").to_pylist()), np.uint8).reshape(block.num_rows, -1)
             codes = Codes(packed, block.column("length").to_numpy(), block.column("fit").to_numpy())
             ids, rows_of_block = block.column("vec_id").to_numpy(), _matrix(block.column("embedding").combine_chunks())
-            for query_ids, queries in _query_blocks(folder):
-                hits = search_block(query_ids, queries, ids, rows_of_block, codes, rotation, k)
-                yield pa.RecordBatch.from_arrays([pa.array(h) for h in hits], schema=_HIT)
+            for query_ids, numbers, queries in _query_blocks(folder):
+                place, *hits = search_block(query_ids, queries, ids, rows_of_block, codes, rotation, k)
+                columns = [query_ids[place], numbers[place], *hits]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_HIT)
 
     dealt = coded.repartition(max(1, -(-n_rows // ROWS_PER_BLOCK)))
-    hits = dealt.mapInArrow(search, "query_id long, vec_id long, score double")
-    by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    hits = dealt.mapInArrow(search, "query_id long, query long, vec_id long, score double")
+    by_score = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
     ranked = hits.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 

@@ -39,7 +39,7 @@ def _secret_scan() -> str:
     limits = " ".join(f"WHEN '{c.kind}' THEN {secrets.most_repetition(c.bits)}" for c in secrets.CLASSES)
     order = " ".join(f"WHEN '{kind}' THEN {i}" for i, kind in enumerate(secrets.KINDS))
     written = "kind || ':' || first_char || ':' || past_char, ',' ORDER BY first_char, place"
-    overlap = "o.doc_id = e.doc_id AND o.first_char < e.past_char AND e.first_char < o.past_char"
+    inside = "o.doc_id = e.doc_id AND o.first_char <= e.first_char AND e.past_char <= o.past_char"
     first, second = (c.kind for c in secrets.CLASSES)
     counted = ", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in secrets.BASE_KINDS)
     return f"""
@@ -51,23 +51,26 @@ base AS (
 ), runs AS (
     SELECT doc_id, kind, run, first_char, first_char + length(run) AS past_char
     FROM ({" UNION ALL ".join(_matches(c.kind, c.pattern) for c in secrets.CLASSES)}) m
-    WHERE NOT regexp_matches(run, {_quoted(secrets.SUPPRESSED)})
+), parts AS (
+    SELECT DISTINCT kind, run, unnest(string_split_regex(run, {_quoted(secrets.MARKED)})) AS part FROM runs
 ), windows AS (
-    SELECT DISTINCT kind, run, unnest(range(1, length(run) - {secrets.WINDOW} + 2)) AS place_in_run FROM runs
+    SELECT kind, run, part, place, substr(part, place, {secrets.WINDOW}) AS seen
+    FROM (SELECT *, unnest(range(1, length(part) - {secrets.WINDOW} + 2)) AS place FROM parts)
+    WHERE regexp_matches(seen, '[0-9]') AND regexp_matches(seen, '[A-Za-z]')
 ), letters AS (
-    SELECT kind, run, place_in_run, unnest(string_split(substr(run, place_in_run, {secrets.WINDOW}), '')) AS letter FROM windows
+    SELECT kind, run, part, place, unnest(string_split(seen, '')) AS letter FROM windows
 ), repetition AS (
-    SELECT kind, run, place_in_run, sum(round(n * log2(n) * {secrets.SCALE})) AS bits
-    FROM (SELECT kind, run, place_in_run, letter, count(*) AS n FROM letters GROUP BY ALL) GROUP BY ALL
+    SELECT kind, run, part, place, sum(round(n * log2(n) * {secrets.SCALE})) AS bits
+    FROM (SELECT kind, run, part, place, letter, count(*) AS n FROM letters GROUP BY ALL) GROUP BY ALL
 ), dense AS (
     SELECT kind, run FROM repetition GROUP BY ALL HAVING min(bits) <= CASE kind {limits} END
 ), entropy AS (
     SELECT doc_id, kind, first_char, past_char FROM runs SEMI JOIN dense USING (kind, run)
 ), hexes AS (
-    SELECT * FROM entropy e WHERE kind = '{first}' AND NOT EXISTS (SELECT 1 FROM base o WHERE {overlap})
+    SELECT * FROM entropy e WHERE kind = '{first}' AND NOT EXISTS (SELECT 1 FROM base o WHERE {inside})
 ), others AS (
     SELECT * FROM entropy e WHERE kind = '{second}'
-      AND NOT EXISTS (SELECT 1 FROM base o WHERE {overlap}) AND NOT EXISTS (SELECT 1 FROM hexes o WHERE {overlap})
+      AND NOT EXISTS (SELECT 1 FROM base o WHERE {inside}) AND NOT EXISTS (SELECT 1 FROM hexes o WHERE {inside})
 ), spans AS (
     SELECT *, CASE kind {order} END AS place
     FROM (SELECT * FROM base UNION ALL SELECT * FROM hexes UNION ALL SELECT * FROM others)
@@ -104,14 +107,14 @@ FROM digests
 
 ORACLES["op9_nearest"] = """
 WITH vectors AS (
-    SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+    SELECT DISTINCT vec_id, embedding::DOUBLE[] AS v FROM embeddings
     WHERE len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
       AND len(list_filter(embedding, lambda x: x <> 0)) > 0
 ), scored AS (
-    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score
-    FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
+    SELECT q.vec_id AS query_id, q.v, c.vec_id, list_inner_product(q.v, c.v) AS score
+    FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id OR q.v <> c.v WHERE q.vec_id % 20 = 0
 )
-SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+SELECT query_id, row_number() OVER (PARTITION BY query_id, v ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
 FROM scored QUALIFY rank <= 20
 """
 

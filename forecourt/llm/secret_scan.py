@@ -3,8 +3,9 @@
 Base kinds are three patterns. The entropy kinds look at long runs of one character class: the
 Shannon entropy of every window of 20 characters is kept up to date from character counts, one
 character in and one out per step, and a run is a secret if some window reaches the class's limit.
-Allow-listed runs are suppressed: without digits, without letters, with a run of one character,
-or with a word that marks a sample value.
+Allow-listed windows are suppressed: without digits (compound names are as dense as keys) or without letters, or
+touching six equal characters or a word that marks a sample value. The other windows of the run still count, and
+the whole run is reported. It may overlap spans of other kinds; only what lies inside one of them is left out.
 
 Entropies use a table of c*log2(c) in millionths of a bit, so sums are exact and do not depend on
 their order. Spans count code points, end exclusive. A null text counts as empty and has no spans;
@@ -58,13 +59,8 @@ CLASSES = (
     ),
 )
 KINDS = (*BASE_KINDS, *(c.kind for c in CLASSES))
-#: Allow-list: a run is no secret if it lacks a digit or a letter, repeats a character six times or names a sample.
-SUPPRESSED = (
-    "^[^0-9]*$|^[^A-Za-z]*$|"
-    + "|".join(f"{c}{{6}}" for c in (_DIGITS + _LOWER + _LOWER.upper()))
-    + "|"
-    + "|".join(map(ascii_any_case, SAMPLE_WORDS))
-)
+#: Allow-list: windows that touch a repeated character or the name of a sample are left out.
+MARKED = "|".join([*(f"{c}{{6}}" for c in (_DIGITS + _LOWER + _LOWER.upper())), *map(ascii_any_case, SAMPLE_WORDS)])
 
 
 def count_bits(count: int) -> int:
@@ -108,9 +104,13 @@ def matches(text: Column, pattern: str) -> Column:
 
 
 def least_repetition(run: Column, alphabet: str) -> Column:
-    """The smallest sum of ``count_bits`` over all windows of a run, by incremental counts."""
+    """The smallest sum of ``count_bits`` over the windows of a run with a digit and a letter, by incremental counts."""
     table = F.array(*[F.lit(count_bits(c)) for c in range(WINDOW + 1)])
     place = lambda at: F.instr(F.lit(alphabet), F.substring(run, at, F.lit(1)))
+    # An alphabet holds the digits first, then the letters.
+    letters = len(_DIGITS) + sum(c.isalpha() for c in alphabet)
+    digit = lambda at: at.between(1, len(_DIGITS)).cast("int")
+    letter = lambda at: at.between(len(_DIGITS) + 1, letters).cast("int")
 
     def step(state: Column, at: Column) -> Column:
         entering, leaving = place(at), F.when(at > WINDOW, place(at - WINDOW)).otherwise(F.lit(0))
@@ -125,11 +125,17 @@ def least_repetition(run: Column, alphabet: str) -> Column:
             state["counts"],
             lambda count, i: count + (i == entering).cast("int") - ((i == leaving) & (leaving > 0)).cast("int"),
         )
-        least = F.when(at >= WINDOW, F.least(state["least"], total)).otherwise(state["least"])
-        return F.struct(counts.alias("counts"), total.alias("sum"), least.alias("least"))
+        digits = state["digits"] + digit(entering) - digit(leaving)
+        letters = state["letters"] + letter(entering) - letter(leaving)
+        counted = (at >= WINDOW) & (digits > 0) & (letters > 0)
+        least = F.when(counted, F.least(state["least"], total)).otherwise(state["least"])
+        parts = {"counts": counts, "digits": digits, "letters": letters, "sum": total, "least": least}
+        return F.struct(*[part.alias(name) for name, part in parts.items()])
 
     start = F.struct(
         F.array_repeat(F.lit(0), len(alphabet) + 1).alias("counts"),
+        F.lit(0).alias("digits"),
+        F.lit(0).alias("letters"),
         F.lit(0).alias("sum"),
         F.lit(2**31 - 1).alias("least"),
     )
@@ -137,9 +143,12 @@ def least_repetition(run: Column, alphabet: str) -> Column:
 
 
 def dense_runs(text: Column, of: CharacterClass) -> Column:
-    """Matches of a class that are not allow-listed and have a window of enough entropy."""
-    candidates = F.filter(matches(text, of.pattern), lambda m: ~m["found"].rlike(SUPPRESSED))
-    return F.filter(candidates, lambda m: least_repetition(m["found"], of.alphabet) <= most_repetition(of.bits))
+    """Matches of a class with a window of enough entropy between the allow-listed stretches."""
+
+    def dense(part: Column) -> Column:
+        return (F.length(part) >= WINDOW) & (least_repetition(part, of.alphabet) <= most_repetition(of.bits))
+
+    return F.filter(matches(text, of.pattern), lambda m: F.exists(F.split(m["found"], MARKED, -1), dense))
 
 
 def _tagged(found: Column, kind: str) -> Column:
@@ -149,8 +158,9 @@ def _tagged(found: Column, kind: str) -> Column:
     )
 
 
-def _apart(found: Column, others: Column) -> Column:
-    return F.filter(found, lambda m: ~F.exists(others, lambda o: (o["start"] < m["end"]) & (m["start"] < o["end"])))
+def _beyond(found: Column, others: Column) -> Column:
+    """Those that do not lie inside one of the others."""
+    return F.filter(found, lambda m: ~F.exists(others, lambda o: (o["start"] <= m["start"]) & (m["end"] <= o["end"])))
 
 
 def with_spans(docs: DataFrame) -> DataFrame:
@@ -171,7 +181,7 @@ def with_spans(docs: DataFrame) -> DataFrame:
     )
     every = F.col("base")
     for c in CLASSES:
-        every = F.concat(every, _apart(F.col(c.kind), every))
+        every = F.concat(every, _beyond(F.col(c.kind), every))
     return rows.withColumn("spans", F.array_sort(every)).withColumn("base", F.array_sort("base")).drop(*[c.kind for c in CLASSES])
 
 

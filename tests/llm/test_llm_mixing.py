@@ -3,6 +3,7 @@ from collections import Counter
 import numpy as np
 import pytest
 from llm_fixtures import documents, empty, odd_rows, sentences
+from pyspark.sql import functions as F
 
 from forecourt.llm import mixing
 
@@ -43,8 +44,21 @@ def test_large_rates_are_sums_of_parts(spark):
 
 def test_result_does_not_depend_on_the_layout(spark):
     docs = corpus(spark, (200, 50))
-    one, other = (mixing.mix(docs.repartition(n)).toPandas() for n in (1, 7))
-    assert one.equals(other) and one.position.is_monotonic_increasing
+    mixed = [mixing.mix(docs.repartition(n)) for n in (1, 7)]
+    one, other = (frame.toPandas().sort_values("position", ignore_index=True) for frame in mixed)
+    assert one.equals(other) and one.position.is_unique
+    parts = mixed[0].select(F.spark_partition_id().alias("part"), "position").toPandas()
+    assert all(part.position.is_monotonic_increasing for _, part in parts.groupby("part"))
+
+
+def test_clashing_names_and_one_reading_of_the_texts(spark):
+    docs = corpus(spark, (20, 5)).withColumns({name: F.lit("x") for name in ("__source", "__parts", "__cdf", "row", "cdf", "n_parts", "drawn_by")})
+    mixed = mixing.mix(docs)
+    assert mixed.columns == [*docs.columns, "n_copies", "copy", "position"] or set(docs.columns) < set(mixed.columns)
+    rows = mixed.collect()
+    assert rows and all(r["__source"] == r["row"] == r["cdf"] == "x" for r in rows)
+    plan = mixed._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
 
 
 def test_rows_without_id_draw_apart(spark):

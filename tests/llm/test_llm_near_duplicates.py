@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 from llm_fixtures import documents, empty, odd_rows, sentences
+from pyspark.sql import functions as F
 
 from forecourt.llm import components, near_duplicates as nd
 
@@ -120,6 +121,25 @@ def test_odd_rows_and_empty_table(spark):
     assert sorted(kept, key=str) == [1, 3, 4, 6, 7, 8, None]
 
 
+def test_different_texts_under_one_id_are_documents_of_their_own(spark):
+    a, b, c, near_b = sentences(1, 50), sentences(2, 50), sentences(3, 50), sentences(2, 50) + " end"
+    rows = [(1, a, "en", "s"), (1, b, "en", "s"), (2, c, "en", "s")]
+    assert sorted((r.doc_id, r.text) for r in nd.one_per_class(documents(spark, rows)).collect()) == sorted((i, t) for i, t, *_ in rows)
+    rows += [(3, near_b, "en", "s"), (0, a + " end", "en", "s"), (1, b, "en", "s")]
+    kept = sorted((r.doc_id, r.text) for r in nd.one_per_class(documents(spark, rows)).collect())
+    assert kept == sorted([(0, a + " end"), (1, b), (2, c)])
+    classes = sorted((r.doc_id, r.class_id) for r in nd.duplicate_classes(documents(spark, rows)).collect())
+    assert classes == [(0, 0), (1, 0), (1, 1), (1, 1), (2, 2), (3, 1)]
+
+
+def test_names_of_the_operators_own(spark):
+    rows = [(i, sentences(i % 3, 30), "en", "s") for i in range(6)]
+    docs = documents(spark, rows).withColumns({name: F.lit(name) for name in ("__own", "__place", "place", "tie", "key", "row")})
+    kept = nd.one_per_class(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id, r["__own"], r["place"], r["row"]) for r in kept.collect()) == [(i, "__own", "place", "row") for i in range(3)]
+
+
 def test_labels_follow_long_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 40)] + [(140, 139)]
     links = [(b, a) if a % 3 else (a, b) for a, b in links]

@@ -95,6 +95,19 @@ def test_vectors_that_take_no_part(spark):
     assert [tuple(r) for r in got.orderBy("query_id", "rank").collect()] == brute(good, lambda i: i < 3, 20)
 
 
+def test_rows_that_share_an_id_are_rows_of_their_own(spark, new_dir):
+    rows = [(20, [1.0, 0.0]), (1, [0.5, 0.1]), (1, [0.9, 0.1]), (1, [0.9, 0.1]), (20, [0.0, 1.0]), (2, [0.2, 0.3])]
+    got = nn.nearest(table(spark, rows), F.col("vec_id") % 20 == 0, k=3).collect()
+    first, second = [], []
+    for r in sorted(got, key=lambda r: r["rank"]):
+        (first if round(r.score, 6) in (0.9, 0.5, 0.2) else second).append((r.query_id, r["rank"], r.vec_id, round(r.score, 6)))
+    assert first == [(20, 1, 1, 0.9), (20, 2, 1, 0.5), (20, 3, 2, 0.2)]
+    assert second == [(20, 1, 2, 0.3), (20, 2, 1, 0.1), (20, 3, 1, 0.1)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").coalesce(1).toPandas().to_parquet(f"{new_dir}/embeddings.parquet")
+    found = QUERIES["op9_nearest"](spark, new_dir).toArrow()
+    assert differences(found, connect(new_dir).sql(ORACLES["op9_nearest"]).to_arrow_table()) == []
+
+
 def test_no_rows_and_no_queries(spark):
     assert nn.nearest(table(spark, []), F.col("vec_id") % 20 == 0).count() == 0
     assert nn.nearest(table(spark, [(1, [1.0]), (2, [2.0])]), F.col("vec_id") % 20 == 0).count() == 0
