@@ -57,10 +57,10 @@ PIECE_CHARS = 8192
 DICTIONARY_BYTES = 64 * 1024
 LEVEL = 3
 _TRIMMED = ".,;:!?#*$%&\"()"
-_BATCH_BYTES = 12 * 1024 * 1024
+_BATCH_BYTES = 8 * 1024 * 1024
 _WORDS_A_TEXT = 1000
 #: Pieces whose ids a worker remembers between batches; then it begins anew.
-_KNOWN_PIECES = 1_000_000
+_KNOWN_PIECES = 300_000
 
 
 class WordEncoder:
