@@ -29,6 +29,7 @@ table gives an empty index.
 from __future__ import annotations
 
 import json
+import os
 import unicodedata
 import zlib
 from collections.abc import Iterable, Iterator
@@ -59,6 +60,7 @@ LEVEL = 3
 _TRIMMED = ".,;:!?#*$%&\"()"
 _BATCH_BYTES = 8 * 1024 * 1024
 _WORDS_A_TEXT = 1000
+_ROW_GROUP_BYTES = 16 * 1024 * 1024
 #: Pieces whose ids a worker remembers between batches; then it begins anew.
 _KNOWN_PIECES = 300_000
 
@@ -106,9 +108,9 @@ class WordEncoder:
     def _ids_of_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words of one piece each, many words to a text, and their number per word."""
         flat, lengths = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
-        groups = [words[at : at + _WORDS_A_TEXT] for at in range(0, len(words), _WORDS_A_TEXT)]
-        for some, coded in zip(groups, self._coded(self._words, list(map(" ".join, groups)))):
-            ids = np.array(coded, np.uint32)
+        for at in range(0, len(words), _WORDS_A_TEXT):
+            some = words[at : at + _WORDS_A_TEXT]
+            ids = np.array(self._words.encode(" ".join(some), add_special_tokens=False).ids, np.uint32)
             ends = np.flatnonzero(self._ends_word[ids])
             if len(ends) != len(some):
                 raise ValueError("a word has no mark at its end, or several")
@@ -178,6 +180,8 @@ class WordEncoder:
 
 @lru_cache(maxsize=2)
 def _encoder(content: str) -> WordEncoder:
+    # A task is one thread; the library's own threads would each hold memory of their own.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return WordEncoder(content)
 
 
@@ -303,7 +307,10 @@ def write_token_files(docs: DataFrame, vocabulary_path: str, folder: str, end_id
             file.close()
 
     texts = only(docs, "doc_id", "text").select("doc_id", "text", F.xxhash64("text").alias("tie"))
-    frames = stage(texts.mapInArrow(compress, "doc_id long, tie long, n_tokens long, frame binary"), "frames")
+    columns, path = "doc_id long, tie long, n_tokens long, frame binary", scratch_path(docs.sparkSession, "frames")
+    # Small row groups: a writer holds one in memory, beside the task that encodes.
+    texts.mapInArrow(compress, columns).write.option("parquet.block.size", _ROW_GROUP_BYTES).parquet(path)
+    frames = docs.sparkSession.read.schema(columns).parquet(path)
     ordered = frames.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
     index = stage(ordered.mapInArrow(write, _INDEX_DDL), "token_index")
     shards = index.groupBy("shard_no").agg(F.sum("n_tokens").alias("tokens"))
