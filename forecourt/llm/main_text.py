@@ -1,13 +1,18 @@
 """Main text of a page by line-block distribution.
 
 Markup is stripped to lines: one per block of the page, an inline tag leaves no trace and a line
-break is white space. A line's mass is its text outside links. Elements that are never article text
-(scripts, menus, forms, ...), by tag, role, or a word of their class or id, become empty lines, unless
-they stand between blocks of one parent; what lies outside a marked article becomes empty lines too, if
-the page has one and no window outside is denser than all inside. The distribution is the mass in a
-sliding window of lines: text surges where it rises from zero and dives where it falls back to zero.
-Text between a surge and its dive is kept if the densest window of the stretch comes near that of
-the page's densest stretch.
+break is white space. What the standard's elements, roles or styles say is never article text (scripts, menus,
+forms, hidden parts, ...) has no lines. A line's mass is its text outside links; a paragraph that reads as prose
+counts whole, and inside a marked article every line counts whole and ARTICLE times.
+
+The distribution is the mass in a sliding window of lines: text surges where it rises from zero and dives where it
+falls back to zero. Text between a surge and its dive is kept if its densest window comes near that of the page's
+densest. Empty lines part the text at the edge of a marked article and around removed elements, unless these stand
+between blocks of one parent or inside the article.
+
+A class or id that names boilerplate, or a heading over reader comments, takes the mass from the lines of its element;
+not if the densest window there is BELIEF times that of all else on the page. Names decide by their head word:
+``related-links`` marks, ``related-work`` does not. A heading of comments directly in the body marks nothing.
 
 A null or empty page, or one without such text, gives empty text. A repeated row gets its own
 result; an empty table gives an empty one. Nothing is cut off: very long pages are read whole.
@@ -19,6 +24,7 @@ import html
 import re
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -27,6 +33,12 @@ from forecourt.llm.common import only, slices
 WINDOW = 3
 #: A stretch is kept if its densest window has at least this share of the mass of the page's densest one.
 SHARE = 0.25
+#: Mass of a marked article's lines against that of others.
+ARTICLE = 4
+#: Names of elements are not believed if the text in them is so many times as dense as the rest.
+BELIEF = 8
+#: A linked paragraph of that many characters, or with a sentence's end, is prose and no menu entry.
+LONG_LINK = 40
 
 # Elements of the HTML standard, by what they mean here.
 _RAW = "script|style|noscript|template|svg|math|iframe|object|textarea|title|select|canvas|audio|video"
@@ -47,10 +59,19 @@ _WORDS = frozenset(
     "cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup "
     "login search share sharing social comment comments reply replies respond disqus discussion".split()
 )
+# Words that say which part of the named thing an element is.
+_PARTS = frozenset(
+    "slot box container wrapper wrap holder section area block list item items bar unit panel region zone inner outer "
+    "content body row col column left right top bottom main site page form button buttons icon icons image img title "
+    "label text meta author date link links post posts article articles story stories news reading entry".split()
+)
+_STORY = frozenset(("post", "article", "entry", "story"))
 _ABOUT = frozenset(("has", "with", "without", "no", "show", "hide"))
 _FRAME = frozenset(("html", "body", "main"))
 _ARTICLE = frozenset(("article", "main"))
 _HEADINGS = frozenset(("h1", "h2"))  # what follows one belongs to it
+_PROSE = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote".split())
+_SENTENCE_ENDS = tuple(".!?\u2026:;\"\u201d")
 _TEXT_BLOCKS = frozenset("p h1 h2 h3 h4 h5 h6 pre blockquote ul ol dl li dt dd figcaption address".split())
 
 _TOKEN = re.compile(
@@ -63,46 +84,60 @@ _TOKEN = re.compile(
 )
 _NAMES = re.compile(r"(?:^|\s)(class|id|role|style|hidden|aria-hidden)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+_COMMENTS = re.compile(
+    r"(?:\d+ )?(?:reader |user )?(?:comments?|replies|responses|kommentare?|commentaires?|comentarios?)(?: ?\(\d+\))? ?:?"
+    r"|leave a (?:comment|reply)",
+    re.I,
+)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 def _marks(name: str, in_article: bool) -> bool:
-    """Whether a class or id names boilerplate; not if it says what the element has or lacks."""
+    """Whether a class or id names boilerplate by its head word; not if it says what the element has or lacks."""
     words = [word.lower() for word in _WORD.findall(name)]
     if not words or words[0] in _ABOUT:
         return False
-    return any(word in _WORDS and not (in_article and word == "header") for word in words)
+    head = next((word for word in reversed(words) if word not in _PARTS), "")
+    if head == "header" and (in_article or words[0] in _STORY):
+        return False
+    return head in _WORDS
 
 
-def _is_boilerplate(tag: str, attributes: str, in_article: bool, by_name: bool) -> bool:
+def _evidence(tag: str, attributes: str, in_article: bool) -> int:
+    """What an element's tag and attributes say: never article text (2), named as boilerplate (1), nothing (0)."""
     if tag in _NEVER or (tag == "header" and not in_article):
-        return True
+        return 2
     if not attributes or tag in _FRAME:
-        return False
+        return 0
+    named = 0
     for name, *values in _NAMES.findall(attributes):
         value, name = "".join(values), name.lower()
         if name in ("class", "id"):
-            if by_name and any(_marks(one, in_article) for one in value.split()):
-                return True
+            named |= any(_marks(one, in_article) for one in value.split())
         elif name == "role":
             if value.lower() in _ROLES:
-                return True
+                return 2
         elif name == "style":
             if _HIDDEN.search(value):
-                return True
+                return 2
         elif name == "hidden" or value.lower() == "true":
-            return True
-    return False
+            return 2
+    return int(named)
 
 
 class _Lines:
-    """Lines of one page, filled token by token."""
+    """Lines of one page, filled token by token.
+
+    ``ignored`` holds the places in the page of names that are not believed; without it, all are ignored.
+    ``named`` has the lines from and to which each name holds, by its place.
+    """
 
-    def __init__(self, by_name: bool) -> None:
-        self._by_name = by_name
+    def __init__(self, ignored: frozenset[int] | None) -> None:
+        self._ignored = ignored
+        self.named: dict[int, list[int]] = {}
+        self._naming: dict[int, list[int]] = {}  # by depth of open elements, the places of names that end there
         self.texts: list[str] = []
         self.masses: list[int] = []
-        self.inside: list[bool] = []
         self._parts: list[str] = []
         self._linked = 0
         self._open: list[tuple[str, bool]] = []  # element, whether it is boilerplate
@@ -123,14 +158,20 @@ class _Lines:
         """Close the line being filled; ``edge`` says that a marked article begins or ends after it."""
         text = " ".join(html.unescape("".join(self._parts)).split()) if self._parts else ""
         if text:
-            if (self._removed and not self._one_parent()) or (self._crossed and self._last not in _HEADINGS):
+            cut = self._removed and not self._articles and not self._one_parent()
+            if cut or (self._crossed and self._last not in _HEADINGS):
                 self._silence()
             self._removed = self._crossed = False
             self._last, self._depth = self._blocks[-1] if self._blocks else "", len(self._blocks)
             self._common = self._depth
             self.texts.append(text)
-            self.masses.append(max(0, len(text) - self._linked))
-            self.inside.append(self._articles > 0)
+            if self._articles:
+                mass = ARTICLE * len(text)
+            elif self._last in _PROSE and (len(text) >= LONG_LINK or text.endswith(_SENTENCE_ENDS)):
+                mass = len(text)
+            else:
+                mass = max(0, len(text) - self._linked)
+            self.masses.append(mass)
         self._crossed |= edge
         self._parts, self._linked = [], 0
 
@@ -138,7 +179,6 @@ class _Lines:
         for _ in range(WINDOW):
             self.texts.append("")
             self.masses.append(0)
-            self.inside.append(False)
 
     def _one_parent(self) -> bool:
         """Whether the line being filled and the last one are blocks of one parent.
@@ -154,6 +194,8 @@ class _Lines:
         return any(near) or all(below == 1 for _, below in ends)
 
     def _pop(self) -> None:
+        for place in self._naming.pop(len(self._open), ()):
+            self.named[place].append(len(self.texts))
         tag, boilerplate = self._open.pop()
         if tag not in _INLINE:
             self._blocks.pop()
@@ -163,7 +205,15 @@ class _Lines:
         if not boilerplate:
             self._articles -= tag in _ARTICLE
 
-    def start(self, tag: str, attributes: str) -> None:
+    def _believes(self, place: int) -> bool:
+        return self._ignored is not None and place not in self._ignored
+
+    def _name(self, place: int) -> None:
+        """A name holds from here to the end of the innermost open element."""
+        self.named[place] = [len(self.texts)]
+        self._naming.setdefault(len(self._open), []).append(place)
+
+    def start(self, tag: str, attributes: str, place: int) -> None:
         if tag == "br":
             self.add(" ")
             return
@@ -180,11 +230,14 @@ class _Lines:
             if block:
                 self.end_line()
             return
-        boilerplate = _is_boilerplate(tag, attributes, self._articles > 0, self._by_name)
-        if block or boilerplate:
+        evidence = _evidence(tag, attributes, self._articles > 0)
+        boilerplate = evidence == 2 or (evidence == 1 and self._believes(place))
+        if block or evidence:
             self.end_line(edge=tag in _ARTICLE)
         self._removed |= boilerplate
         self._open.append((tag, boilerplate))
+        if evidence == 1 and not self._skipped:
+            self._name(place)
         if block:
             self._blocks.append(tag)
         self._skipped += boilerplate
@@ -208,7 +261,23 @@ class _Lines:
             if tag in tags:
                 return
 
-    def end(self, tag: str) -> None:
+    def _comments_follow(self, place: int) -> None:
+        """Reader comments, if the last line is a heading that says so, reach to the end of what is around it."""
+        if not self._open or self._open[-1][0] in ("html", "body") or not _COMMENTS.fullmatch(self.texts[-1]):
+            return
+        self._name(place)
+        if self._believes(place):
+            self.texts.pop()
+            self.masses.pop()
+            self.named[place][0] -= 1
+            tag, boilerplate = self._open[-1]
+            if not boilerplate:
+                self._open[-1] = (tag, True)
+                self._skipped += 1
+                self._articles -= tag in _ARTICLE
+            self._removed = True
+
+    def end(self, tag: str, place: int) -> None:
         if tag in _VOID:
             return
         at = next((i for i in range(len(self._open) - 1, -1, -1) if self._open[i][0] == tag), None)
@@ -221,13 +290,21 @@ class _Lines:
         leaves = any(t in _ARTICLE for t, _ in self._open[at:])
         if tag not in _INLINE or any(b for _, b in self._open[at:]):
             self.end_line(edge=leaves)
+        heading = tag in _PROSE and tag[0] == "h" and not self._skipped and self.texts and self._last == tag
         while len(self._open) > at:
             self._pop()
+        if heading:
+            self._comments_follow(place)
 
+    def finish(self) -> None:
+        self.end_line()
+        while self._open:
+            self._pop()
 
-def lines_of(page: str, by_name: bool = True) -> _Lines:
-    """The page's lines; ``by_name`` says whether class and id names may mark boilerplate."""
-    lines, at = _Lines(by_name), 0
+
+def lines_of(page: str, ignored: frozenset[int] | None = frozenset()) -> _Lines:
+    """The page's lines; names of boilerplate at the places in ``ignored``, or all for None, are not believed."""
+    lines, at = _Lines(ignored), 0
     for token in _TOKEN.finditer(page):
         if token.start() > at:
             lines.add(page[at : token.start()])
@@ -237,59 +314,76 @@ def lines_of(page: str, by_name: bool = True) -> _Lines:
             if token["raw"] or token["empty"]:
                 lines.add(" ")
         elif token["close"]:
-            lines.end(tag.lower())
+            lines.end(tag.lower(), token.start())
         else:
-            lines.start(tag.lower(), token["attributes"])
+            lines.start(tag.lower(), token["attributes"], token.start())
     lines.add(page[at:])
-    lines.end_line()
+    lines.finish()
     return lines
 
 
+def window_sums(masses: list[int]) -> np.ndarray:
+    """The distribution: mass of the lines from i to i + WINDOW, for i from 1 - WINDOW to the last line."""
+    return np.convolve(np.asarray(masses, np.int64), np.ones(WINDOW, np.int64)) if masses else np.zeros(0, np.int64)
+
+
 def stretches(masses: list[int]) -> list[tuple[int, int, int]]:
-    """(surge, dive, mass) of every stretch between windows without mass; dive is exclusive."""
-    found, start, silent = [], None, WINDOW
-    for at, mass in enumerate([*masses, *[0] * WINDOW]):
-        silent = 0 if mass else silent + 1
-        if mass and start is None:
-            start = at
-        elif start is not None and silent >= WINDOW:
-            end = at - silent + 1
-            found.append((start, end, sum(masses[start:end])))
-            start = None
+    """(surge, dive, mass) of every run of windows with mass, without empty lines at its ends; dive is exclusive."""
+    loud = np.concatenate(([False], window_sums(masses) > 0, [False]))
+    rises, falls = np.flatnonzero(~loud[:-1] & loud[1:]), np.flatnonzero(loud[:-1] & ~loud[1:])
+    with_mass = np.flatnonzero(masses)
+    found = []
+    for rise, fall in zip(rises, falls):
+        # Windows rise to fall - 1 cover the lines from rise + 1 - WINDOW to fall - 1.
+        first, last = np.searchsorted(with_mass, (rise + 1 - WINDOW, fall))
+        start, end = int(with_mass[first]), int(with_mass[last - 1]) + 1
+        found.append((start, end, sum(masses[start:end])))
     return found
 
 
 def densest(masses: list[int]) -> int:
     """The largest mass of a window of lines."""
-    return max((sum(masses[at : at + WINDOW]) for at in range(max(1, len(masses) - WINDOW + 1))), default=0)
+    return int(window_sums(masses).max(initial=0))
 
 
-def main_text(page: str | None) -> str:
-    """The article of a page: its kept blocks, joined by one space.
+class _Densest:
+    """The largest mass of a window inside any range of lines, by maxima over ranges of powers of two."""
 
-    A page whose class names leave nothing is read again without regard to them.
-    """
-    return _main_text(lines_of(page or "")) or _main_text(lines_of(page or "", by_name=False))
-
-
-def _main_text(lines: _Lines) -> str:
-    masses = lines.masses
-    within = densest([mass if inside else 0 for mass, inside in zip(masses, lines.inside)])
-    without = densest([0 if inside else mass for mass, inside in zip(masses, lines.inside)])
-    if any(lines.inside) and within >= without:
-        # Inside a marked article every line counts, links and all.
-        masses = [len(text) if inside else 0 for text, inside in zip(lines.texts, lines.inside)]
-        return " ".join(
-            text for start, end, _ in stretches(masses) for text in lines.texts[start:end] if text
-        )
-    enough = SHARE * densest(masses)
-    return " ".join(
-        text
-        for start, end, _ in stretches(masses)
-        if densest(masses[start:end]) >= enough
-        for text in lines.texts[start:end]
-        if text
-    )
+    def __init__(self, masses: list[int]) -> None:
+        self._before = np.concatenate(([0], np.cumsum(np.asarray(masses, np.int64))))
+        self._levels = [self._before[WINDOW:] - self._before[:-WINDOW]] if len(masses) >= WINDOW else []
+        width = 1
+        while self._levels and len(self._levels[-1]) > width:
+            self._levels.append(np.maximum(self._levels[-1][:-width], self._levels[-1][width:]))
+            width *= 2
+
+    def within(self, start: int, end: int) -> int:
+        if end - start <= WINDOW:
+            return int(self._before[end] - self._before[start])
+        n = end - start - WINDOW + 1
+        level = n.bit_length() - 1
+        found = self._levels[level]
+        return int(max(found[start], found[start + n - (1 << level)]))
+
+
+def _not_believed(page: str, lines: _Lines) -> frozenset[int]:
+    """Places of names whose elements hold far denser text than what is left without all named ones."""
+    rest = max(1, densest(lines.masses))
+    every = lines_of(page, None)
+    inside = _Densest(every.masses)
+    return frozenset(place for place, (start, end) in every.named.items() if inside.within(start, end) >= BELIEF * rest)
+
+
+def main_text(page: str | None) -> str:
+    """The article of a page: its kept blocks, joined by one space."""
+    lines = lines_of(page or "")
+    if lines.named:
+        ignored = _not_believed(page, lines)
+        lines = lines_of(page, ignored) if ignored else lines
+    found = stretches(lines.masses)
+    inside, enough = _Densest(lines.masses), SHARE * densest(lines.masses)
+    kept = [(start, end) for start, end, _ in found if inside.within(start, end) >= enough]
+    return " ".join(text for start, end in kept for text in lines.texts[start:end] if text)
 
 
 _TEXT = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64())])

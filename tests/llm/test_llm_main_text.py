@@ -123,3 +123,82 @@ def test_odd_rows_and_empty_table(spark):
         (1, "u", "", 0), (2, None, "", 0), (None, "u", "a", 1), (3, "u", "word & wo", 359_999), (3, "u", "word & wo", 359_999),
     ]
     assert mt.extract(pages.limit(0)).count() == 0
+
+
+STORY = "".join(TEN)
+SIDE = "<div><p>read this too</p></div>"
+COMMENTS = "<p>Bob: well said, I would have put it just like that myself.</p>" * 2
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f'<body><div class="comment-piece">{STORY}</div><nav>n</nav>{SIDE}</body>', PLAIN),
+        (f'<body><div class="comment">{STORY}</div><nav>n</nav>{SIDE}</body>', PLAIN),
+        (f'<body><div class="post">{STORY}<section class="related-work">{TEN[0]}</section></div></body>', f"{PLAIN} {TEN[0][3:-4]}"),
+        (f'<body><article>{STORY}<section class="legal-case"><p>The case.</p></section></article></body>', f"{PLAIN} The case."),
+        ("<body><div>" + "".join(f'<p><a href="{i}">{p[3:-4]}</a></p>' for i, p in enumerate(TEN)) + "</div></body>", PLAIN),
+        (f"<body><article>{STORY}<div><h3>2 Comments</h3>{COMMENTS}</div></article></body>", PLAIN),
+        (f'<body><article>{STORY}<div><h3>2 Comments</h3><p class="x">Bob: well</article></body>', PLAIN),
+        (f'<body><div class="post">{STORY}<ul class="related-links"><li>{TEN[3][3:-4]}</li></ul></div></body>', PLAIN),
+    ],
+)
+def test_names_are_evidence_and_no_switch(page, text):
+    assert mt.main_text(page) == text
+
+
+def test_names_inside_a_name_that_is_not_believed_hold():
+    page = f'<body><div class="comments">{"".join(TEN[:5])}<div class="ad">Buy now</div>{"".join(TEN[5:])}</div></body>'
+    assert mt.main_text(page) == PLAIN
+
+
+def test_dense_text_beside_a_marked_article_is_kept_by_its_windows():
+    other = "<div>" + "<p>" + "far more text than in the article " * 20 + "</p></div>"
+    assert mt.main_text(f"<body><article><p>Short.</p></article><nav>n</nav>{other}</body>").startswith("far more")
+
+
+def plain_choice(texts, masses):
+    """Line by line: part at windows without mass, keep the parts with a window of enough mass."""
+    padded = [0] * 2 + list(masses) + [0] * 2
+    parts, part = [], []
+    for i, (text, mass) in enumerate(zip(texts, masses)):
+        part.append((text, mass))
+        if sum(padded[i + 3 : i + 5]) + mass == 0 or sum(padded[i + 1 : i + 4]) == 0 or sum(padded[i : i + 3]) == 0:
+            parts.append(part)
+            part = []
+    parts.append(part)
+
+    def peak(lines):
+        return max((sum(m for _, m in lines[i : i + 3]) for i in range(len(lines))), default=0)
+
+    most, kept = peak(list(zip(texts, masses))), []
+    for part in parts:
+        with_mass = [i for i, (_, mass) in enumerate(part) if mass]
+        if with_mass and peak(part) >= 0.25 * most:
+            kept += [text for text, _ in part[with_mass[0] : with_mass[-1] + 1] if text]
+    return " ".join(kept)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([0, 0, 0, 1, 5, 40]), max_size=40))
+def test_stretches_match_a_plain_choice(masses):
+    texts = [f"t{i}" for i in range(len(masses))]
+    inside, most = mt._Densest(masses), mt.densest(masses)
+    kept = [(s, e) for s, e, _ in mt.stretches(masses) if inside.within(s, e) >= 0.25 * most]
+    assert " ".join(t for s, e in kept for t in texts[s:e]) == plain_choice(texts, masses)
+
+
+def test_given_pages_match_a_plain_distribution_and_need_no_article_tag():
+    pages = [h for (h,) in duckdb.sql(f"SELECT html FROM '{SF_DIR}/pages.parquet'").fetchall()]
+    found = wanted = 0
+    for page in pages:
+        tagged = mt.main_text(page)
+        untagged = page.replace("<article>", "<div>").replace("</article>", "</div>")
+        for one in (page, untagged):
+            lines = mt.lines_of(one)
+            assert mt.main_text(one) == plain_choice(lines.texts, lines.masses)
+        blocks = [" ".join(html.unescape(b).split()) for b in re.split(r"</?(?:h1|p|b|br)>", re.search(r"<article>(.*?)</article>", page, re.S)[1])]
+        text = mt.main_text(untagged)
+        wanted += len(tagged)
+        found += len(tagged) if text == tagged else sum(len(b) for b in blocks if b in text)
+    assert found / wanted >= 0.99
