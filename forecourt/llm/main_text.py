@@ -137,6 +137,7 @@ class _Lines:
         self.named: dict[int, list[int]] = {}
         self._naming: dict[int, list[int]] = {}  # by depth of open elements, the places of names that end there
         self.texts: list[str] = []
+        self.unread = 0  # characters of skipped elements
         self.masses: list[int] = []
         self._parts: list[str] = []
         self._linked = 0
@@ -149,10 +150,12 @@ class _Lines:
         self._removed = self._crossed = False
 
     def add(self, text: str) -> None:
-        if not self._skipped:
-            self._parts.append(text)
-            if self._links:
-                self._linked += len(text.strip())
+        if self._skipped:
+            self.unread += len(text)
+            return
+        self._parts.append(text)
+        if self._links:
+            self._linked += len(text.strip())
 
     def end_line(self, edge: bool = False) -> None:
         """Close the line being filled; ``edge`` says that a marked article begins or ends after it."""
@@ -369,6 +372,8 @@ class _Densest:
 def _not_believed(page: str, lines: _Lines) -> frozenset[int]:
     """Places of names whose elements hold far denser text than what is left without all named ones."""
     rest = max(1, densest(lines.masses))
+    if ARTICLE * lines.unread < BELIEF * rest:
+        return frozenset()  # all skipped text in one window would not do
     every = lines_of(page, None)
     inside = _Densest(every.masses)
     return frozenset(place for place, (start, end) in every.named.items() if inside.within(start, end) >= BELIEF * rest)
