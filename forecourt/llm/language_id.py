@@ -4,7 +4,8 @@ Characters are lower-cased; runs of anything but letters become one space. N-gra
 characters are hashed into a fixed number of buckets. Training counts them over all training rows,
 per task and language, and sums the counts in one small shuffle. The matrix of log-probabilities
 (buckets times languages) is broadcast; its size is fixed but for the number of languages, which is
-checked. Scoring sums the matrix rows of a batch's n-grams in numpy.
+checked. Scoring lays the n-grams of many texts end to end, as a ragged index into the matrix, and sums
+the entries of each text in numpy; how texts fall into batches changes no score.
 
 Training rows have a language and a CRC-32 of their doc_id, as text, that leaves another remainder
 than 1 by 3; rows without doc_id are not learned from. A prediction depends on the text alone. Text
@@ -31,9 +32,10 @@ UNKNOWN = "und"
 BUCKETS = 1 << 15
 LARGEST_N = 4
 SMOOTHING = 0.5
-MAX_LANGUAGES = 1024  # a matrix of 256 MB; more is an error, none is left out
+MAX_LANGUAGES = 512  # a matrix of 128 MB, and twice that in counts; more is an error, none is left out
 _NO_LETTERS = re.compile(r"[\W\d_]+")
 _PIECE = 1 << 20  # characters whose n-grams are held at a time
+_CUT = 1 << 19  # log-probabilities that are summed at a time
 
 
 def _piece_buckets(codes: np.ndarray, lead: int) -> np.ndarray:
@@ -81,7 +83,7 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass(frozen=True)
 class Model:
-    """Languages by name and the log-probability of each bucket in each, one row per bucket."""
+    """Languages by name and the log-probability of each bucket in each, one row per language."""
 
     languages: tuple[str, ...]
     log_probability: np.ndarray
@@ -102,26 +104,59 @@ def train(docs: DataFrame) -> Model:
     if len(named) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} values of lang: not a column of languages")
     languages = tuple(sorted(named))
-    matrix = np.full((BUCKETS, len(languages)), SMOOTHING)
-    table = counts.toArrow()  # at most buckets times languages, both bounded
-    column_of = {lang: i for i, lang in enumerate(languages)}
-    columns = [column_of[lang] for lang in table.column("lang").to_pylist()]
-    matrix[table.column("bucket").to_numpy(), columns] += table.column("n").to_numpy()
-    return Model(languages, np.log(matrix / matrix.sum(axis=0)))
+    matrix = np.full((len(languages), BUCKETS), SMOOTHING)
+    places = docs.sparkSession.createDataFrame(list(enumerate(languages)), "place int, lang string")
+    # 16 bytes for each bucket of each language, both bounded.
+    table = counts.join(places, "lang").select("place", F.col("bucket").cast("int"), "n").toArrow()
+    matrix[table.column("place").to_numpy(), table.column("bucket").to_numpy()] += table.column("n").to_numpy()
+    matrix /= matrix.sum(axis=1, keepdims=True)
+    return Model(languages, np.log(matrix, out=matrix))
+
+
+def log_likelihoods(texts: list[str | None], model: Model) -> tuple[np.ndarray, np.ndarray]:
+    """Per text and language the log-likelihood, and per text whether it has n-grams.
+
+    A text's n-grams are cut at places that depend on the text alone, and each cut is summed by itself.
+    """
+    totals, seen = np.zeros((len(texts), len(model.languages))), np.zeros(len(texts), bool)
+    held: list[np.ndarray] = []
+    rows: list[int] = []
+    size = 0
+
+    def add_held() -> None:
+        starts = np.concatenate(([0], np.cumsum([len(one) for one in held[:-1]]))).astype(np.int64)
+        index = np.concatenate(held)
+        for place, of_language in enumerate(model.log_probability):
+            np.add.at(totals[:, place], rows, np.add.reduceat(of_language.take(index), starts))
+
+    for row, text in enumerate(texts):
+        for buckets in ngram_buckets(text or ""):
+            seen[row] = True
+            for start in range(0, len(buckets), _CUT):
+                cut = buckets[start : start + _CUT]
+                if size + len(cut) > _CUT and held:
+                    add_held()
+                    held, rows, size = [], [], 0
+                held.append(cut)
+                rows.append(row)
+                size += len(cut)
+    if held:
+        add_held()
+    return totals, seen
+
+
+def predict_batch(texts: list[str | None], model: Model) -> list[tuple[str, float]]:
+    """The likeliest language of each text and its posterior with equal priors."""
+    if not model.languages:
+        return [(UNKNOWN, 0.0)] * len(texts)
+    totals, seen = log_likelihoods(texts, model)
+    best = totals.argmax(axis=1)
+    posterior = 1.0 / np.exp(totals - totals.max(axis=1, keepdims=True)).sum(axis=1)
+    return [(model.languages[b], float(p)) if s else (UNKNOWN, 0.0) for b, p, s in zip(best, posterior, seen)]
 
 
 def predict_one(text: str | None, model: Model) -> tuple[str, float]:
-    """The likeliest language of a text and its posterior with equal priors."""
-    total, seen = np.zeros(len(model.languages)), False
-    for buckets in ngram_buckets(text or ""):
-        counts = np.bincount(buckets, minlength=BUCKETS)
-        used = np.flatnonzero(counts)
-        total += counts[used] @ model.log_probability[used]
-        seen = True
-    if not seen or not model.languages:
-        return UNKNOWN, 0.0
-    best = int(total.argmax())
-    return model.languages[best], float(1.0 / np.exp(total - total[best]).sum())
+    return predict_batch([text], model)[0]
 
 
 _PREDICTED = pa.schema(
@@ -135,7 +170,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            found = [predict_one(text, shared.value) for text in batch.column("text").to_pylist()]
+            found = predict_batch(batch.column("text").to_pylist(), shared.value)
             names, scores = zip(*found)
             columns = [batch.column("doc_id").cast(pa.int64()), batch.column("held_out"), pa.array(names), pa.array(scores)]
             yield pa.RecordBatch.from_arrays(columns, schema=_PREDICTED)

@@ -27,7 +27,7 @@ from forecourt.llm.common import only, slices
 from forecourt.session import stage
 
 N_BUCKETS = 1 << 14
-MAX_LANGUAGES = 4096  # bounds the references (about 70 numbers each); more is an error, none is left out
+MAX_LANGUAGES = 512  # bounds the references (16,384 numbers each at most); more is an error, none is left out
 _CLASSES = ("lower", "upper", "digit", "space", "punctuation", "symbol", "other", "beyond_ascii")
 _CONTINUATION = len(_CLASSES)  # bytes that start no character
 _SYMBOLS = "#*$%&|<>"
@@ -113,8 +113,8 @@ def _count_batch(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def language_references(docs: DataFrame, thresholds: Thresholds = Thresholds()) -> References:
     """Histograms of every language over all its documents; documents without a language add none.
 
-    What reaches the driver is a fixed number of figures per language: eight classes, the fullest
-    word buckets, and the total.
+    What reaches the driver per language: eight classes, the total, and its counts in the buckets that are among the
+    fullest of any language, at most N_BUCKETS.
     """
     counted = stage(
         only(docs, "text", "lang")
@@ -147,13 +147,17 @@ def language_references(docs: DataFrame, thresholds: Thresholds = Thresholds())
     words = np.zeros((len(languages), len(common) + 1))
     # A bucket common in one language counts in all: take its share in each from the counts.
     in_common = (F.col("kind") == "word") & F.col("bin").isin(common)
-    shared = counted.where(in_common).toArrow().to_pylist() if common else []
+    places = docs.sparkSession.createDataFrame(list(enumerate(languages)), "place int, lang string")
+    shared = counted.where(in_common).join(places, "lang").select("place", F.col("bin").cast("int"), "n").toArrow()
     for row in rows:
         if row["kind"] == "class":
             classes[row_of[row["lang"]], row["bin"]] = row["n"] / row["total"]
-    totals = {r["lang"]: r["total"] for r in rows if r["kind"] == "word"}
-    for row in shared:
-        words[row_of[row["lang"]], column_of_bucket[row["bin"]]] = row["n"] / totals[row["lang"]]
+    totals = np.ones(len(languages))
+    for row in rows:
+        if row["kind"] == "word":
+            totals[row_of[row["lang"]]] = row["total"]
+    place = shared.column("place").to_numpy()
+    words[place, column_of_bucket[shared.column("bin").to_numpy()]] = shared.column("n").to_numpy() / totals[place]
     words[:, -1] = np.maximum(0.0, 1.0 - words[:, :-1].sum(axis=1))
     return References(languages, classes, column_of_bucket, words)
 

@@ -80,3 +80,17 @@ def test_odd_rows_and_empty_table(spark):
     assert li.predict_one("½ ²", li.train(docs)) == ("und", 0.0)
     assert li.predict(empty(spark), li.train(empty(spark))).count() == 0
     assert li.predict_one("words", li.train(empty(spark))) == ("und", 0.0)
+
+
+def test_scores_do_not_depend_on_the_batch(spark, monkeypatch):
+    docs = documents(spark, [(i, "abc abd abe" if i % 2 else "xyz xyw", "l1" if i % 2 else "l2", "s") for i in range(40)])
+    model = li.train(docs)
+    texts = ["abc xy " * 30, None, "", "12", "xyw abd", "abe " * 200, "ä", "abc xy " * 30]
+    alone = [li.predict_one(text, model) for text in texts]
+    assert li.predict_batch(texts, model) == alone == li.predict_batch(texts[::-1], model)[::-1]
+    assert [name for name, _ in alone][1:4] == ["und"] * 3
+    monkeypatch.setattr(li, "_CUT", 50)
+    cut = [li.predict_one(text, model) for text in texts]
+    assert li.predict_batch(texts, model) == cut
+    assert [name for name, _ in cut] == [name for name, _ in alone]
+    assert [score for _, score in cut] == pytest.approx([score for _, score in alone])

@@ -1,6 +1,9 @@
+import math
 import re
-from collections import Counter
+import zlib
+from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -8,6 +11,9 @@ from hypothesis import strategies as st
 from llm_fixtures import documents, empty, odd_rows, sentences
 
 from forecourt.llm import quality
+from forecourt.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.01"
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -76,3 +82,59 @@ def test_odd_rows_and_empty_table(spark):
     kept = quality.keep_good(documents(spark, odd_rows()))
     assert kept.columns == documents(spark, odd_rows()).columns
     assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in report if r.kept)
+
+
+def plain_class(c):
+    for name, chars in (("space", " \t\n\x0b\x0c\r"), ("punctuation", ".,;:!?'\"()-"), ("symbol", "#*$%&|<>")):
+        if c in chars:
+            return name
+    if ord(c) > 127:
+        return "beyond"
+    return "lower" if c.islower() else "upper" if c.isupper() else "digit" if c.isdigit() else "other"
+
+
+def plain_distance(p, q):
+    def entropy(h):
+        return -sum(x * math.log2(x) for x in h.values() if x)
+
+    middle = {k: (p.get(k, 0) + q.get(k, 0)) / 2 for k in {*p, *q}}
+    return math.sqrt(max(0.0, entropy(middle) - (entropy(p) + entropy(q)) / 2))
+
+
+def shares(counter):
+    return {k: n / counter.total() for k, n in counter.items()}
+
+
+def test_verdicts_on_given_documents_match_plain_ones(spark):
+    rows = duckdb.sql(f"SELECT doc_id, text, lang FROM '{SF}/documents.parquet'").fetchall()
+    limits = quality.Thresholds()
+    classes, words = defaultdict(Counter), defaultdict(Counter)
+    for _, text, lang in rows:
+        if text is not None and lang is not None:
+            classes[lang].update(map(plain_class, text))
+            words[lang].update(zlib.crc32(w.encode()) % 16384 for w in WORD.findall(text))
+    common = {b for c in words.values() for b, _ in sorted(c.items(), key=lambda item: (-item[1], item[0]))[:64]}
+    word_references = [shares(Counter({b: n for b, n in c.items() if b in common} | {"rest": sum(n for b, n in c.items() if b not in common)})) for c in words.values()]
+    class_references = [shares(c) for c in classes.values()]
+    found = {r.doc_id: r for r in QUERIES["op6_quality"](spark, SF).collect()}
+    assert len(found) == len(rows)
+    judged = 0
+    for doc_id, text, _ in rows:
+        text = text or ""
+        in_text = WORD.findall(text)
+        *_, failed = plain_counts(text)
+        row, strange = found[doc_id], False
+        if len(text) >= limits.char_guard:
+            own = shares(Counter(map(plain_class, text)))
+            distance = min(plain_distance(own, q) for q in class_references)
+            assert row.char_distance == pytest.approx(distance, abs=1e-6)
+            strange |= distance > limits.max_char_distance
+        if len(in_text) >= limits.word_guard:
+            buckets = [zlib.crc32(w.encode()) % 16384 for w in in_text]
+            own = shares(Counter(b if b in common else "rest" for b in buckets))
+            distance = min(plain_distance(own, q) for q in word_references)
+            assert row.word_distance == pytest.approx(distance, abs=1e-6)
+            strange |= distance > limits.max_word_distance
+        judged += strange
+        assert (row.base_failed, row.kept) == (failed, not (failed or strange))
+    assert judged
