@@ -3,14 +3,15 @@
 A vector v is centred, scaled to length 1 and rotated into ``code_bits`` dimensions; its code is the
 signs, one bit each. With the length of v - c and the inner product of the rotated unit vector with
 its code as correction scalars, the packed bits give an unbiased estimate of <q, v> for any query q
-and a bound on its error. Per block of rows, the k rows of the best estimates are scored; their
-least score is a floor, and every row whose upper bound reaches it is reranked. Scores are summed
+and a bound on its error. A task goes through its rows in blocks: the k rows of a block with the best estimates
+are scored; their least score, or that of the k best of the blocks before, is a floor, and every row whose upper
+bound reaches it is reranked. Scores are summed
 component by component in double precision on the original vectors. ``EPSILON`` standard deviations
 of error are allowed, so a neighbour can be missed; the tests measure how many are.
 
 Every row is indexed; nothing is fitted on a sample but the centre, the mean of all rows. Queries are
-a table in the shared folder that every task reads in blocks against its block of rows, so no task
-holds more than one block of either, however many queries there are. A task emits k rows per query.
+a table in the shared folder that every task reads in blocks against its rows, so no task holds more than its
+ROWS_PER_TASK rows and one block of queries, however many there are. A task emits k rows per query.
 
 Rows without vec_id, and vectors that are null, zero, of another length than most, or that hold null
 or non-finite components take no part. Equal rows are one; other rows that share a vec_id are rows of
@@ -33,9 +34,11 @@ from forecourt.llm.common import only
 from forecourt.session import scratch_path, stage
 
 EPSILON = 3.0
-LEAST_CODE_BITS = 512
+LEAST_CODE_BITS = 1024
 SEED = 9
-ROWS_PER_BLOCK, QUERIES_PER_BLOCK = 8192, 256
+ROWS_PER_TASK, ROWS_PER_BLOCK, QUERIES_PER_BLOCK = 16384, 4096, 256
+#: Place of the query, vec_id and score of hits, by query and then the best first.
+Hits = tuple[np.ndarray, np.ndarray, np.ndarray]
 
 
 @dataclass(frozen=True)
@@ -96,26 +99,39 @@ def inner_products(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 def search_block(
-    query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, codes: Codes, rotation: Rotation, k: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(place of the query, vec_id, score) of the k best rows of a block for each query."""
+    query_ids: np.ndarray,
+    queries: np.ndarray,
+    ids: np.ndarray,
+    vectors: np.ndarray,
+    codes: Codes,
+    rotation: Rotation,
+    k: int,
+    before: Hits | None = None,
+) -> Hits:
+    """The k best rows for each query, of a block and the hits of the blocks before it."""
     estimate, error = bounds(queries, codes, rotation)
     q, v = np.nonzero(query_ids[:, None] == ids[None, :])
     own = (queries[q] == vectors[v]).all(axis=1)
     estimate[q[own], v[own]] = -np.inf
     floor = np.full(len(queries), -np.inf)
+    if before is not None:
+        ends = np.searchsorted(before[0], np.arange(len(queries)), "right")
+        full = np.diff(ends, prepend=0) == k
+        floor[full] = before[2][ends[full] - 1]
     if len(ids) > k:
         likely = np.argpartition(estimate, len(ids) - k, axis=1)[:, len(ids) - k :]
         q, v = np.repeat(np.arange(len(queries)), k), likely.reshape(-1)
         scored = np.where(np.isfinite(estimate[q, v]), inner_products(queries[q], vectors[v]), -np.inf)
-        floor = scored.reshape(-1, k).min(axis=1)
+        floor = np.maximum(floor, scored.reshape(-1, k).min(axis=1))
     q, v = np.nonzero((estimate > -np.inf) & (estimate + error >= floor[:, None]))
-    score = inner_products(queries[q], vectors[v])
-    order = np.lexsort((ids[v], -score, q))
-    q, v, score = q[order], v[order], score[order]
-    first = np.searchsorted(q, q)
-    best = np.arange(len(q)) - first < k
-    return q[best], ids[v[best]], score[best]
+    hits = (q, ids[v], inner_products(queries[q], vectors[v]))
+    if before is not None:
+        hits = tuple(np.concatenate(both) for both in zip(before, hits))
+    place, found, score = hits
+    order = np.lexsort((found, -score, place))
+    place = place[order]
+    best = order[np.arange(len(place)) - np.searchsorted(place, place) < k]
+    return hits[0][best], found[best], score[best]
 
 
 def _usable(vector: str = "embedding") -> Column:
@@ -172,30 +188,35 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     coded = valid.mapInArrow(index, "vec_id long, embedding array<double>, code binary, length double, fit double")
 
     def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in _blocks(batches):
-            packed = np.frombuffer(b"".join(block.column("code").to_pylist()), np.uint8).reshape(block.num_rows, -1)
-            codes = Codes(packed, block.column("length").to_numpy(), block.column("fit").to_numpy())
-            ids, rows_of_block = block.column("vec_id").to_numpy(), _matrix(block.column("embedding").combine_chunks())
+        for table in _tables(batches):
+            packed = np.frombuffer(b"".join(table.column("code").to_pylist()), np.uint8).reshape(table.num_rows, -1)
+            ids, vectors = table.column("vec_id").to_numpy(), _matrix(table.column("embedding").combine_chunks())
+            length, fit = table.column("length").to_numpy(), table.column("fit").to_numpy()
+            blocks = [slice(start, start + ROWS_PER_BLOCK) for start in range(0, len(ids), ROWS_PER_BLOCK)]
             for query_ids, numbers, queries in _query_blocks(folder):
-                place, *hits = search_block(query_ids, queries, ids, rows_of_block, codes, rotation, k)
-                columns = [query_ids[place], numbers[place], *hits]
+                hits = None
+                for at in blocks:
+                    codes = Codes(packed[at], length[at], fit[at])
+                    hits = search_block(query_ids, queries, ids[at], vectors[at], codes, rotation, k, hits)
+                place, *found = hits
+                columns = [query_ids[place], numbers[place], *found]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=_HIT)
 
-    dealt = coded.repartition(max(1, -(-n_rows // ROWS_PER_BLOCK)))
+    dealt = coded.repartition(max(1, -(-n_rows // ROWS_PER_TASK)))
     hits = dealt.mapInArrow(search, "query_id long, query long, vec_id long, score double")
     by_score = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
     ranked = hits.withColumn("rank", F.row_number().over(by_score)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
-def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
-    """The rows of a task in tables of at most ROWS_PER_BLOCK."""
+def _tables(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of a task in tables of at most ROWS_PER_TASK: one, but for uneven dealing."""
     held: list[pa.RecordBatch] = []
     n = 0
     for batch in batches:
-        for start in range(0, batch.num_rows, ROWS_PER_BLOCK):
-            piece = batch.slice(start, ROWS_PER_BLOCK)
-            if n + piece.num_rows > ROWS_PER_BLOCK and held:
+        for start in range(0, batch.num_rows, ROWS_PER_TASK):
+            piece = batch.slice(start, ROWS_PER_TASK)
+            if n + piece.num_rows > ROWS_PER_TASK and held:
                 yield pa.Table.from_batches(held)
                 held, n = [], 0
             held.append(piece)
