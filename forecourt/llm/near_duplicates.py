@@ -15,13 +15,15 @@ Joining never emits the pairs of a bucket:
 
 1. Texts equal after normalising are one node, found by a pre-aggregated group-by.
 2. Every node of a bucket is compared with the least node of the bucket only.
-3. Verified links are contracted to components. Buckets that still hold two components are joined
-   on their key under a condition: only nodes of different components whose packed signatures agree
-   and whose shared shingles allow the similarity leave the join, so a large bucket of texts that
-   are somewhat alike is compared but never emitted.
+3. Verified links are contracted to components. The nodes of buckets that still hold two components meet by
+   prefixes: shingles are put in one order, rare ones first, and two texts at the similarity share one among the first
+   ninth of the lighter text's weight and the first fifth of the other's. So texts that share a bucket by a common
+   passage do not meet, however many they are. Nodes of an element's largest component are compared with those of
+   other components only. A pair leaves the join if the weight from the shared element on allows the similarity and
+   the packed signatures agree.
 
 So each candidate pair is either inside one component already or has been checked exactly. Texts are
-fetched once, for nodes that share a bucket; a bitmap of fixed size spares the others the shuffle.
+fetched once, for nodes that share a bucket.
 
 Words are runs of letters and digits in lower case; fewer than five words make one shingle. Texts
 without a word are nodes by their raw text (null counts as empty) and link to nothing else. Rows
@@ -34,7 +36,6 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -230,54 +231,10 @@ def _alike(left: list[str], right: list[str]) -> Column:
     return sum(different[1:], different[0]) <= MAX_DIFFERENT_BITS
 
 
-@dataclass(frozen=True)
-class KeyBitmap:
-    """One bit per hash of a key, at most 16 MB: says which keys may be in a set. No key of the set is missed."""
-
-    n_bits: int
-    words: np.ndarray
-
-    def place(self, key: str) -> Column:
-        return F.pmod(F.xxhash64(key), F.lit(self.n_bits))
-
-    def has(self, places: np.ndarray) -> np.ndarray:
-        return (self.words[places >> 6] >> (places & 63).astype(np.uint64)) & np.uint64(1) == 1
-
-
-_MOST_BITS = 1 << 27
-
-
-def key_bitmap(keys: DataFrame, key: str) -> KeyBitmap:
-    """A bitmap of the keys. It grows with their number up to its limit and beyond that only loses sharpness."""
-    n_bits = 1 << 16
-    wanted = 16 * keys.count()
-    while n_bits < min(wanted, _MOST_BITS):
-        n_bits *= 2
-    bitmap = KeyBitmap(n_bits, np.zeros(n_bits // 64, np.uint64))
-    place = bitmap.place(key)
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))
-    words = keys.groupBy(F.floor(place / 64).alias("at")).agg(F.bit_or(bit).alias("bits")).toArrow()
-    bitmap.words[words.column("at").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
-    return bitmap
-
-
-def in_bitmap(rows: DataFrame, key: str, bitmap: KeyBitmap, inside: bool = True) -> DataFrame:
-    """The rows whose key may be in the set, or those whose key is surely not."""
-    shared = rows.sparkSession.sparkContext.broadcast(bitmap)
-
-    def chosen(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1 << 20):
-            found = shared.value.has(batch.column(batch.num_columns - 1).to_numpy())
-            yield batch.filter(pa.array(found == inside)).select(range(batch.num_columns - 1))
-
-    placed = rows.select(*rows.columns, bitmap.place(key).alias("place"))
-    return placed.mapInArrow(chosen, rows.schema)
-
-
 def node_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """node and text of the ``nodes`` (node, own, tie; distinct), written out."""
-    likely = in_bitmap(_identified(docs).select("own", "tie", "text"), "own", key_bitmap(nodes, "own"))
-    return stage(likely.join(nodes, ["own", "tie"]).groupBy("node").agg(F.max("text").alias("text")), "texts")
+    rows = _identified(docs).select("own", "tie", "text")
+    return stage(rows.join(nodes, ["own", "tie"]).groupBy("node").agg(F.max("text").alias("text")), "texts")
 
 
 def _compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,55 +261,101 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return stage(compared, "links")
 
 
-_SETS = pa.schema(
-    [("node", pa.int64()), ("elements", pa.list_(pa.int32())), ("weight", pa.float64()), ("extra", pa.float64())]
-)
-_SET_COLUMNS = ["elements", "weight", "extra"]
+_SLOTS = 1 << 18
 
 
-def _to_sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
-        sets = [weighted_set(text) for text in batch.column("text").to_pylist()]
-        short = [np.unique((elements >> np.uint64(32)).astype(np.uint32)).view(np.int32) for elements, _ in sets]
-        weights = [weight.sum() for _, weight in sets]
-        columns = [batch.column("node"), pa.array(short, pa.list_(pa.int32())), pa.array(weights)]
-        extra = pa.array([w - len(e) for w, e in zip(weights, short)])
-        yield pa.RecordBatch.from_arrays([*columns, extra], schema=_SETS)
+def _slots(elements: np.ndarray) -> np.ndarray:
+    return (elements & np.uint64(_SLOTS - 1)).astype(np.int64)
 
 
-def _may_link() -> Column:
-    """Whether the shared elements, with all repetition shared, reach the similarity: never false for a link."""
-    shared = F.size(F.array_intersect("a_elements", "b_elements")) + F.least("a_extra", "b_extra")
-    return shared >= SIMILARITY * (F.col("a_weight") + F.col("b_weight") - shared) - 1e-6
+def _count_slots(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(_SLOTS, np.int64)
+    for batch in slices(batches, most_bytes=1 << 20):
+        slots = [_slots(weighted_set(text)[0]) for text in batch.column("text").to_pylist()]
+        counts += np.bincount(np.concatenate(slots), minlength=_SLOTS)
+    used = np.flatnonzero(counts)
+    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(counts[used])], names=["slot", "n"])
+
+
+def slot_counts(texts: DataFrame) -> np.ndarray:
+    """How often the shingles of each of 2^18 hash slots occur: a table of 2 MB, whatever the number of texts."""
+    counts = texts.select("text").mapInArrow(_count_slots, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    table = np.zeros(_SLOTS, np.int64)
+    table[counts.column("slot").to_numpy()] = counts.column("n").to_numpy()
+    return table
+
+
+def prefix(text: str, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """The first elements that may be the first shared ones of a link, the weight from each on, and the whole weight.
+
+    The order is that of the slots' counts, then of the elements: any order is right, a common element early costs time.
+    """
+    elements, weights = weighted_set(text)
+    order = np.lexsort((elements, counts[_slots(elements)]))
+    left = np.cumsum(weights[order][::-1])[::-1]
+    near = left >= SIMILARITY * left[0] * (1 - _SLACK)
+    return elements[order][near], left[near], float(left[0])
+
+
+_SLACK = 1e-9
+# What two texts at the similarity share, as part of the sum of their weights.
+_SHARED = SIMILARITY / (1 + SIMILARITY) * (1 - _SLACK)
+
+
+def prefixes(texts: DataFrame, nodes: DataFrame) -> DataFrame:
+    """element, node, label, weight and left (weight from the element on) of the prefixes of ``nodes`` (node, label)."""
+    counts = texts.sparkSession.sparkContext.broadcast(slot_counts(texts))
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, most_rows=256):
+            found = [prefix(text, counts.value) for text in batch.column("text").to_pylist()]
+            at = np.repeat(np.arange(len(found)), [len(elements) for elements, _, _ in found])
+            columns = {
+                "element": np.concatenate([elements for elements, _, _ in found]).view(np.int64),
+                "node": batch.column("node").to_numpy()[at],
+                "label": batch.column("label").to_numpy()[at],
+                "weight": np.array([weight for _, _, weight in found])[at],
+                "left": np.concatenate([left for _, left, _ in found]),
+            }
+            yield pa.RecordBatch.from_pydict(columns)
+
+    schema = "element long, node long, label long, weight double, left double"
+    return texts.join(nodes, "node").select("node", "label", "text").mapInArrow(cut, schema)
+
+
+def _meet(lighter: DataFrame, heavier: DataFrame) -> DataFrame:
+    """Pairs of nodes of different components that share an element and may link by weights and packed bits."""
+    names = ["node", "label", "weight", "left", *_BITS]
+    a = lighter.select("element", *[F.col(n).alias(f"a_{n}") for n in names])
+    b = heavier.select("element", *[F.col(n).alias(f"b_{n}") for n in names])
+    ordered = F.struct("a_weight", "a_node") < F.struct("b_weight", "b_node")
+    enough = F.least("a_left", "b_left") >= _SHARED * (F.col("a_weight") + F.col("b_weight"))
+    alike = _alike([f"a_{n}" for n in _BITS], [f"b_{n}" for n in _BITS])
+    apart = F.col("a_label") != F.col("b_label")
+    met = a.join(b, (a["element"] == b["element"]) & apart & ordered & enough & alike)
+    return met.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b"))
+
+
+def _shared_by_labels(rows: DataFrame, key: str) -> DataFrame:
+    """The values of ``key`` that rows of two labels have."""
+    return rows.groupBy(key).agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select(key)
 
 
 def _links_across(met: DataFrame, labels: DataFrame, stars: DataFrame, texts: DataFrame) -> DataFrame:
     """Links between components whose nodes still share a bucket."""
     labelled = met.select("key", "node", *_BITS).join(labels, "node", "left")
     labelled = stage(labelled.withColumn("label", F.coalesce("label", "node")), "members")
-    open_keys = stage(
-        labelled.groupBy("key")
-        .agg(F.min("label").alias("low"), F.max("label").alias("high"))
-        .where("low < high")
-        .select("key"),
-        "open",
-    )
-    rest = stage(labelled.join(open_keys, "key", "left_semi"), "members")
-    nodes = rest.select("node").distinct()
-    sets = stage(
-        texts.join(nodes, "node", "left_semi").mapInArrow(
-            _to_sets, "node long, elements array<int>, weight double, extra double"
-        ),
-        "sets",
-    )
-    rest = stage(rest.join(sets, "node"), "members")
-    names = ["node", "label", *_BITS, *_SET_COLUMNS]
-    left = rest.select("key", *[F.col(n).alias(f"a_{n}") for n in names])
-    right = rest.select("key", *[F.col(n).alias(f"b_{n}") for n in names])
-    alike = _alike([f"a_{n}" for n in _BITS], [f"b_{n}" for n in _BITS])
-    apart = F.col("a_label") < F.col("b_label")
-    across = left.join(right, (left["key"] == right["key"]) & apart & alike & _may_link())
-    pairs = across.select(F.least("a_node", "b_node").alias("a"), F.greatest("a_node", "b_node").alias("b"))
+    open_keys = stage(_shared_by_labels(labelled, "key"), "open")
+    nodes = stage(labelled.join(open_keys, "key", "left_semi").select("node", "label", *_BITS).distinct(), "open_nodes")
+    found = stage(prefixes(texts, nodes.select("node", "label")), "prefixes")
+    shared = stage(_shared_by_labels(found, "element"), "shared")
+    found = stage(found.join(shared, "element", "left_semi"), "prefixes")
+    per_label = found.groupBy("element", "label").agg(F.count(F.lit(1)).alias("n"))
+    main = stage(per_label.groupBy("element").agg(F.max(F.struct("n", "label"))["label"].alias("main")), "main")
+    rows = stage(found.join(main, "element").join(nodes.drop("label"), "node"), "rows")
+    short = rows.where(F.col("left") >= 2 * _SHARED * F.col("weight"))
+    other = F.col("label") != F.col("main")
+    pairs = _meet(short.where(other), rows).unionByName(_meet(short.where(~other), rows.where(other)))
     return verified(stage(pairs.distinct().join(stars, ["a", "b"], "left_anti"), "pairs"), texts)
 
 
@@ -427,20 +430,18 @@ def duplicate_classes(docs: DataFrame) -> DataFrame:
 def one_per_class(docs: DataFrame) -> DataFrame:
     """One row of ``docs`` of each class: the least by doc_id, then by a hash of the text.
 
-    Different texts under one doc_id are rows of their own. Rows without doc_id go by a hash of the text. Rows of
-    classes of their own, nearly all, are told by a bitmap and stay where they are; only rows that may have to go
-    are shuffled.
+    Different texts under one doc_id are rows of their own. Rows without doc_id go by a hash of the text. Only rows that
+    may have to go, because they lead no class or repeat, are told one from another.
     """
     text = F.coalesce("text", F.lit(""))
     own, tie = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)), F.xxhash64(text)
     # The row travels as one column, so that none of its names can clash with ours.
     rows = docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"), own.alias("own"), tie.alias("tie"))
-    rows = rows.withColumn("key", F.xxhash64("own", "tie"))
     leads = (F.col("own") == F.col("class_id")) & (F.col("tie") == F.col("class_tie"))
     per_row = _classes(docs).groupBy("own", "tie").agg(F.min(leads).alias("leads"), F.count(F.lit(1)).alias("n"))
-    doubtful = stage(per_row.where(~F.col("leads") | (F.col("n") > 1)).withColumn("key", F.xxhash64("own", "tie")), "doubtful")
-    bitmap = key_bitmap(doubtful, "key")
-    gone = doubtful.where(~F.col("leads")).select("own", "tie")
-    kept = in_bitmap(rows, "key", bitmap).join(gone, ["own", "tie"], "left_anti").dropDuplicates(["own", "tie"])
-    chosen = in_bitmap(rows, "key", bitmap, inside=False).unionByName(kept.select(*rows.columns))
+    doubtful = stage(per_row.where(~F.col("leads") | (F.col("n") > 1)), "doubtful")
+    repeated = doubtful.where("leads").select("own", "tie")
+    once = rows.join(repeated, ["own", "tie"], "left_semi").dropDuplicates(["own", "tie"])
+    sure = rows.join(doubtful.select("own", "tie"), ["own", "tie"], "left_anti")
+    chosen = sure.unionByName(once)
     return chosen.select(*[F.col("row")[name].alias(name) for name in docs.columns])

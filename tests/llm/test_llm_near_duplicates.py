@@ -102,6 +102,35 @@ def test_classes_match_all_pairs(spark, corpus):
     assert found == plain_classes(corpus)
 
 
+def test_prefixes_of_similar_texts_meet(corpus):
+    """Whatever the order, a link shares an element that passes the join's conditions."""
+    chance = np.random.default_rng(3)
+    for counts in (np.zeros(nd._SLOTS, np.int64), chance.integers(0, 9, nd._SLOTS)):
+        cut = {i: nd.prefix(t, counts) for i, t in corpus.items() if i < 200}
+        sets = {i: nd.weighted_set(corpus[i]) for i in cut}
+        n_links = 0
+        for i, j in itertools.combinations(cut, 2):
+            if nd.similarity(sets[i], sets[j]) < 0.8:
+                continue
+            n_links += 1
+            (a, a_left, a_weight), (b, b_left, b_weight) = sorted((cut[i], cut[j]), key=lambda c: c[2])
+            _, at_a, at_b = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+            passes = np.minimum(a_left[at_a], b_left[at_b]) >= nd._SHARED * (a_weight + b_weight)
+            assert (passes & (a_left[at_a] >= 2 * nd._SHARED * a_weight)).any()
+        assert n_links > 100
+
+
+def test_unlike_texts_with_a_common_passage_do_not_meet(spark):
+    """Texts that share most of their words by one passage: hardly any prefix element is common."""
+    passage = sentences(7, 120)
+    texts = {i: f"{sentences(1000 + i, 40)} {passage}" for i in range(3000)}
+    table = spark.createDataFrame(list(texts.items()), "node long, text string").repartition(8)
+    nodes = table.select("node", F.col("node").alias("label"))
+    found = nd.prefixes(table, nodes)
+    met = found.groupBy("element").count().agg(F.sum(F.col("count") * (F.col("count") - 1) / 2)).first()[0]
+    assert met < 3000
+
+
 def test_one_row_per_class_is_kept(spark, corpus):
     some = {i: t for i, t in corpus.items() if i < 120}
     docs = documents(spark, [(i, t, "en", "s") for i, t in some.items()])
