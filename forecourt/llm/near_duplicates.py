@@ -23,7 +23,7 @@ Joining never emits the pairs of a bucket:
    the packed signatures agree.
 
 So each candidate pair is either inside one component already or has been checked exactly. Texts are
-fetched once, for nodes that share a bucket.
+fetched once, for nodes that share a bucket; a bitmap of fixed size spares the others the shuffle.
 
 Words are runs of letters and digits in lower case; fewer than five words make one shingle. Texts
 without a word are nodes by their raw text (null counts as empty) and link to nothing else. Rows
@@ -36,6 +36,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -231,10 +232,54 @@ def _alike(left: list[str], right: list[str]) -> Column:
     return sum(different[1:], different[0]) <= MAX_DIFFERENT_BITS
 
 
+@dataclass(frozen=True)
+class KeyBitmap:
+    """One bit per hash of a key, at most 16 MB: says which keys may be in a set. No key of the set is missed."""
+
+    n_bits: int
+    words: np.ndarray
+
+    def place(self, key: str) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(self.n_bits))
+
+    def has(self, places: np.ndarray) -> np.ndarray:
+        return (self.words[places >> 6] >> (places & 63).astype(np.uint64)) & np.uint64(1) == 1
+
+
+_MOST_BITS = 1 << 27
+
+
+def key_bitmap(keys: DataFrame, key: str) -> KeyBitmap:
+    """A bitmap of the keys. It grows with their number up to its limit and beyond that only loses sharpness."""
+    n_bits = 1 << 16
+    wanted = 16 * keys.count()
+    while n_bits < min(wanted, _MOST_BITS):
+        n_bits *= 2
+    bitmap = KeyBitmap(n_bits, np.zeros(n_bits // 64, np.uint64))
+    place = bitmap.place(key)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int"))
+    words = keys.groupBy(F.floor(place / 64).alias("at")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    bitmap.words[words.column("at").to_numpy()] = words.column("bits").to_numpy().view(np.uint64)
+    return bitmap
+
+
+def in_bitmap(rows: DataFrame, key: str, bitmap: KeyBitmap, inside: bool = True) -> DataFrame:
+    """The rows whose key may be in the set, or those whose key is surely not."""
+    shared = rows.sparkSession.sparkContext.broadcast(bitmap)
+
+    def chosen(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 1 << 20):
+            found = shared.value.has(batch.column(batch.num_columns - 1).to_numpy())
+            yield batch.filter(pa.array(found == inside)).select(range(batch.num_columns - 1))
+
+    placed = rows.select(*rows.columns, bitmap.place(key).alias("place"))
+    return placed.mapInArrow(chosen, rows.schema)
+
+
 def node_texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """node and text of the ``nodes`` (node, own, tie; distinct), written out."""
-    rows = _identified(docs).select("own", "tie", "text")
-    return stage(rows.join(nodes, ["own", "tie"]).groupBy("node").agg(F.max("text").alias("text")), "texts")
+    likely = in_bitmap(_identified(docs).select("own", "tie", "text"), "own", key_bitmap(nodes, "own"))
+    return stage(likely.join(nodes, ["own", "tie"]).groupBy("node").agg(F.max("text").alias("text")), "texts")
 
 
 def _compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -348,11 +393,10 @@ def _links_across(met: DataFrame, labels: DataFrame, stars: DataFrame, texts: Da
     open_keys = stage(_shared_by_labels(labelled, "key"), "open")
     nodes = stage(labelled.join(open_keys, "key", "left_semi").select("node", "label", *_BITS).distinct(), "open_nodes")
     found = stage(prefixes(texts, nodes.select("node", "label")), "prefixes")
-    shared = stage(_shared_by_labels(found, "element"), "shared")
-    found = stage(found.join(shared, "element", "left_semi"), "prefixes")
     per_label = found.groupBy("element", "label").agg(F.count(F.lit(1)).alias("n"))
-    main = stage(per_label.groupBy("element").agg(F.max(F.struct("n", "label"))["label"].alias("main")), "main")
-    rows = stage(found.join(main, "element").join(nodes.drop("label"), "node"), "rows")
+    main = F.max(F.struct("n", "label"))["label"].alias("main")
+    shared = stage(per_label.groupBy("element").agg(main, F.count(F.lit(1)).alias("labels")).where("labels > 1"), "shared")
+    rows = stage(found.join(shared.drop("labels"), "element").join(nodes.drop("label"), "node"), "rows")
     short = rows.where(F.col("left") >= 2 * _SHARED * F.col("weight"))
     other = F.col("label") != F.col("main")
     pairs = _meet(short.where(other), rows).unionByName(_meet(short.where(~other), rows.where(other)))
@@ -430,18 +474,20 @@ def duplicate_classes(docs: DataFrame) -> DataFrame:
 def one_per_class(docs: DataFrame) -> DataFrame:
     """One row of ``docs`` of each class: the least by doc_id, then by a hash of the text.
 
-    Different texts under one doc_id are rows of their own. Rows without doc_id go by a hash of the text. Only rows that
-    may have to go, because they lead no class or repeat, are told one from another.
+    Different texts under one doc_id are rows of their own. Rows without doc_id go by a hash of the text. Rows of
+    classes of their own, nearly all, are told by a bitmap and stay where they are; only rows that may have to go
+    are shuffled.
     """
     text = F.coalesce("text", F.lit(""))
     own, tie = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)), F.xxhash64(text)
     # The row travels as one column, so that none of its names can clash with ours.
     rows = docs.select(F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"), own.alias("own"), tie.alias("tie"))
+    rows = rows.withColumn("key", F.xxhash64("own", "tie"))
     leads = (F.col("own") == F.col("class_id")) & (F.col("tie") == F.col("class_tie"))
     per_row = _classes(docs).groupBy("own", "tie").agg(F.min(leads).alias("leads"), F.count(F.lit(1)).alias("n"))
-    doubtful = stage(per_row.where(~F.col("leads") | (F.col("n") > 1)), "doubtful")
-    repeated = doubtful.where("leads").select("own", "tie")
-    once = rows.join(repeated, ["own", "tie"], "left_semi").dropDuplicates(["own", "tie"])
-    sure = rows.join(doubtful.select("own", "tie"), ["own", "tie"], "left_anti")
-    chosen = sure.unionByName(once)
+    doubtful = stage(per_row.where(~F.col("leads") | (F.col("n") > 1)).withColumn("key", F.xxhash64("own", "tie")), "doubtful")
+    bitmap = key_bitmap(doubtful, "key")
+    gone = doubtful.where(~F.col("leads")).select("own", "tie")
+    kept = in_bitmap(rows, "key", bitmap).join(gone, ["own", "tie"], "left_anti").dropDuplicates(["own", "tie"])
+    chosen = in_bitmap(rows, "key", bitmap, inside=False).unionByName(kept.select(*rows.columns))
     return chosen.select(*[F.col("row")[name].alias(name) for name in docs.columns])
