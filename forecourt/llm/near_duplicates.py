@@ -26,9 +26,9 @@ So each candidate pair is either inside one component already or has been checke
 fetched once, for nodes that share a bucket; a bitmap of fixed size spares the others the shuffle.
 
 Words are runs of letters and digits in lower case; fewer than five words make one shingle. Texts
-without a word are nodes by their raw text (null counts as empty) and link to nothing else. Rows
-that share a doc_id are one document. Rows without doc_id take part with the hash of their text as
-node. An empty table gives an empty result.
+without a word are nodes by their raw text (null counts as empty) and link to nothing else. Different
+texts under one doc_id are documents of their own. Rows without doc_id go by a hash of their text.
+An empty table gives an empty result.
 """
 
 from __future__ import annotations
