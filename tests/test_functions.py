@@ -110,3 +110,15 @@ def test_report_text(spark):
     rows = [(12345.0,), (None,)]
     assert values(spark, "x double", rows, text.pounds(F.col("x"))) == ["£12,345", None]
     assert values(spark, "x double", [(-22.4,)], text.percent_text(F.col("x"))) == ["-22.4%"]
+
+
+def test_text_without_a_digit_is_never_cast(spark):
+    """A cast that fails raises and catches an error, ten times the cost of one that does not."""
+    cases = ["12", " 7 ", "+3", "-4", "", "n/a", "None", "1.5", "12k", "\t8", "٣", None]
+    rows = spark.createDataFrame([(t, [("MILEAGE", t)]) for t in cases], "t string, b array<struct<type: string, displayText: string>>")
+    old_miles = F.split_part(F.replace(F.coalesce("t", F.lit("0")), F.lit(","), F.lit("")), F.lit(" "), F.lit(1)).try_cast("int")
+    old_whole = F.coalesce(F.col("t").try_cast("bigint"), F.round(F.col("t").try_cast("decimal(38,6)")).try_cast("bigint"))
+    new = rows.select(text.mileage_from_badges(F.col("b")).alias("miles"), text.whole_number(F.col("t")).alias("whole"))
+    assert new.collect() == rows.select(F.coalesce(old_miles, F.lit(0)).alias("miles"), old_whole.alias("whole")).collect()
+    plan = new._jdf.queryExecution().analyzed().toString()
+    assert plan.count("RLIKE") >= 3 or plan.lower().count("rlike") >= 3
