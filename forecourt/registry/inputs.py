@@ -168,7 +168,7 @@ def response_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         # Small row groups: parsing a document costs far more than reading it.
         requests.select("*", "response.*").drop("response").write.option(
             "parquet.block.size", 8 * 1024 * 1024
-        ).parquet(path)
+        ).parquet(path, compression="zstd")
 
     return spark.read.parquet(_once(spark, sf_dir, "responses", write))
 
