@@ -349,9 +349,9 @@ def sample_per_cluster(mart: DataFrame, rows: int = 3) -> DataFrame:
 def cluster_mart(spark: SparkSession, facts: DataFrame, table: str, **options) -> DataFrame | None:
     """Extract, cluster, name and overwrite the mart; without usable rows the mart is left alone.
 
-    The facts are read for the moments, for the scaled points, and to assign the rows.
+    The features are written once, as they are read for the moments, for the scaled points, and to assign the rows.
     """
-    features = ml_feature_extract(facts)
+    features = stage(ml_feature_extract(facts), "features")
     segmenter = fit_segments(features, **options)
     if segmenter is None:
         return None
