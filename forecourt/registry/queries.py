@@ -567,7 +567,7 @@ def stream_compaction(spark, sf_dir):
     """The API feed's facts after six increments, compacted after the third and the last."""
     changes, streamed, checkpoint = (scratch_path(spark, name) for name in ("changes", "fct_cars", "checkpoint"))
     log = inputs.api_changes(listings(spark, sf_dir)).withColumn("_slice", F.pmod(F.xxhash64("id"), F.lit(6)))
-    log.repartition("_slice").write.partitionBy("_slice").parquet(changes)
+    log.hint("rebalance", "_slice").write.partitionBy("_slice").parquet(changes)
     schema = log.drop("_slice").schema
     for number in range(6):
         # One folder after the other, as files arrive.
@@ -664,7 +664,7 @@ def standard_scale(spark, sf_dir):
 def kmeans_segments(spark, sf_dir):
     """Every complete listing, and whether its segment's centre is the mean of the segment's listings."""
     columns = ["id", *segments.FEATURE_COLUMNS]
-    features = segments.ml_feature_extract(facts_with_id(spark, sf_dir), columns)
+    features = stage(segments.ml_feature_extract(facts_with_id(spark, sf_dir), columns), "features")
     segmenter = segments.fit_segments(features)
     scored = segmenter.transform(features)
     means = segments.cluster_profile_means(scored).toDF("cluster_id", *[f"mean_{name}" for name in segments.FEATURES])

@@ -1,16 +1,19 @@
 """Plans that hold at scale: pruning, few shuffles, no hot task."""
 
 import re
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from conftest import SF_DIR
 from pyspark.sql import functions as F
 
 from forecourt.operators import keyed
 from forecourt.plans import marts, segments
-from forecourt.registry import inputs
+from forecourt.registry import inputs, queries
 from forecourt.registry.queries import QUERIES, band_mart, facts
 from forecourt.schemas import FACT
+from forecourt.session import stage
 from forecourt.sources import api_responses as api
 
 
@@ -111,3 +114,23 @@ def test_a_hot_brand_gives_the_same_summary(spark, no_broadcast):
     assert sorted((r.is_ulez_compliant, r.total_listings) for r in hot) == [(False, 15000), (True, 15000)]
     newest = keyed.listing_dedup(rows.select("brand", "price"), key="brand", newest="price").collect()
     assert max(r.price for r in newest if r.brand == "HOT") == 89997 and len(newest) == 101
+
+
+def test_increments_of_the_change_log_are_split_when_large(spark, new_dir, monkeypatch, no_broadcast, settings):
+    settings(spark__sql__adaptive__coalescePartitions__enabled="false")
+    monkeypatch.setattr(queries, "scratch_path", lambda _, name: f"{new_dir}/{name}")
+    assert QUERIES["stream_compaction"](spark, SF_DIR).count() > 0
+    assert all(len(list(Path(new_dir).glob(f"changes/_slice={i}/*.parquet"))) > 1 for i in range(6))
+
+
+def test_the_mart_reads_the_facts_once(spark, new_dir, monkeypatch):
+    written = []
+    monkeypatch.setattr(segments, "stage", lambda frame, name: written.append(name) or stage(frame, name))
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS plan_gold LOCATION '{new_dir}/gold'")
+    mart = segments.cluster_mart(spark, facts(spark, SF_DIR), "plan_gold.mart", starts=1)
+    assert written[0] == "features" and mart.count() == segments.ml_feature_extract(facts(spark, SF_DIR)).count()
+
+
+def test_responses_are_stored_compressed(spark):
+    path = inputs.response_documents(spark, SF_DIR).inputFiles()[0]
+    assert pq.ParquetFile(path.removeprefix("file:")).metadata.row_group(0).column(0).compression == "ZSTD"
