@@ -274,3 +274,11 @@ def test_the_listings_stream_reads_one_file_or_many(spark, new_dir):
         for folder in (SF_DIR, new_dir)
     ]
     assert counts[0] == counts[1] > 0
+
+
+def test_the_state_of_an_advert_holds_each_value_once(spark):
+    early, late = (datetime.datetime(2024, 1, day) for day in (1, 2))
+    rows = [("a", early, "x", 1), ("a", late, "z", 2), ("a", late, None, 3), ("b", None, "y", None), ("b", None, None, 5), (None, late, None, 6)]
+    first = feed.new_adverts(spark.createDataFrame(rows, "id string, search_timestamp timestamp, title string, year int"))
+    assert ordered(first) == ordered(spark.createDataFrame([rows[1], rows[3], rows[5]], first.schema))
+    assert "row, struct" not in first._jdf.queryExecution().analyzed().toString()
