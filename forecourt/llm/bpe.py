@@ -39,7 +39,7 @@ _WORDS = regex.compile(
 _CUT = re.compile(r" (?=\S)")
 #: A space that a space or the end follows (RE2; wide on purpose): such texts are cut by _CUT, one by one.
 _ODD_SPACE = r" (?:[\s\x0b\x1c-\x1f\x85\p{Z}]|\z)"
-_BATCH_BYTES = 8 * 1024 * 1024
+_BATCH_BYTES = 2 * 1024 * 1024
 
 
 def byte_symbols() -> dict[str, int]:

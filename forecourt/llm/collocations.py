@@ -45,7 +45,7 @@ BOUND_BYTES = 16
 _WINDOW_CHARS = 256
 _WORD_BYTES = 6  # of a word and what parts it from the next; for the number of ranges only
 _CHUNK_WORDS = 1_500_000
-_SLICE_BYTES = 8 * 1024 * 1024
+_SLICE_BYTES = 3 * 1024 * 1024
 
 # Fixed values of the contract: what ends a piece, and what parts words.
 _ENDS = np.zeros(256, bool)
@@ -322,6 +322,7 @@ def phrase_counts(docs: DataFrame, least: int = LEAST_COUNT) -> DataFrame:
     def count(blocks: pa.Table) -> pa.Table:
         rows = list(_count_range(blocks, shared.value, least))
         names, kinds = ("lang", "size", "phrase", "n"), (pa.string(), pa.int32(), pa.string(), pa.int64())
+        pa.default_memory_pool().release_unused()
         return pa.table([pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)], names=names)
 
     blocks = texts.mapInArrow(cut, _BLOCK_SQL)

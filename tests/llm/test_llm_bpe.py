@@ -1,5 +1,6 @@
 import hashlib
 import random
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -8,7 +9,7 @@ import pytest
 from llm_fixtures import documents, empty, odd_rows, sentences
 from tokenizers import Tokenizer
 
-from forecourt.llm import bpe
+from forecourt.llm import bpe, collocations, common
 from forecourt.llm.queries import BYTE_VOCABULARY, QUERIES
 
 PIECES = [
@@ -78,3 +79,13 @@ def test_empty_table_and_clashing_columns(spark):
 
 def test_vocabulary_is_a_parameter():
     assert public_tokenizers.path("byte_bpe_50k.json") == BYTE_VOCABULARY
+
+
+def test_workers_work_on_little_at_once_and_give_memory_back(monkeypatch):
+    given = []
+    monkeypatch.setattr(common.pa, "default_memory_pool", lambda: SimpleNamespace(release_unused=lambda: given.append(1)))
+    batch = pa.record_batch({"text": ["x" * 1000] * 20_000})
+    for most in (bpe._BATCH_BYTES, collocations._SLICE_BYTES):
+        cut = list(common.slices([batch], 1 << 20, most))
+        assert max(part.nbytes for part in cut) < 4_000_000 and sum(part.num_rows for part in cut) == 20_000
+    assert len(given) == 2
