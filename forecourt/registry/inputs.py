@@ -119,7 +119,10 @@ def badges() -> Column:
 
 
 def _document() -> Column:
-    """A response body with the listing and an advert that has no tracking context."""
+    """A response body with the listing and an advert that has no tracking context.
+
+    Both have the ``subtitle``, ``attention`` and ``badges`` of the row.
+    """
     context = F.struct(
         F.struct(F.col("brand").alias("make"), F.col("model"), F.col("year"), F.col("price")).alias(
             "advertContext"
@@ -130,10 +133,10 @@ def _document() -> Column:
         return F.struct(
             F.col("id").cast("string").alias("advertId"),
             title.alias("title"),
-            subtitle().alias("subTitle"),
-            attention().alias("attentionGrabber"),
+            F.col("subtitle").alias("subTitle"),
+            F.col("attention").alias("attentionGrabber"),
             F.col("price_text").alias("price"),
-            badges().alias("badges"),
+            F.col("badges"),
             tracking.alias("trackingContext"),
         )
 
@@ -150,25 +153,23 @@ def response_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     broken.
     """
 
-    def page(number: int, body: Column) -> Column:
-        return F.struct(F.lit(number).alias("page"), body.alias("body"))
-
     def write(path: str) -> None:
-        first = page(1, _document())
+        # Page numbers are exploded, not bodies, which would be copied into an array first.
+        pages = F.when(F.col("tax") == 20, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+        texts = {"subtitle": subtitle(), "attention": attention(), "badges": badges()}
+        paged = listings(spark, sf_dir).withColumns(texts).withColumn("page", F.explode(pages))
         second = F.when(F.col("transmission") == "Automatic", F.lit("[{}]")).otherwise(F.lit("[{broken"))
-        pages = F.when(F.col("tax") == 20, F.array(first, page(2, second))).otherwise(F.array(first))
         filtered = F.col("fuel_type").isin("Diesel", "Other")
-        requests = listings(spark, sf_dir).select(
+        requests = paged.select(
             F.col("id").alias("request_id"),
             F.col("brand").alias("make"),
             F.when(filtered, F.col("fuel_type")).otherwise("").alias("fuel_filter"),
             F.when(F.col("price_text") == "None", 500).otherwise(200).alias("status_code"),
-            F.explode(pages).alias("response"),
+            "page",
+            F.when(F.col("page") == 1, _document()).otherwise(second).alias("body"),
         )
         # Small row groups: parsing a document costs far more than reading it.
-        requests.select("*", "response.*").drop("response").write.option(
-            "parquet.block.size", 8 * 1024 * 1024
-        ).parquet(path, compression="zstd")
+        requests.write.option("parquet.block.size", 8 * 1024 * 1024).parquet(path, compression="zstd")
 
     return spark.read.parquet(_once(spark, sf_dir, "responses", write))
 

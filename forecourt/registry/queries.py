@@ -222,7 +222,7 @@ def table_scan_project(spark, sf_dir):
 
 @query
 def json_path_listings(spark, sf_dir):
-    parsed = api.with_listings(inputs.response_documents(spark, sf_dir))
+    parsed = api.with_listings(inputs.response_documents(spark, sf_dir), "advertId")
     return parsed.select(
         "request_id", "page", F.coalesce(F.array_size("listings"), F.lit(0)).alias("n_listings")
     )
@@ -230,8 +230,7 @@ def json_path_listings(spark, sf_dir):
 
 @query
 def explode_listings(spark, sf_dir):
-    parsed = api.with_listings(inputs.response_documents(spark, sf_dir))
-    return api.explode_listings(parsed).select(
+    return _exploded(spark, sf_dir, "advertId", "title").select(
         "request_id", F.col("listing.advertId").alias("id"), F.col("listing.title").alias("title")
     )
 
@@ -242,13 +241,13 @@ def response_status_gate(spark, sf_dir):
     return kept.select("request_id", "make", "page")
 
 
-def _exploded(spark, sf_dir) -> DataFrame:
-    return api.explode_listings(api.with_listings(inputs.response_documents(spark, sf_dir)))
+def _exploded(spark, sf_dir, *fields: str) -> DataFrame:
+    return api.explode_listings(api.with_listings(inputs.response_documents(spark, sf_dir), *fields))
 
 
 @query
 def null_to_empty(spark, sf_dir):
-    return _exploded(spark, sf_dir).select(
+    return _exploded(spark, sf_dir, "subTitle", "attentionGrabber").select(
         "request_id",
         text.null_to_empty(F.col("listing.subTitle")).alias("subtitle"),
         text.null_to_empty(F.col("listing.attentionGrabber")).alias("attention"),
@@ -257,7 +256,7 @@ def null_to_empty(spark, sf_dir):
 
 @query
 def mileage_from_badges(spark, sf_dir):
-    return _exploded(spark, sf_dir).select(
+    return _exploded(spark, sf_dir, "badges").select(
         "request_id", text.mileage_from_badges(F.col("listing.badges")).alias("mileage")
     )
 
@@ -267,18 +266,18 @@ def fuel_from_text(spark, sf_dir):
     fuel = text.fuel_from_text(
         F.col("fuel_filter"), F.col("listing.subTitle"), F.col("listing.attentionGrabber")
     )
-    return _exploded(spark, sf_dir).select("request_id", fuel.alias("fuel_type"))
+    return _exploded(spark, sf_dir, "subTitle", "attentionGrabber").select("request_id", fuel.alias("fuel_type"))
 
 
 @query
 def transmission_from_text(spark, sf_dir):
     gearbox = text.transmission_from_text(F.col("listing.subTitle"), F.col("listing.attentionGrabber"))
-    return _exploded(spark, sf_dir).select("request_id", gearbox.alias("transmission"))
+    return _exploded(spark, sf_dir, "subTitle", "attentionGrabber").select("request_id", gearbox.alias("transmission"))
 
 
 @query
 def engine_size_regex(spark, sf_dir):
-    return _exploded(spark, sf_dir).select(
+    return _exploded(spark, sf_dir, "subTitle").select(
         "request_id", text.engine_size_regex(F.col("listing.subTitle")).alias("engine_size")
     )
 

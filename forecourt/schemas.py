@@ -21,14 +21,22 @@ CLUSTER_MART = (
     "engine_size double, is_ulez_compliant boolean, cluster_id int, cluster_name string"
 )
 
-API_RESPONSE = (
-    "array<struct<data: struct<searchResults: struct<listings: array<struct<"
-    "advertId: string, title: string, subTitle: string, attentionGrabber: string, price: string, "
-    "badges: array<struct<type: string, displayText: string>>, "
-    "trackingContext: struct<advertContext: struct<"
-    "make: string, model: string, year: int, price: string>>"
-    ">>>>>>"
-)
+API_ADVERT = {
+    "advertId": "string",
+    "title": "string",
+    "subTitle": "string",
+    "attentionGrabber": "string",
+    "price": "string",
+    "badges": "array<struct<type: string, displayText: string>>",
+    "trackingContext": "struct<advertContext: struct<make: string, model: string, year: int, price: string>>",
+}
+
+
+def api_response(advert: dict[str, str]) -> str:
+    """The type of a response document whose listings have the fields of ``advert``."""
+    fields = ", ".join(f"{name}: {type_name}" for name, type_name in advert.items())
+    return f"array<struct<data: struct<searchResults: struct<listings: array<struct<{fields}>>>>>>"
+
 
 API_REQUEST = "make string, fuel_filter string, page int, status_code int, body string"
 

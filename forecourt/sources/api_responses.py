@@ -7,11 +7,11 @@ gathering makes, fuels and pages is a plain scan with no shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forecourt.functions import text
-from forecourt.schemas import API_REQUEST, API_RESPONSE
+from forecourt.schemas import API_ADVERT, API_REQUEST, api_response
 
 LISTING_COLUMNS = ["id", "title", "price", "year", "mileage", "fuelType", "engineSize", "transmission"]
 
@@ -26,10 +26,34 @@ def answered(responses: DataFrame) -> DataFrame:
     return responses.where(F.col("status_code") == 200)
 
 
-def with_listings(responses: DataFrame) -> DataFrame:
-    """Add the array of listings; NULL where the document is broken or lacks it."""
-    first = F.try_element_at(F.from_json("body", API_RESPONSE), F.lit(1))
-    return responses.withColumn("listings", first["data"]["searchResults"]["listings"]).drop("body")
+def _listings(advert: dict[str, str]) -> Column:
+    """The document's listings with the fields of ``advert``.
+
+    A text without a closing bracket holds no array: a parse that fails costs more than one that does not.
+    """
+    document = F.when(F.contains("body", F.lit("]")), F.from_json("body", api_response(advert)))
+    return F.try_element_at(document, F.lit(1))["data"]["searchResults"]["listings"]
+
+
+def with_listings(responses: DataFrame, *fields: str) -> DataFrame:
+    """Add the array of listings; NULL where the document is broken or lacks it.
+
+    ``fields`` are the listing fields that are wanted, all if none is named.
+    The others are read over, as converting the nested ones is most of the
+    cost; of a tracking context not named only its presence is kept.
+    """
+    listings = _listings(API_ADVERT)
+    if fields:
+        wanted = {"trackingContext": "struct<>"} | {name: API_ADVERT[name] for name in fields}
+
+        def narrow(listing: Column) -> Column:
+            present = F.when(listing["trackingContext"].isNotNull(), F.struct())
+            values = [(listing[name] if name in fields else present).alias(name) for name in wanted]
+            return F.when(listing.isNotNull(), F.struct(*values))
+
+        # A bad escape spoils the field that holds it, but the document if that field is read over: then all are read.
+        listings = F.coalesce(_listings(wanted), F.transform(listings, narrow))
+    return responses.withColumn("listings", listings).drop("body")
 
 
 def explode_listings(parsed: DataFrame) -> DataFrame:

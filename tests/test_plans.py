@@ -61,6 +61,14 @@ def test_each_document_is_parsed_once(spark):
     assert "EqualTo(status_code,200)" in plan and "Exchange" not in plan
 
 
+@pytest.mark.parametrize("key, wanted", [("fuel_from_text", ["subTitle", "attentionGrabber"]), ("mileage_from_badges", ["badges"])])
+def test_a_query_converts_the_listing_fields_it_wants(spark, monkeypatch, key, wanted):
+    parsed, explode = [], api.explode_listings
+    monkeypatch.setattr(api, "explode_listings", lambda frame: parsed.append(frame) or explode(frame))
+    assert "Exchange" not in plan_of(QUERIES[key](spark, SF_DIR))
+    assert parsed[0].schema["listings"].dataType.elementType.names == ["trackingContext", *wanted]
+
+
 def test_no_registered_batch_query_joins_without_a_key(spark):
     for key in ("backfill_anti_join", "cluster_business_names", "unified_listings", "impact_summary"):
         plan = plan_of(QUERIES[key](spark, SF_DIR))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from forecourt.operators import tables
 from forecourt.plans import refresh
-from forecourt.schemas import API_REQUEST
+from forecourt.schemas import API_ADVERT, API_REQUEST, api_response
 from forecourt.session import scratch_path
 from forecourt.sources import api_responses as api
 from forecourt.sources.csv_listings import brand_from_filename, read_csv_listings
@@ -72,6 +72,32 @@ def test_pages_are_gathered_and_make_is_the_brand(spark):
     ]
 
 
+def test_fields_that_are_not_wanted_change_nothing(spark):
+    values = ['"a"', "7", "null", "true", "{}", "[]", '{"x": [1]}', r'"a\qb"', r'"\u12"', '"a\nb"', "tru", '"cut']
+    values += ['[{"type": "MILEAGE", "displayText": 5}]', '{"advertContext": {"year": "x"}}', '{"advertContext": "q"}']
+    document = body(LISTING, "odd", LISTING, None, {**LISTING, "subTitle": None})
+    odd = ['{"subTitle": "s", "trackingContext": {}, "%s": %s}', '{"%s": %s, "subTitle": "s", "trackingContext": {}}']
+    names = ["title", "badges", "trackingContext", "subTitle", "other"]
+    bodies = [document.replace('"odd"', form % (name, value)) for form in odd for name in names for value in values]
+    bodies += [document[:end] for end in range(0, len(document), 9)]
+    bodies += [document + "]", "[]", "[{}]", "{broken", "<p>[503]</p>", '{"data": null}', document[1:-1], None]
+    frame = spark.createDataFrame(list(enumerate(bodies)), "id int, body string")
+
+    def listings(parsed):
+        fields = F.transform("listings", lambda x: F.struct(x["subTitle"], x["trackingContext"].isNotNull()))
+        found = parsed.select("id", F.array_size("listings").alias("size"), F.to_json(fields).alias("fields"))
+        return [tuple(row) for row in found.orderBy("id").collect()]
+
+    wanted = api.with_listings(frame, "subTitle")
+    assert wanted.schema["listings"].dataType.elementType.names == ["trackingContext", "subTitle"]
+    whole = listings(api.with_listings(frame))
+    assert listings(wanted) == whole == listings(api.with_listings(frame, "subTitle", "trackingContext"))
+    assert sum(size is not None for _, size, _ in whole) > 100
+    # What they gave when every document was parsed whole.
+    plain = F.try_element_at(F.from_json("body", api_response(API_ADVERT)), F.lit(1))["data"]["searchResults"]["listings"]
+    assert listings(frame.withColumn("listings", plain)) == whole
+
+
 def test_stored_responses_are_read(spark, new_dir):
     line = {"make": "BMW", "fuel_filter": None, "page": 1, "status_code": 200, "body": body(LISTING)}
     Path(new_dir, "day1.json").write_text(json.dumps(line) + "\n")
